@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 PART_COL = "_range_part"
 
 
@@ -44,6 +46,11 @@ def cumulative_by_value(df: DataFrame, group_cols: Sequence[str], value_col: str
         *[F.coalesce(F.sum(w), F.lit(0)).alias(w) for w in weight_cols])
     ranged = distinct.repartitionByRange(n, *[F.col(c).asc() for c in group_cols], F.col(value_col).asc()) \
         .withColumn(PART_COL, F.spark_partition_id())
+    # The range id is read twice below (totals and running sums). Each read of an un-materialised range exchange may
+    # sample different bounds or coalesce differently, so the ids are pinned by a reliable checkpoint in the
+    # cluster's checkpoint folder; that also cuts the lineage, so a lost executor does not recompute the inputs.
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
 
     totals = ranged.groupBy(PART_COL, *group_cols).agg(*[F.sum(w).alias(w) for w in weight_cols])
     before = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \

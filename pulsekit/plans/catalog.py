@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.hashing import hash01_sql_duckdb
 from ..operators import clean as cl
+from ..operators import distribution as di
 from ..operators import features as fe
 from ..operators import profile as pr
 from ..operators import sample as sa
-from ..sources.fixtures import LABEL_COL, NUMERIC_COLS, activity, activity_cte
+from ..sources.fixtures import LABEL_COL, NUMERIC_COLS, activity, activity_cte, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -262,3 +263,180 @@ def _features_v3_sql() -> str:
 def q_features_v3(spark, sf_dir):
     train, _ = sa.train_test_split(strict(spark, sf_dir), "row_id", 0.8, 42)
     return fe.create_features(train, "v3", fe.fit_zscore(train))
+
+
+# ---------------------------------------------------------------- F: split and rebalancing
+HASH = hash01_sql_duckdb("row_id")
+
+
+@register("train_test_split", CTE + f"SELECT *, CASE WHEN {HASH} < 0.8 THEN 'train' ELSE 'test' END AS split FROM activity")
+def q_train_test_split(spark, sf_dir):
+    return sa.split_column(activity(spark, sf_dir), "row_id", 0.8, 42)
+
+
+_COUNTS = f", counts AS (SELECT {LAB}, count(*) AS n FROM strict WHERE {LAB} IS NOT NULL GROUP BY {LAB})\n"
+
+
+@register("undersample", CLEAN_CTE + _COUNTS + f"""
+, fr AS (SELECT {LAB}, CAST((SELECT min(n) FROM counts) AS DOUBLE) / CAST(n AS DOUBLE) AS f FROM counts)
+SELECT s.* FROM strict s JOIN fr USING ({LAB}) WHERE {hash01_sql_duckdb('s.row_id')} < fr.f""")
+def q_undersample(spark, sf_dir):
+    return sa.undersample(strict(spark, sf_dir), LAB, "row_id", 42)
+
+
+@register("oversample", CLEAN_CTE + _COUNTS + f"""
+, rt AS (SELECT {LAB}, CAST((SELECT max(n) FROM counts) AS DOUBLE) / CAST(n AS DOUBLE) AS r FROM counts)
+, j AS (SELECT s.*, CAST(floor(rt.r) + CASE WHEN {hash01_sql_duckdb('s.row_id')} < rt.r - floor(rt.r) THEN 1 ELSE 0 END
+               AS BIGINT) AS copies FROM strict s JOIN rt USING ({LAB}))
+SELECT * EXCLUDE (copies), unnest(generate_series(1, copies)) AS copy_id FROM j""")
+def q_oversample(spark, sf_dir):
+    return sa.oversample(strict(spark, sf_dir), LAB, "row_id", 42)
+
+
+# ---------------------------------------------------------------- L: distribution tests
+# The class list and its order, as the reference compares them.
+REF_CLASSES = ["Cardio", "Strength", "Yoga", "None"]
+PAIRS = [(a, b) for i, a in enumerate(REF_CLASSES) for b in REF_CLASSES[i + 1:]]
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+
+
+_SIDES = [(f"{a} vs {b}", c, s) for a, b in PAIRS for c, s in ((a, 0), (b, 1))]
+_GRID = [(f"{a} vs {b}", c) for a, b in PAIRS for c in NUM]
+LONG_CTE = CTE.rstrip() + f"""
+, sides AS (SELECT * FROM (VALUES {_values(_SIDES)}) t(Comparison, cls, side))
+, grid AS (SELECT * FROM (VALUES {_values(_GRID)}) t(Comparison, "Column"))
+, long AS ({" UNION ALL ".join(
+    f"SELECT {LAB} AS cls, '{c}' AS \"Column\", {d(c)} AS v FROM activity WHERE {c} IS NOT NULL AND {LAB} IS NOT NULL"
+    for c in NUM)})
+"""
+
+KS_SQL = LONG_CTE + """
+, tagged AS (SELECT l."Column", s.Comparison, l.v, CASE WHEN s.side = 0 THEN 1 ELSE 0 END AS na,
+                    CASE WHEN s.side = 1 THEN 1 ELSE 0 END AS nb FROM long l JOIN sides s ON l.cls = s.cls)
+, agg AS (SELECT "Column", Comparison, v, sum(na) AS na, sum(nb) AS nb FROM tagged GROUP BY ALL)
+, cum AS (SELECT "Column", Comparison, v, sum(na) OVER w AS ca, sum(nb) OVER w AS cb FROM agg
+          WINDOW w AS (PARTITION BY "Column", Comparison ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+, tot AS (SELECT "Column", Comparison, sum(na) AS n1, sum(nb) AS n2 FROM tagged GROUP BY ALL)
+, gaps AS (SELECT c."Column", c.Comparison, t.n1, t.n2,
+                  max(abs(CAST(c.ca AS DOUBLE) / NULLIF(CAST(t.n1 AS DOUBLE), 0)
+                          - CAST(c.cb AS DOUBLE) / NULLIF(CAST(t.n2 AS DOUBLE), 0))) AS KS_statistic
+           FROM cum c JOIN tot t ON c."Column" = t."Column" AND c.Comparison = t.Comparison GROUP BY ALL)
+, res AS (SELECT g.Comparison, g."Column", x.KS_statistic, x.n1, x.n2 FROM grid g
+          LEFT JOIN gaps x ON g."Column" = x."Column" AND g.Comparison = x.Comparison)
+, en AS (SELECT *, CAST(n1 AS DOUBLE) * CAST(n2 AS DOUBLE) / CAST(n1 + n2 AS DOUBLE) AS e FROM res)
+, lam AS (SELECT *, (sqrt(e) + 0.12 + 0.11 / sqrt(e)) * KS_statistic AS lam FROM en)
+, ser AS (SELECT Comparison, "Column",
+                 sum(CASE WHEN r.k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * CAST(r.k AS DOUBLE) * CAST(r.k AS DOUBLE)
+                     * lam * lam)) AS s
+          FROM lam, (SELECT range AS k FROM range(1, 101)) r GROUP BY ALL)
+SELECT l.Comparison, l."Column", l.KS_statistic,
+       CAST(CASE WHEN l.KS_statistic IS NULL THEN NULL WHEN l.lam < 0.2 THEN 1.0
+            ELSE least(greatest(2.0 * s.s, 0.0), 1.0) END AS DOUBLE) AS p_value,
+       CAST(coalesce(l.n1, 0) AS BIGINT) AS n1, CAST(coalesce(l.n2, 0) AS BIGINT) AS n2
+FROM lam l JOIN ser s ON l.Comparison = s.Comparison AND l."Column" = s."Column"
+"""
+
+
+@register("ks_two_sample", KS_SQL)
+def q_ks_two_sample(spark, sf_dir):
+    return di.ks_two_sample(activity(spark, sf_dir), NUM, LAB, REF_CLASSES)
+
+
+JSD_SQL = LONG_CTE + """
+, ranges AS (SELECT "Column", cls, min(v) AS vmin, max(v) AS vmax, count(*) AS n FROM long GROUP BY ALL)
+, bounds AS (SELECT s.Comparison, r."Column", min(vmin) AS lo, max(vmax) AS hi,
+                    sum(CASE WHEN s.side = 0 THEN n END) AS n1, sum(CASE WHEN s.side = 1 THEN n END) AS n2
+             FROM sides s JOIN ranges r ON s.cls = r.cls GROUP BY ALL)
+, b2 AS (SELECT *, (hi - lo) / 30.0 AS step FROM bounds)
+, tagged AS (SELECT l."Column", s.Comparison, s.side, l.v, b.lo, b.step FROM long l JOIN sides s ON l.cls = s.cls
+             JOIN b2 b ON b.Comparison = s.Comparison AND b."Column" = l."Column" WHERE b.step > 0)
+, guessed AS (SELECT *, CAST(least(greatest(floor((v - lo) / step), 0), 29) AS INTEGER) AS g FROM tagged)
+, fixed AS (SELECT *, CASE WHEN v < CAST(g AS DOUBLE) * step + lo THEN g - 1
+                           WHEN g < 29 AND v >= CAST(g + 1 AS DOUBLE) * step + lo THEN g + 1 ELSE g END AS bin
+            FROM guessed)
+, counts AS (SELECT Comparison, "Column", bin, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS c1,
+                    sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS c2 FROM fixed GROUP BY ALL)
+, dense AS (SELECT b.Comparison, b."Column", b.n1, b.n2, b.lo, b.hi, b.step, r.bin,
+                   CAST(coalesce(c.c1, 0) AS DOUBLE) AS c1, CAST(coalesce(c.c2, 0) AS DOUBLE) AS c2
+            FROM b2 b CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range(0, 30)) r
+            LEFT JOIN counts c ON c.Comparison = b.Comparison AND c."Column" = b."Column" AND c.bin = r.bin
+            WHERE b.step > 0)
+, widths AS (SELECT *, CASE WHEN bin = 29 THEN hi ELSE CAST(bin + 1 AS DOUBLE) * step + lo END
+                       - (CAST(bin AS DOUBLE) * step + lo) AS w FROM dense)
+, dens AS (SELECT Comparison, "Column", bin, c1 / w / CAST(n1 AS DOUBLE) + 1e-12 AS d1,
+                  c2 / w / CAST(n2 AS DOUBLE) + 1e-12 AS d2 FROM widths)
+, sums AS (SELECT Comparison, "Column", sum(d1) AS s1, sum(d2) AS s2 FROM dens GROUP BY ALL)
+, pq AS (SELECT d.Comparison, d."Column", d1 / s1 AS p, d2 / s2 AS q FROM dens d
+         JOIN sums s ON d.Comparison = s.Comparison AND d."Column" = s."Column")
+, jsd AS (SELECT Comparison, "Column",
+                 sum(p * ln(p / ((p + q) / 2)) + q * ln(q / ((p + q) / 2))) / (2.0 * ln(2.0)) AS j
+          FROM pq GROUP BY ALL)
+, res AS (SELECT g.Comparison, g."Column",
+                 CASE WHEN b.n1 IS NULL OR b.n2 IS NULL THEN NULL WHEN b.step = 0 THEN 0.0 ELSE j.j END AS JSD
+          FROM grid g LEFT JOIN b2 b ON g.Comparison = b.Comparison AND g."Column" = b."Column"
+          LEFT JOIN jsd j ON g.Comparison = j.Comparison AND g."Column" = j."Column")
+SELECT Comparison, "Column", CAST(JSD AS DOUBLE) AS JSD,
+       CASE WHEN JSD IS NULL THEN NULL WHEN JSD < 0.05 THEN 'Very similar' WHEN JSD < 0.2 THEN 'Somewhat different'
+            ELSE 'Noticeably different' END AS Divergence FROM res
+"""
+
+
+@register("jensen_shannon", JSD_SQL)
+def q_jensen_shannon(spark, sf_dir):
+    return di.jensen_shannon(activity(spark, sf_dir), NUM, LAB, REF_CLASSES)
+
+
+KDE_SQL = LONG_CTE + """
+, stats AS (SELECT "Column", cls, count(*) AS n, stddev_samp(v) AS sd, min(v) AS vmin, max(v) AS vmax FROM long
+            GROUP BY ALL HAVING count(*) >= 2 AND stddev_samp(v) > 0)
+, s2 AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM stats)
+, s3 AS (SELECT *, vmin - 3.0 * h AS lo, vmax + 3.0 * h AS hi FROM s2)
+, s4 AS (SELECT *, (hi - lo) / 199.0 AS step FROM s3)
+, g AS (SELECT "Column", cls, n, h, CAST(p.range AS INTEGER) AS point,
+               CASE WHEN p.range = 199 THEN hi ELSE CAST(p.range AS DOUBLE) * step + lo END AS x
+        FROM s4, range(0, 200) p)
+, pts AS (SELECT "Column", cls, v, count(*) AS w FROM long GROUP BY ALL)
+SELECT g."Column", g.cls AS class, g.point, g.x,
+       sum(CAST(p.w AS DOUBLE) * exp(-0.5 * ((g.x - p.v) / g.h) * ((g.x - p.v) / g.h)))
+       / (CAST(g.n AS DOUBLE) * g.h * sqrt(2.0 * pi())) AS density
+FROM g JOIN pts p ON g."Column" = p."Column" AND g.cls = p.cls
+GROUP BY g."Column", g.cls, g.point, g.x, g.n, g.h
+"""
+
+
+@register("kde_curves", KDE_SQL)
+def q_kde_curves(spark, sf_dir):
+    return di.kde_curves(activity(spark, sf_dir), NUM, LAB)
+
+
+CHI_SQL = """
+WITH cells AS (SELECT o_orderstatus AS a, o_orderpriority AS b, count(*) AS o FROM orders
+               WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY ALL)
+, ra AS (SELECT a, sum(o) AS ra FROM cells GROUP BY a)
+, cb AS (SELECT b, sum(o) AS cb FROM cells GROUP BY b)
+, t AS (SELECT sum(o) AS n, count(DISTINCT a) AS ka, count(DISTINCT b) AS kb FROM cells)
+, obs AS (SELECT CAST(c.o AS DOUBLE) AS o, CAST(r.ra AS DOUBLE) * CAST(k.cb AS DOUBLE) / CAST(t.n AS DOUBLE) AS e
+          FROM cells c JOIN ra r ON c.a = r.a JOIN cb k ON c.b = k.b, t)
+SELECT CAST(t.n AS BIGINT) AS n, CAST(t.ka AS BIGINT) AS levels_a, CAST(t.kb AS BIGINT) AS levels_b,
+       CAST((t.ka - 1) * (t.kb - 1) AS BIGINT) AS dof,
+       (SELECT sum((o - e) * (o - e) / e) FROM obs) + (CAST(t.n AS DOUBLE) - (SELECT sum(e) FROM obs)) AS statistic
+FROM t
+"""
+
+
+@register("chi_square_statistic", CHI_SQL)
+def q_chi_square_statistic(spark, sf_dir):
+    return di.chi_square_statistic(read_table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
+
+
+@register("chi_square_test")
+def q_chi_square_test(spark, sf_dir):
+    return di.chi_square_test(read_table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
+
+
+@register("ks_normality")
+def q_ks_normality(spark, sf_dir):
+    return di.ks_normality(activity(spark, sf_dir), NUM)
