@@ -97,3 +97,31 @@ def index_to_label(prediction: Column | str, labels: Sequence[str], unknown: str
     arr = F.array(*[F.lit(x) for x in labels]) if labels else F.array().cast("array<string>")
     idx = col_(prediction).cast("int") + F.lit(1)
     return F.coalesce(F.try_element_at(arr, idx), F.lit(unknown))
+
+
+# A deterministic rule classifier: the activity pattern read as a workout class. It is the stand-in predictor that
+# lets evaluation operators be checked against SQL (trained predictions have no SQL form).
+PATTERN_CLASS = {
+    "High_Intensity_Cardio": "Cardio",
+    "Strength_Like": "Strength",
+    "Low_Intensity": "Yoga",
+    "Moderate_Activity": "None",
+}
+
+
+def rule_class(steps: Column | str = "Steps", hr: Column | str = "Heart_Rate_avg") -> Column:
+    pattern = activity_pattern(steps, hr)
+    expr = None
+    for key, value in PATTERN_CLASS.items():
+        cond = pattern == F.lit(key)
+        expr = F.when(cond, F.lit(value)) if expr is None else expr.when(cond, F.lit(value))
+    return expr
+
+
+# A fixed linear formula used as the stand-in regressor for Calories_Burned.
+LINEAR_RULE = {"intercept": 50.0, "Steps": 0.01, "Heart_Rate_avg": 0.5}
+
+
+def linear_rule(steps: Column | str = "Steps", hr: Column | str = "Heart_Rate_avg") -> Column:
+    return (F.lit(LINEAR_RULE["intercept"]) + F.lit(LINEAR_RULE["Steps"]) * col_(steps).cast("double")
+            + F.lit(LINEAR_RULE["Heart_Rate_avg"]) * col_(hr).cast("double"))

@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.hashing import hash01_sql_duckdb
+from ..functions import expressions as ex
 from ..operators import clean as cl
+from ..operators import evaluate as ev
 from ..operators import distribution as di
 from ..operators import features as fe
 from ..operators import profile as pr
@@ -440,3 +442,220 @@ def q_chi_square_test(spark, sf_dir):
 @register("ks_normality")
 def q_ks_normality(spark, sf_dir):
     return di.ks_normality(activity(spark, sf_dir), NUM)
+
+
+# ---------------------------------------------------------------- K, H, I: evaluation against a rule predictor
+RULE_SQL = ("CASE WHEN Steps > 10000 AND Heart_Rate_avg > 140 THEN 'Cardio' "
+            "WHEN Steps < 5000 AND Heart_Rate_avg < 120 THEN 'Yoga' "
+            "WHEN Steps < 8000 AND Heart_Rate_avg > 130 THEN 'Strength' ELSE 'None' END")
+PRED_CTE = CLEAN_CTE.rstrip() + f"""
+, p AS (SELECT *, {RULE_SQL} AS predicted, CASE WHEN {HASH} < 0.8 THEN 'train' ELSE 'test' END AS split FROM strict)
+"""
+
+
+def rule_predictions(spark, sf_dir):
+    return sa.split_column(strict(spark, sf_dir), "row_id").withColumn("predicted", ex.rule_class())
+
+
+def _per_class_sql(group: str | None) -> str:
+    g = f"{group}, " if group else ""
+    on = f"a.{group} = b.{group} AND " if group else ""
+    gsel = f"coalesce(a.{group}, b.{group}) AS {group}, " if group else ""
+    return f"""
+, counts AS (SELECT {g}{LAB} AS actual, predicted, count(*) AS cnt FROM p GROUP BY ALL)
+, act AS (SELECT {g}actual AS class, sum(cnt) AS support,
+                 sum(CASE WHEN actual = predicted THEN cnt ELSE 0 END) AS tp FROM counts GROUP BY ALL)
+, prd AS (SELECT {g}predicted AS class, sum(cnt) AS predicted_n FROM counts GROUP BY ALL)
+, pc AS (SELECT {gsel}coalesce(a.class, b.class) AS class, CAST(coalesce(a.support, 0) AS DOUBLE) AS support,
+                CAST(coalesce(a.tp, 0) AS DOUBLE) AS tp, CAST(coalesce(b.predicted_n, 0) AS DOUBLE) AS predicted_n
+         FROM act a FULL OUTER JOIN prd b ON {on}a.class = b.class)
+, pr AS (SELECT *, coalesce(tp / NULLIF(predicted_n, 0), 0.0) AS precision,
+                   coalesce(tp / NULLIF(support, 0), 0.0) AS recall FROM pc)
+, sc AS (SELECT *, coalesce(2 * precision * recall / NULLIF(precision + recall, 0), 0.0) AS f1 FROM pr)
+"""
+
+
+@register("rule_per_class_metrics", PRED_CTE + _per_class_sql(None) +
+          "SELECT class, precision, recall, f1, CAST(support AS BIGINT) AS support FROM sc")
+def q_rule_per_class_metrics(spark, sf_dir):
+    return ev.per_class_metrics(rule_predictions(spark, sf_dir), LAB, "predicted")
+
+
+@register("rule_metrics_by_split", PRED_CTE + _per_class_sql("split") + """
+SELECT split, CAST(sum(support) AS BIGINT) AS n, sum(recall * support) / NULLIF(sum(support), 0) AS accuracy,
+       sum(f1 * support) / NULLIF(sum(support), 0) AS f1_score,
+       sum(precision * support) / NULLIF(sum(support), 0) AS precision,
+       sum(recall * support) / NULLIF(sum(support), 0) AS recall FROM sc GROUP BY split""")
+def q_rule_metrics_by_split(spark, sf_dir):
+    return ev.classification_metrics(rule_predictions(spark, sf_dir), LAB, "predicted", ["split"])
+
+
+@register("rule_confusion_matrix", PRED_CTE + f"""
+, cls AS (SELECT {LAB} AS c FROM p UNION SELECT predicted FROM p)
+, counts AS (SELECT {LAB} AS actual, predicted, count(*) AS cnt FROM p GROUP BY ALL)
+SELECT a.c AS actual, b.c AS predicted, CAST(coalesce(k.cnt, 0) AS BIGINT) AS count
+FROM cls a CROSS JOIN cls b LEFT JOIN counts k ON k.actual = a.c AND k.predicted = b.c""")
+def q_rule_confusion_matrix(spark, sf_dir):
+    return ev.confusion_matrix(rule_predictions(spark, sf_dir), LAB, "predicted")
+
+
+@register("rule_overfitting_gap", PRED_CTE + f"""
+, acc AS (SELECT split, avg(CASE WHEN {LAB} = predicted THEN 1.0 ELSE 0.0 END) AS a FROM p GROUP BY split)
+, r AS (SELECT CAST(max(CASE WHEN split = 'train' THEN a END) AS DOUBLE) AS train_accuracy,
+               CAST(max(CASE WHEN split = 'test' THEN a END) AS DOUBLE) AS test_accuracy FROM acc)
+SELECT train_accuracy, test_accuracy, train_accuracy - test_accuracy AS gap,
+       train_accuracy - test_accuracy > 0.15 AS overfitting,
+       CASE WHEN test_accuracy IS NULL THEN NULL WHEN test_accuracy > 0.8 THEN 'EXCELLENT'
+            WHEN test_accuracy > 0.6 THEN 'GOOD' WHEN test_accuracy > 0.4 THEN 'MODERATE' ELSE 'POOR' END AS verdict
+FROM r""")
+def q_rule_overfitting_gap(spark, sf_dir):
+    return ev.overfitting_gap(rule_predictions(spark, sf_dir), "split", LAB, "predicted")
+
+
+@register("accuracy_by_counting", PRED_CTE +
+          f"SELECT avg(CASE WHEN {LAB} = predicted THEN 1.0 ELSE 0.0 END) AS accuracy FROM p")
+def q_accuracy_by_counting(spark, sf_dir):
+    return ev.accuracy_by_counting(rule_predictions(spark, sf_dir), LAB, "predicted")
+
+
+@register("auc_heart_rate", CTE + f"""
+, b AS (SELECT CAST(Heart_Rate_avg AS DOUBLE) AS s, CASE WHEN {LAB} = 'Cardio' THEN 1 ELSE 0 END AS pos,
+               CASE WHEN {LAB} = 'Cardio' THEN 0 ELSE 1 END AS neg
+        FROM activity WHERE {LAB} IN ('Cardio', 'None') AND Heart_Rate_avg IS NOT NULL)
+, g AS (SELECT s, sum(pos) AS pos, sum(neg) AS neg FROM b GROUP BY s)
+, c AS (SELECT s, pos, neg, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn FROM g)
+, t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM b)
+SELECT (SELECT sum(CAST(pos AS DOUBLE) * (CAST(cn AS DOUBLE) - CAST(neg AS DOUBLE) + CAST(neg AS DOUBLE) / 2.0)) FROM c)
+       / (CAST(t.P AS DOUBLE) * CAST(t.N AS DOUBLE)) AS auc,
+       CAST(t.P AS BIGINT) AS positives, CAST(t.N AS BIGINT) AS negatives FROM t""")
+def q_auc_heart_rate(spark, sf_dir):
+    from pyspark.sql import functions as F
+    binary = activity(spark, sf_dir).where(F.col(LAB).isin("Cardio", "None"))
+    scored = binary.select((F.col(LAB) == "Cardio").cast("double").alias("label"),
+                           F.col("Heart_Rate_avg").alias("score"))
+    return ev.auc_roc(scored, "label", "score", 1.0)
+
+
+@register("linear_rule_regression_metrics", CLEAN_CTE + f"""
+, p AS (SELECT CAST(Calories_Burned AS DOUBLE) AS y,
+               50.0 + 0.01 * CAST(Steps AS DOUBLE) + 0.5 * CAST(Heart_Rate_avg AS DOUBLE) AS yhat FROM loose)
+SELECT sqrt(sum((y - yhat) * (y - yhat)) / count(*)) AS RMSE,
+       1.0 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)) AS R2,
+       sum(abs(y - yhat)) / count(*) AS MAE FROM p""")
+def q_linear_rule_regression_metrics(spark, sf_dir):
+    return ev.regression_metrics(loose(spark, sf_dir).withColumn("prediction", ex.linear_rule()), "Calories_Burned")
+
+
+@register("label_index_roundtrip", CTE + f"""
+, c AS (SELECT {LAB}, count(*) AS n FROM activity WHERE {LAB} IS NOT NULL GROUP BY {LAB})
+, r AS (SELECT {LAB}, CAST(row_number() OVER (ORDER BY n DESC, {LAB} ASC) - 1 AS DOUBLE) AS label FROM c)
+SELECT a.row_id, a.{LAB}, r.label, a.{LAB} AS predicted_label FROM activity a JOIN r ON a.{LAB} = r.{LAB}""")
+def q_label_index_roundtrip(spark, sf_dir):
+    from ..plans import preprocessing as pp
+    data = activity(spark, sf_dir)
+    indexer = pp.label_indexer(LAB, "label", handle_invalid="skip").fit(data)
+    indexed = indexer.transform(data)
+    return ev.with_predicted_label(indexed, indexer.labels, "label").select("row_id", LAB, "label", "predicted_label")
+
+
+# ---------------------------------------------------------------- A: table sources and sinks
+@register("describe_columns", CTE + """
+SELECT column_name AS col_name,
+       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+            ELSE lower(column_type) END AS data_type
+FROM (DESCRIBE SELECT * FROM activity)""")
+def q_describe_columns(spark, sf_dir):
+    from ..sources.tables import describe_columns
+    return describe_columns(activity(spark, sf_dir)).select("col_name", "data_type")
+
+
+UPSERT_SQL = CTE.rstrip() + f"""
+, target AS (SELECT * FROM activity WHERE {HASH} < 0.7)
+, source AS (SELECT row_id, Steps, Heart_Rate_avg, Calories_Burned + 1.0 AS Calories_Burned, {LAB}
+             FROM activity WHERE {HASH} >= 0.5)
+SELECT * FROM target WHERE row_id NOT IN (SELECT row_id FROM source) UNION ALL SELECT * FROM source
+"""
+
+
+@register("upsert", UPSERT_SQL)
+def q_upsert(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from ..functions.hashing import hash01
+    from ..sources.tables import upsert, with_changed
+    data = activity(spark, sf_dir)
+    target = data.where(hash01("row_id") < 0.7)
+    source = with_changed(data.where(hash01("row_id") >= 0.5), "Calories_Burned", 1.0).select(*data.columns)
+    return upsert(target, source, ["row_id"]).select(*[F.col(c) for c in data.columns])
+
+
+# ---------------------------------------------------------------- J: trained models (no SQL form: rows-only checks)
+def _ml_input(spark, sf_dir):
+    return activity(spark, sf_dir)
+
+
+@register("logistic_regression_accuracy")
+def q_logistic_regression_accuracy(spark, sf_dir):
+    """J1 + C17: one-feature logistic regression of the class on calories, accuracy on the test split."""
+    from pyspark.ml import Pipeline
+
+    from . import estimators as es
+    from .preprocessing import preprocessing_stages
+    data = cl.drop_nulls(activity(spark, sf_dir), [LAB, "Calories_Burned"])
+    train, test = sa.train_test_split(data, "row_id")
+    model = Pipeline(stages=[*preprocessing_stages(["Calories_Burned"], target_col=LAB, scaler=None),
+                             es.logistic_regression()]).fit(train)
+    return ev.accuracy_by_counting(model.transform(test))
+
+
+@register("rf_regression_residuals")
+def q_rf_regression_residuals(spark, sf_dir):
+    """J4 + I2 + B16: forest regression of calories, every cleaned row scored, with ``Diff``."""
+    from .training import train_regressor
+    _, scored, _ = train_regressor(activity(spark, sf_dir), "rf", one_hot=True, score_all=True)
+    return scored.select("row_id", "Steps", "Heart_Rate_avg", LAB, "Calories_Burned", "prediction", "Diff")
+
+
+@register("linear_regression_metrics")
+def q_linear_regression_metrics(spark, sf_dir):
+    """J3 + K3: linear regression of calories, RMSE / R2 / MAE on the test split."""
+    from .training import train_regressor
+    _, _, metrics = train_regressor(activity(spark, sf_dir), "linear", one_hot=False)
+    return metrics
+
+
+@register("rf_class_predictions")
+def q_rf_class_predictions(spark, sf_dir):
+    """J5 + H1 + K9: default forest on the loose-cleaned table, every row scored with its class name."""
+    from pyspark.ml import Pipeline
+
+    from . import estimators as es
+    from .preprocessing import preprocessing_stages
+    data = loose(spark, sf_dir)
+    model = Pipeline(stages=[*preprocessing_stages(NUM, target_col=LAB, scaler=None), es.rf_classifier()]).fit(data)
+    labels = list(model.stages[0].labels)
+    return ev.with_predicted_label(model.transform(data), labels) \
+        .select("row_id", *NUM, LAB, "prediction", "predicted_label")
+
+
+@register("train_v1_metrics")
+def q_train_v1_metrics(spark, sf_dir):
+    """J15 v1 + K1 + K7: standard-scaled forest, metrics on both splits."""
+    from .training import TrainConfig, train_classifier
+    return train_classifier(activity(spark, sf_dir), TrainConfig(version="v1")).metrics
+
+
+@register("train_v2_feature_importance")
+def q_train_v2_feature_importance(spark, sf_dir):
+    """J15 v2 + K8: forest on ratio and bucket features; importances ascending."""
+    from .training import TrainConfig, train_classifier
+    res = train_classifier(activity(spark, sf_dir), TrainConfig(version="v2"))
+    return ev.feature_importance(res.model, res.feature_names)
+
+
+@register("model_comparison_v3")
+def q_model_comparison_v3(spark, sf_dir):
+    """J12 + J13 on v3 features (strict cleaning, undersampled train): one metrics row per model."""
+    from .training import TrainConfig, train_classifier
+    cfg = TrainConfig(version="v3", rules=dict(cl.STRICT_RULES), balance="undersample", compare=True)
+    return train_classifier(activity(spark, sf_dir), cfg).comparison
