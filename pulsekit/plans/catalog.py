@@ -659,3 +659,51 @@ def q_model_comparison_v3(spark, sf_dir):
     from .training import TrainConfig, train_classifier
     cfg = TrainConfig(version="v3", rules=dict(cl.STRICT_RULES), balance="undersample", compare=True)
     return train_classifier(activity(spark, sf_dir), cfg).comparison
+
+
+# ---------------------------------------------------------------- L5: Shapley values
+SHAP_BACKGROUND = 100
+
+
+def _shap_sql() -> str:
+    from ..operators.explain import coalition_coefficients
+    coefs = ", ".join(f"('{NUM[i]}', {mask}, {coef!r})" for i, mask, coef in coalition_coefficients(len(NUM)))
+    picks = ",\n       ".join(
+        f"CASE WHEN (m.mask & {1 << j}) <> 0 THEN {d('x.' + c)} ELSE {d('b.' + c)} END AS {c}"
+        for j, c in enumerate(NUM))
+    return CLEAN_CTE.rstrip() + f"""
+, bg AS (SELECT * FROM strict ORDER BY {HASH}, row_id LIMIT {SHAP_BACKGROUND})
+, masks AS (SELECT CAST(range AS INTEGER) AS mask FROM range(0, {1 << len(NUM)}))
+, syn AS (SELECT x.row_id, m.mask,
+       {picks}
+       FROM strict x CROSS JOIN masks m CROSS JOIN bg b)
+, f AS (SELECT row_id, mask, CASE WHEN {RULE_SQL} = 'Cardio' THEN 1.0 ELSE 0.0 END AS f FROM syn)
+, coefs AS (SELECT * FROM (VALUES {coefs}) t(feature, mask, coef))
+SELECT f.row_id, c.feature, sum(c.coef * f.f) / (SELECT CAST(count(*) AS DOUBLE) FROM bg) AS shap_value
+FROM f JOIN coefs c ON f.mask = c.mask GROUP BY f.row_id, c.feature"""
+
+
+@register("shap_rule_cardio", _shap_sql())
+def q_shap_rule_cardio(spark, sf_dir):
+    """L5 with a rule model (indicator of the rule predicting Cardio): every cleaned row explained."""
+    from ..operators import explain as xp
+    data = strict(spark, sf_dir)
+    background = xp.background_sample(data, "row_id", SHAP_BACKGROUND)
+    value = xp.column_output(lambda: (ex.rule_class() == "Cardio").cast("double"))
+    return xp.shapley_values(data, background, NUM, value, "row_id")
+
+
+@register("shap_random_forest")
+def q_shap_random_forest(spark, sf_dir):
+    """L5 with a trained forest: Shapley values of the class-0 probability for every cleaned row."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    from ..operators import explain as xp
+    from . import estimators as es
+    from .preprocessing import label_indexer
+    data = strict(spark, sf_dir)
+    indexed = label_indexer(LAB).fit(data).transform(data)
+    model = Pipeline(stages=[VectorAssembler(inputCols=NUM, outputCol="features"), es.rf_classifier()]).fit(indexed)
+    background = xp.background_sample(data, "row_id", SHAP_BACKGROUND)
+    return xp.shapley_values(data, background, NUM, xp.model_output(model, 0), "row_id")
