@@ -28,11 +28,17 @@ def confusion_counts(pred: DataFrame, label_col: str = "label", prediction_col:
 
 def _per_class(counts: DataFrame, g: list[str]) -> DataFrame:
     """``group..., class, tp, support (actual), predicted_n`` over the union of actual and predicted classes."""
-    actual = counts.groupBy(*g, F.col("actual").alias("class")).agg(
-        F.sum("count").alias("support"),
-        F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0)).alias("tp"))
-    predicted = counts.groupBy(*g, F.col("predicted").alias("class")).agg(F.sum("count").alias("predicted_n"))
-    return actual.join(predicted, [*g, "class"], "full_outer").fillna(0, ["support", "tp", "predicted_n"])
+    # Each confusion cell speaks for two classes: as the actual class (support, true positives) and as the predicted
+    # class (predicted count). Exploding the two roles and summing once replaces a join of two aggregates.
+    zero = F.lit(0).cast("long")
+    hit = F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(zero)
+    roles = F.array(
+        F.struct(F.col("actual").alias("class"), F.col("count").alias("support"), hit.alias("tp"),
+                 zero.alias("predicted_n")),
+        F.struct(F.col("predicted").alias("class"), zero.alias("support"), zero.alias("tp"),
+                 F.col("count").alias("predicted_n")))
+    return counts.select(*g, F.inline(roles)).groupBy(*g, "class").agg(
+        F.sum("support").alias("support"), F.sum("tp").alias("tp"), F.sum("predicted_n").alias("predicted_n"))
 
 
 def per_class_metrics(pred: DataFrame, label_col: str = "label", prediction_col: str = "prediction",
