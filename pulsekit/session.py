@@ -44,16 +44,15 @@ def get_spark(master: str | None = None, app_name: str = "pulsekit", shuffle_par
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the checkpoint folder of the session, setting it on the context if needed.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; that always wins. Only when it is unset (local
-    tests) do we create one, under ``fallback`` or a fresh temporary folder.
+    The cluster names its shared folder in ``spark.checkpoint.dir``; that always wins. Only when it is unset and the
+    master is local (tests) do we create one, under ``fallback`` or a fresh temporary folder; a cluster without the
+    setting is an error rather than a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,8 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif fallback is not None or sc.master.startswith("local"):
         base = fallback or tempfile.mkdtemp(prefix="pulsekit-ckpt-")
         os.makedirs(base, exist_ok=True)
         sc.setCheckpointDir(base)
+    else:
+        # A folder on one machine is invisible to the other executors and vanishes with them.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) for this cluster")
     return sc.getCheckpointDir()

@@ -1 +1,6 @@
-"""streaming."""
+"""Streaming: intentionally empty.
+
+The reference has no streaming sources, sinks or stateful operators, so nothing is built here. Every batch operator
+in ``pulsekit.operators`` takes a DataFrame, so a ``foreachBatch`` sink can call them on micro-batches if that is
+ever needed.
+"""
