@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import accuracy_verdict, index_to_label, overfitting_flag, safe_div
-from .ordered import cumulative_by_value, with_scalars
+from .ordered import cumulative_by_value
 
 
 def confusion_counts(pred: DataFrame, label_col: str = "label", prediction_col: str = "prediction",
@@ -132,10 +132,9 @@ def auc_roc(pred: DataFrame, label_col: str = "label", score_col: str = "score",
         (F.col(label_col) == F.lit(positive)).cast("long").alias("pos"),
         (F.col(label_col) != F.lit(positive)).cast("long").alias("neg"))
     cum = cumulative_by_value(base, [], "s", ["pos", "neg"], num_partitions)
-    part = cum.agg(F.sum(F.col("pos").cast("double") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0))
-                   .alias("_area"))
-    totals = base.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return with_scalars(part, totals).select(
+    area = cum.agg(F.sum(F.col("pos").cast("double") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0))
+                   .alias("_area"), F.max("total_pos").alias("P"), F.max("total_neg").alias("N"))
+    return area.select(
         safe_div(F.col("_area"), F.col("P") * F.col("N")).alias("auc"),
         F.col("P").cast("long").alias("positives"), F.col("N").cast("long").alias("negatives"))
 

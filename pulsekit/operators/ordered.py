@@ -34,7 +34,8 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 def cumulative_by_value(df: DataFrame, group_cols: Sequence[str], value_col: str, weight_cols: Sequence[str],
                         num_partitions: int | None = None, prefix: str = "cum_") -> DataFrame:
-    """One row per (group, value): the summed weights and their running totals ``<prefix><weight>``.
+    """One row per (group, value): the summed weights, their running totals ``<prefix><weight>`` and the group's
+    grand totals ``total_<weight>`` (taken from the small offsets table, so callers need no second scan).
 
     Rows with a NULL value should be removed by the caller; NULL weights count as 0.
     """
@@ -55,15 +56,18 @@ def cumulative_by_value(df: DataFrame, group_cols: Sequence[str], value_col: str
     totals = ranged.groupBy(PART_COL, *group_cols).agg(*[F.sum(w).alias(w) for w in weight_cols])
     before = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \
         .orderBy(PART_COL).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
     offsets = totals.select(PART_COL, *group_cols,
-                            *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"_off_{w}") for w in weight_cols])
+                            *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"_off_{w}") for w in weight_cols],
+                            *[F.sum(w).over(whole).alias(f"total_{w}") for w in weight_cols])
 
     running = Window.partitionBy(PART_COL, *group_cols).orderBy(value_col) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = ranged.join(F.broadcast(offsets), [PART_COL, *group_cols], "inner")
     return joined.select(
         *group_cols, value_col, *weight_cols,
-        *[(F.col(f"_off_{w}") + F.sum(w).over(running)).alias(f"{prefix}{w}") for w in weight_cols])
+        *[(F.col(f"_off_{w}") + F.sum(w).over(running)).alias(f"{prefix}{w}") for w in weight_cols],
+        *[f"total_{w}" for w in weight_cols])
 
 
 def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, probability: float = 0.5,
@@ -75,10 +79,7 @@ def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, prob
     group_cols = list(group_cols)
     base = df.where(F.col(value_col).isNotNull()).select(*group_cols, value_col, F.lit(1).cast("long").alias("_w"))
     cum = cumulative_by_value(base, group_cols, value_col, ["_w"], num_partitions)
-    totals = base.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    # Per-group totals: AQE broadcasts them only when their measured size is under the threshold.
-    reached = cum.join(totals, group_cols, "inner") if group_cols else with_scalars(cum, totals)
-    reached = reached.where(F.col("cum__w") >= F.lit(float(probability)) * F.col("_n"))
+    reached = cum.where(F.col("cum__w") >= F.lit(float(probability)) * F.col("total__w"))
     return reached.groupBy(*group_cols).agg(F.min(value_col).alias(out_col))
 
 

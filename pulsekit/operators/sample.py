@@ -45,7 +45,8 @@ def undersample(df: DataFrame, label_col: str, key: str = "row_id", seed: int =
     counts = _class_counts(df, label_col)
     fractions = with_scalars(counts, counts.agg(F.min("_class_n").alias("_min_n"))) \
         .select(label_col, (F.col("_min_n").cast("double") / F.col("_class_n")).alias("_keep_fraction"))
-    joined = df.join(fractions, label_col, "inner")
+    # One row per class: broadcasting it keeps a class holding most rows out of any single shuffle partition.
+    joined = df.join(F.broadcast(fractions), label_col, "inner")
     return joined.where(hash01(key, seed) < F.col("_keep_fraction")).drop("_keep_fraction")
 
 
@@ -60,7 +61,7 @@ def oversample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 4
     counts = _class_counts(df, label_col)
     ratios = with_scalars(counts, counts.agg(F.max("_class_n").alias("_max_n"))) \
         .select(label_col, (F.col("_max_n").cast("double") / F.col("_class_n")).alias("_ratio"))
-    joined = df.join(ratios, label_col, "inner")
+    joined = df.join(F.broadcast(ratios), label_col, "inner")
     whole = F.floor(F.col("_ratio"))
     copies = whole + F.when(hash01(key, seed) < F.col("_ratio") - whole, 1).otherwise(0)
     return joined.withColumn(copy_col, F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long")))) \
