@@ -83,16 +83,17 @@ def confusion_matrix(pred: DataFrame, label_col: str = "label", prediction_col:
                      classes: Sequence[str] | None = None) -> DataFrame:
     """K5: dense ``actual, predicted, count`` over classes x classes, keyed by class (not by axis position).
 
-    The class list is the union of observed labels and predictions (a label column has few values) unless given;
-    the dense grid is that list squared, built from literals.
+    The class list is the union of observed labels and predictions unless given. The dense grid is built inside the
+    plan: the classes are gathered into one array (a label column has few values) and exploded twice, so there is
+    no collect and no cross join, and the small counts table is joined onto it.
     """
     counts = confusion_counts(pred, label_col, prediction_col)
     if classes is None:
-        rows = counts.select(F.col("actual").alias("c")).union(counts.select("predicted")).distinct().collect()
-        classes = sorted(r[0] for r in rows)
-    spark = pred.sparkSession
-    dtype = counts.schema["actual"].dataType.simpleString()
-    grid = spark.createDataFrame([(a, p) for a in classes for p in classes], f"actual {dtype}, predicted {dtype}")
+        cls = counts.agg(F.array_sort(F.array_union(F.collect_set("actual"), F.collect_set("predicted"))).alias("c"))
+    else:
+        dtype = counts.schema["actual"].dataType
+        cls = pred.sparkSession.range(1).select(F.array(*[F.lit(c).cast(dtype) for c in classes]).alias("c"))
+    grid = cls.select(F.explode("c").alias("actual"), "c").select("actual", F.explode("c").alias("predicted"))
     return grid.join(counts, ["actual", "predicted"], "left") \
         .select("actual", "predicted", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
