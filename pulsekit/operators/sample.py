@@ -51,21 +51,37 @@ def undersample(df: DataFrame, label_col: str, key: str = "row_id", seed: int =
 
 
 def oversample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 42,
-               copy_col: str = "copy_id") -> DataFrame:
+               copy_col: str = "copy_id", chunk: int = 256) -> DataFrame:
     """duplicate every class toward the majority count.
 
     A row of a class with ``count`` rows appears ``floor(max/count)`` times, plus once more when
     ``hash01(key, seed) < frac(max/count)``, so the expected class size is exactly the majority count (the
     reference's self-union doubles instead). ``copy_col`` numbers the copies from 1.
+
+    When some row needs more than ``chunk`` copies (a tiny class next to a huge one), its copies are first cut into
+    chunks of ``chunk`` and the chunks are hash-spread over the shuffle partitions before the final explode, so a
+    handful of minority rows does not generate the whole class inside a handful of tasks. Deciding this reads one
+    number (the largest ratio) on the driver.
     """
     counts = _class_counts(df, label_col)
     ratios = with_scalars(counts, counts.agg(F.max("_class_n").alias("_max_n"))) \
         .select(label_col, (F.col("_max_n").cast("double") / F.col("_class_n")).alias("_ratio"))
     joined = df.join(F.broadcast(ratios), label_col, "inner")
     whole = F.floor(F.col("_ratio"))
-    copies = whole + F.when(hash01(key, seed) < F.col("_ratio") - whole, 1).otherwise(0)
-    return joined.withColumn(copy_col, F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long")))) \
-        .drop("_ratio")
+    copies = (whole + F.when(hash01(key, seed) < F.col("_ratio") - whole, 1).otherwise(0)).cast("long")
+    top = ratios.agg(F.max("_ratio")).first()[0]
+    if top is None or top <= chunk:
+        return joined.withColumn(copy_col, F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop("_ratio")
+    step = F.lit(chunk).cast("long")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    chunked = joined.withColumn("_n_copies", copies) \
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n_copies") - 1) / step)
+                                                   .cast("long")))) \
+        .repartition(parts, key, "_chunk")
+    first = F.col("_chunk") * step + 1
+    last = F.least(F.col("_n_copies"), (F.col("_chunk") + 1) * step)
+    return chunked.withColumn(copy_col, F.explode(F.sequence(first, last))) \
+        .drop("_ratio", "_n_copies", "_chunk")
 
 
 def balance(df: DataFrame, label_col: str, strategy: str = "undersample", key: str = "row_id",

@@ -48,3 +48,14 @@ def test_balance_dispatch(spark):
         pass
     else:
         raise AssertionError("unknown strategy must raise")
+
+
+def test_oversample_chunked_path_matches_direct(spark):
+    df = frame(spark, {"big": 2000, "tiny": 3})
+    direct = sa.oversample(df, "Workout_Type", chunk=10_000)
+    chunked = sa.oversample(df, "Workout_Type", chunk=64)
+    key = ["row_id", "copy_id"]
+    assert direct.count() == chunked.count()
+    assert direct.select(*key).exceptAll(chunked.select(*key)).count() == 0
+    tiny = chunked.where("Workout_Type = 'tiny'").groupBy("row_id").agg(F.countDistinct("copy_id").alias("c"))
+    assert all(r["c"] >= 666 for r in tiny.collect())

@@ -53,3 +53,10 @@ def test_model_save_load_with_signature(spark, tmp_out):
         pass
     else:
         raise AssertionError("missing signed column must raise")
+
+
+def test_sql_select_and_describe_catalog_view(spark):
+    spark.createDataFrame([(1, "x")], "a long, b string").createOrReplaceTempView("pk_tmp_view")
+    assert tables.select_all(spark, "pk_tmp_view").count() == 1
+    names = [r["col_name"] for r in tables.describe_table(spark, "pk_tmp_view").collect()]
+    assert names[:2] == ["a", "b"]
