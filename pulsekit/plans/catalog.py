@@ -82,6 +82,12 @@ def q_numeric_monitoring(spark, sf_dir):
     return pr.numeric_monitoring(activity(spark, sf_dir), NUM, median="exact")
 
 
+@register("numeric_monitoring_approx")
+def q_numeric_monitoring_approx(spark, sf_dir):
+    """C1 with the reference's ``percentile_approx`` median (default accuracy); DuckDB's sketch differs: rows-only."""
+    return pr.numeric_monitoring(activity(spark, sf_dir), NUM, median="approx")
+
+
 @register("categorical_monitoring", CTE + f"""
 , c AS (SELECT {LAB}, count(*) AS n FROM activity GROUP BY {LAB})
 SELECT (SELECT {LAB} FROM c ORDER BY n DESC, {LAB} ASC NULLS LAST LIMIT 1) AS Mode,
