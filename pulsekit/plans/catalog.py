@@ -445,7 +445,37 @@ def q_chi_square_test(spark, sf_dir):
     return di.chi_square_test(read_table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
 
 
-@register("ks_normality")
+def _ks_normality_sql() -> str:
+    from ..functions.stats import normal_cdf_sql
+    long = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {d(c)} AS v FROM activity WHERE {c} IS NOT NULL" for c in NUM)
+    cdf = normal_cdf_sql("((v - mean) / std)")
+    return CTE.rstrip() + f"""
+, long AS ({long})
+, mom AS (SELECT "column", count(*) AS n, avg(v) AS mean, stddev_pop(v) AS std FROM long GROUP BY ALL)
+, g AS (SELECT "column", v, count(*) AS w FROM long GROUP BY ALL)
+, c AS (SELECT "column", v, CAST(w AS DOUBLE) AS w,
+               CAST(sum(w) OVER (PARTITION BY "column" ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                    AS DOUBLE) AS cw FROM g)
+, f AS (SELECT c."column", c.v, c.w, c.cw, CAST(m.n AS DOUBLE) AS n, m.mean, m.std FROM c
+        JOIN mom m ON c."column" = m."column" WHERE m.std > 0)
+, cdf AS (SELECT *, {cdf} AS fv FROM f)
+, st AS (SELECT "column", max(greatest(cw / n - fv, fv - (cw - w) / n)) AS ks_statistic FROM cdf GROUP BY ALL)
+, r AS (SELECT m."column", m.n, m.mean, m.std, s.ks_statistic,
+               (sqrt(CAST(m.n AS DOUBLE)) + 0.12 + 0.11 / sqrt(CAST(m.n AS DOUBLE))) * s.ks_statistic AS lam
+        FROM mom m LEFT JOIN st s ON m."column" = s."column")
+, ser AS (SELECT "column", sum(CASE WHEN r2.k % 2 = 1 THEN 1.0 ELSE -1.0 END
+                               * exp(-2.0 * CAST(r2.k AS DOUBLE) * CAST(r2.k AS DOUBLE) * lam * lam)) AS s
+          FROM r, (SELECT range AS k FROM range(1, 101)) r2 GROUP BY ALL)
+, pv AS (SELECT r.*, CAST(CASE WHEN r.ks_statistic IS NULL THEN NULL WHEN r.lam < 0.2 THEN 1.0
+                          ELSE least(greatest(2.0 * ser.s, 0.0), 1.0) END AS DOUBLE) AS p_value
+         FROM r JOIN ser ON r."column" = ser."column")
+SELECT "column", CAST(n AS BIGINT) AS n, mean, std, ks_statistic, p_value,
+       CASE WHEN p_value IS NULL THEN NULL WHEN p_value < 0.05 THEN 'NOT normally distributed'
+            ELSE 'looks normal-ish' END AS verdict FROM pv"""
+
+
+@register("ks_normality", _ks_normality_sql())
 def q_ks_normality(spark, sf_dir):
     return di.ks_normality(activity(spark, sf_dir), NUM)
 
