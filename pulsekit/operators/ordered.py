@@ -86,8 +86,11 @@ def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, prob
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate result to every row of ``df``.
 
-    The one-row side is broadcast (its size is one row by construction) and joined on a constant key, so the plan is
-    a broadcast hash join that keeps ``df``'s partitioning; nothing is collected to the driver.
+    The one-row frame becomes a scalar subquery (packed as one struct, so it runs once): Spark evaluates it before
+    the main stage and inlines the values, so there is no join, no shuffle of ``df`` and nothing collected here.
+    ``one_row`` must produce exactly one row, e.g. a global ``agg``.
     """
-    key = "_scalar_key"
-    return df.withColumn(key, F.lit(0)).join(F.broadcast(one_row.withColumn(key, F.lit(0))), key, "inner").drop(key)
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*cols).alias("_scalars")).scalar()
+    return df.withColumn("_scalars", packed) \
+        .select(*[F.col(c) for c in df.columns], *[F.col(f"_scalars.{c}").alias(c) for c in cols])

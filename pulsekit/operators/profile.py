@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import imbalance_flag, safe_div
@@ -79,9 +79,9 @@ def describe_numeric(df: DataFrame, numeric_cols: Sequence[str]) -> DataFrame:
 def class_distribution(df: DataFrame, label_col: str) -> DataFrame:
     """``label, count, percentage`` sorted by count descending, then label (NULL group kept)."""
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("count"))
-    total = counts.agg(F.sum("count").alias("_total"))
-    return with_scalars(counts, total).select(
-        label_col, "count", (safe_div(F.col("count"), F.col("_total")) * 100).alias("percentage")) \
+    # The total is a window over the per-class table (one row per class), not a second pass over the data.
+    total = F.sum("count").over(Window.partitionBy())
+    return counts.select(label_col, "count", (safe_div(F.col("count"), total) * 100).alias("percentage")) \
         .orderBy(F.desc("count"), F.asc_nulls_last(label_col))
 
 

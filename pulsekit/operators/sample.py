@@ -7,11 +7,10 @@ Class counts are a grouped aggregate (one row per class) joined back by label, n
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash01
-from .ordered import with_scalars
 
 
 def split_column(df: DataFrame, key: str, train_fraction: float = 0.8, seed: int = 42,
@@ -31,6 +30,11 @@ def train_test_split(df: DataFrame, key: str | None = "row_id", train_fraction:
     return df.where(h < F.lit(float(train_fraction))), df.where(h >= F.lit(float(train_fraction)))
 
 
+def _all_classes() -> Window:
+    """A window over the class-count table (one row per class): min/max over classes without a second pass."""
+    return Window.partitionBy()
+
+
 def _class_counts(df: DataFrame, label_col: str) -> DataFrame:
     """One row per non-NULL class. Rows with a NULL label never take part in balancing."""
     return df.where(F.col(label_col).isNotNull()).groupBy(label_col).agg(F.count(F.lit(1)).alias("_class_n"))
@@ -43,8 +47,8 @@ def undersample(df: DataFrame, label_col: str, key: str = "row_id", seed: int =
     data and a join with the (class-count sized) fraction table, no per-class scan and no union.
     """
     counts = _class_counts(df, label_col)
-    fractions = with_scalars(counts, counts.agg(F.min("_class_n").alias("_min_n"))) \
-        .select(label_col, (F.col("_min_n").cast("double") / F.col("_class_n")).alias("_keep_fraction"))
+    fractions = counts.select(label_col, (F.min("_class_n").over(_all_classes()).cast("double") / F.col("_class_n"))
+                              .alias("_keep_fraction"))
     # One row per class: broadcasting it keeps a class holding most rows out of any single shuffle partition.
     joined = df.join(F.broadcast(fractions), label_col, "inner")
     return joined.where(hash01(key, seed) < F.col("_keep_fraction")).drop("_keep_fraction")
@@ -64,8 +68,8 @@ def oversample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 4
     number (the largest ratio) on the driver.
     """
     counts = _class_counts(df, label_col)
-    ratios = with_scalars(counts, counts.agg(F.max("_class_n").alias("_max_n"))) \
-        .select(label_col, (F.col("_max_n").cast("double") / F.col("_class_n")).alias("_ratio"))
+    ratios = counts.select(label_col, (F.max("_class_n").over(_all_classes()).cast("double") / F.col("_class_n"))
+                           .alias("_ratio"))
     joined = df.join(F.broadcast(ratios), label_col, "inner")
     whole = F.floor(F.col("_ratio"))
     copies = (whole + F.when(hash01(key, seed) < F.col("_ratio") - whole, 1).otherwise(0)).cast("long")
