@@ -83,19 +83,22 @@ def confusion_matrix(pred: DataFrame, label_col: str = "label", prediction_col:
                      classes: Sequence[str] | None = None) -> DataFrame:
     """K5: dense ``actual, predicted, count`` over classes x classes, keyed by class (not by axis position).
 
-    The class list is the union of observed labels and predictions unless given. The dense grid is built inside the
-    plan: the classes are gathered into one array (a label column has few values) and exploded twice, so there is
-    no collect and no cross join, and the small counts table is joined onto it.
+    The observed cells (at most classes^2, the size of the answer) are gathered into one map together with the
+    class list (the union of labels and predictions unless given); the dense grid is that list exploded twice and
+    looked up in the map. The predictions are read once and nothing is collected to the driver.
     """
     counts = confusion_counts(pred, label_col, prediction_col)
+    cells = F.map_from_entries(F.collect_list(F.struct(F.struct("actual", "predicted"), F.col("count"))))
     if classes is None:
-        cls = counts.agg(F.array_sort(F.array_union(F.collect_set("actual"), F.collect_set("predicted"))).alias("c"))
+        cls = F.array_sort(F.array_union(F.collect_set("actual"), F.collect_set("predicted")))
     else:
         dtype = counts.schema["actual"].dataType
-        cls = pred.sparkSession.range(1).select(F.array(*[F.lit(c).cast(dtype) for c in classes]).alias("c"))
-    grid = cls.select(F.explode("c").alias("actual"), "c").select("actual", F.explode("c").alias("predicted"))
-    return grid.join(counts, ["actual", "predicted"], "left") \
-        .select("actual", "predicted", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
+        cls = F.array(*[F.lit(c).cast(dtype) for c in classes])
+    table = counts.agg(cells.alias("m"), cls.alias("c"))
+    grid = table.select(F.explode("c").alias("actual"), "c", "m") \
+        .select("actual", F.explode("c").alias("predicted"), "m")
+    hit = F.element_at(F.col("m"), F.struct(F.col("actual").alias("actual"), F.col("predicted").alias("predicted")))
+    return grid.select("actual", "predicted", F.coalesce(hit, F.lit(0)).cast("long").alias("count"))
 
 
 def overfitting_gap(pred: DataFrame, split_col: str = "split", label_col: str = "label",

@@ -423,15 +423,11 @@ def q_kde_curves(spark, sf_dir):
 CHI_SQL = """
 WITH cells AS (SELECT o_orderstatus AS a, o_orderpriority AS b, count(*) AS o FROM orders
                WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY ALL)
-, ra AS (SELECT a, sum(o) AS ra FROM cells GROUP BY a)
-, cb AS (SELECT b, sum(o) AS cb FROM cells GROUP BY b)
-, t AS (SELECT sum(o) AS n, count(DISTINCT a) AS ka, count(DISTINCT b) AS kb FROM cells)
-, obs AS (SELECT CAST(c.o AS DOUBLE) AS o, CAST(r.ra AS DOUBLE) * CAST(k.cb AS DOUBLE) / CAST(t.n AS DOUBLE) AS e
-          FROM cells c JOIN ra r ON c.a = r.a JOIN cb k ON c.b = k.b, t)
-SELECT CAST(t.n AS BIGINT) AS n, CAST(t.ka AS BIGINT) AS levels_a, CAST(t.kb AS BIGINT) AS levels_b,
-       CAST((t.ka - 1) * (t.kb - 1) AS BIGINT) AS dof,
-       (SELECT sum((o - e) * (o - e) / e) FROM obs) + (CAST(t.n AS DOUBLE) - (SELECT sum(e) FROM obs)) AS statistic
-FROM t
+, m AS (SELECT a, b, CAST(o AS DOUBLE) AS o, CAST(sum(o) OVER (PARTITION BY a) AS DOUBLE) AS ra,
+               CAST(sum(o) OVER (PARTITION BY b) AS DOUBLE) AS cb FROM cells)
+, t AS (SELECT sum(o) AS n, sum(o * o / (ra * cb)) AS q, count(DISTINCT a) AS ka, count(DISTINCT b) AS kb FROM m)
+SELECT CAST(n AS BIGINT) AS n, CAST(ka AS BIGINT) AS levels_a, CAST(kb AS BIGINT) AS levels_b,
+       CAST((ka - 1) * (kb - 1) AS BIGINT) AS dof, n * (q - 1.0) AS statistic FROM t
 """
 
 
