@@ -7,8 +7,8 @@ most of the data:
 1. ``groupBy(group, value)`` with map-side partial aggregation collapses duplicates before any shuffle, so a value
    repeated a billion times costs one row.
 2. ``repartitionByRange(group, value)`` cuts the distinct rows into contiguous, roughly equal key ranges.
-3. Per range partition and group, a small totals table (at most ``partitions + groups`` rows, so broadcasting it has
-   a proven bound) gives each partition the sum of everything before it.
+3. Per range partition and group, a small totals table (at most ``partitions + groups`` rows; AQE broadcasts it
+   once it has measured it) gives each partition the sum of everything before it.
 4. A running window inside each (partition, group) slice adds that offset.
 
 The exact median, the two-sample KS statistic and any other CDF-shaped result are built on it.
@@ -63,7 +63,8 @@ def cumulative_by_value(df: DataFrame, group_cols: Sequence[str], value_col: str
 
     running = Window.partitionBy(PART_COL, *group_cols).orderBy(value_col) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = ranged.join(F.broadcast(offsets), [PART_COL, *group_cols], "inner")
+    # offsets has at most partitions + groups rows; no hint, AQE broadcasts it after measuring it.
+    joined = ranged.join(offsets, [PART_COL, *group_cols], "inner")
     return joined.select(
         *group_cols, value_col, *weight_cols,
         *[(F.col(f"_off_{w}") + F.sum(w).over(running)).alias(f"{prefix}{w}") for w in weight_cols],

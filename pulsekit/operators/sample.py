@@ -2,7 +2,10 @@
 
 Every random choice is ``hash01(key, seed)``: a pure function of the row key, so results do not depend on the
 partitioning, on task retries after executor loss, or on the engine (the DuckDB oracle computes the same numbers).
-Class counts are a grouped aggregate (one row per class) joined back by label, never a loop of filtered scans.
+Class counts are a grouped aggregate (one row per class) joined back by label, never a loop of filtered scans. The
+class table carries no broadcast hint because its size comes from the data: AQE measures it after the aggregation
+and broadcasts it (the usual case, one row per class), so a class holding a third of all rows is never shuffled
+into one partition. Beyond AQE's threshold the join is a sort-merge join whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -49,8 +52,7 @@ def undersample(df: DataFrame, label_col: str, key: str = "row_id", seed: int =
     counts = _class_counts(df, label_col)
     fractions = counts.select(label_col, (F.min("_class_n").over(_all_classes()).cast("double") / F.col("_class_n"))
                               .alias("_keep_fraction"))
-    # One row per class: broadcasting it keeps a class holding most rows out of any single shuffle partition.
-    joined = df.join(F.broadcast(fractions), label_col, "inner")
+    joined = df.join(fractions, label_col, "inner")
     return joined.where(hash01(key, seed) < F.col("_keep_fraction")).drop("_keep_fraction")
 
 
@@ -70,7 +72,7 @@ def oversample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 4
     counts = _class_counts(df, label_col)
     ratios = counts.select(label_col, (F.max("_class_n").over(_all_classes()).cast("double") / F.col("_class_n"))
                            .alias("_ratio"))
-    joined = df.join(F.broadcast(ratios), label_col, "inner")
+    joined = df.join(ratios, label_col, "inner")
     whole = F.floor(F.col("_ratio"))
     copies = (whole + F.when(hash01(key, seed) < F.col("_ratio") - whole, 1).otherwise(0)).cast("long")
     top = ratios.agg(F.max("_ratio")).first()[0]

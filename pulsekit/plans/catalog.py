@@ -720,9 +720,8 @@ def q_shap_rule_cardio(spark, sf_dir):
     """L5 with a rule model (indicator of the rule predicting Cardio): every cleaned row explained."""
     from ..operators import explain as xp
     data = strict(spark, sf_dir)
-    background = xp.background_sample(data, "row_id", SHAP_BACKGROUND)
     value = xp.column_output(lambda: (ex.rule_class() == "Cardio").cast("double"))
-    return xp.shapley_values(data, background, NUM, value, "row_id")
+    return xp.shapley_values(data, data, NUM, value, "row_id", background_size=SHAP_BACKGROUND)
 
 
 @register("shap_random_forest")
@@ -737,5 +736,4 @@ def q_shap_random_forest(spark, sf_dir):
     data = strict(spark, sf_dir)
     indexed = label_indexer(LAB).fit(data).transform(data)
     model = Pipeline(stages=[VectorAssembler(inputCols=NUM, outputCol="features"), es.rf_classifier()]).fit(indexed)
-    background = xp.background_sample(data, "row_id", SHAP_BACKGROUND)
-    return xp.shapley_values(data, background, NUM, xp.model_output(model, 0), "row_id")
+    return xp.shapley_values(data, data, NUM, xp.model_output(model, 0), "row_id", background_size=SHAP_BACKGROUND)
