@@ -143,6 +143,11 @@ def auc_roc(pred: DataFrame, label_col: str = "label", score_col: str = "score",
         F.col("P").cast("long").alias("positives"), F.col("N").cast("long").alias("negatives"))
 
 
+def prediction_sample(pred: DataFrame, key_col: str, columns: Sequence[str], n: int = 20) -> DataFrame:
+    """D3: the first ``n`` predictions by key: a repeatable top-k report (the reference's unordered ``limit``)."""
+    return pred.select(key_col, *columns).orderBy(key_col).limit(n)
+
+
 def with_predicted_label(pred: DataFrame, labels: Sequence[str], prediction_col: str = "prediction",
                          out_col: str = "predicted_label") -> DataFrame:
     """H1/K9: map a predicted index to its class name, ``"Unknown"`` when out of range (no Python UDF)."""

@@ -544,6 +544,12 @@ def q_rule_overfitting_gap(spark, sf_dir):
     return ev.overfitting_gap(rule_predictions(spark, sf_dir), "split", LAB, "predicted")
 
 
+@register("rule_prediction_sample", PRED_CTE + f"""
+SELECT row_id, Steps, Heart_Rate_avg, Calories_Burned, {LAB}, predicted FROM p ORDER BY row_id LIMIT 20""")
+def q_rule_prediction_sample(spark, sf_dir):
+    return ev.prediction_sample(rule_predictions(spark, sf_dir), "row_id", [*NUM, LAB, "predicted"], 20)
+
+
 @register("accuracy_by_counting", PRED_CTE +
           f"SELECT avg(CASE WHEN {LAB} = predicted THEN 1.0 ELSE 0.0 END) AS accuracy FROM p")
 def q_accuracy_by_counting(spark, sf_dir):

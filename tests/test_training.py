@@ -31,3 +31,20 @@ def test_train_classifier_v1_metrics_both_splits(spark):
     res = tr.train_classifier(activity(spark, SF_SMALL), tr.TrainConfig(version="v1"))
     splits = {r["split"]: r for r in res.metrics.collect()}
     assert set(splits) == {"train", "test"} and all(0 <= r["accuracy"] <= 1 for r in splits.values())
+
+
+def test_train_classifier_logs_and_saves(spark, tmp_out):
+    import os
+
+    from pulsekit.sources import runs
+    log = runs.RunLog(spark, os.path.join(tmp_out, "runs"), run_id="t1")
+    path = os.path.join(tmp_out, "model")
+    res = tr.train_classifier(activity(spark, SF_SMALL), tr.TrainConfig(version="v2"), run_log=log, model_path=path)
+    keys = {r["key"] for r in log.read().collect()}
+    assert {"version", "feature_columns", "class_labels", "test_accuracy", "train_f1_score"} <= keys
+    model, sig = runs.load_model(spark, path)
+    assert "Workout_Type" in sig.fieldNames() and "calories_per_step" in sig.fieldNames()
+    data = cl.clean(activity(spark, SF_SMALL), cl.LOOSE_RULES)
+    from pulsekit.operators import features as fe
+    scored = model.transform(runs.conform(fe.create_features(data, "v2"), sig))
+    assert scored.count() > 0 and res.labels == list(model.stages[0].labels)
