@@ -55,14 +55,33 @@ def hr_zone_detailed(hr: Column | str = "Heart_Rate_avg") -> Column:
     return threshold_buckets(hr, HR_ZONE_DETAILED_BOUNDS, HR_ZONE_DETAILED_LABELS)
 
 
+# The activity-pattern rule, in order (first match wins): (steps op, steps bound, hr op, hr bound,
+# label); rows matching none get PATTERN_DEFAULT.
+PATTERN_RULES = [
+    (">", 10000, ">", 140, "High_Intensity_Cardio"),
+    ("<", 5000, "<", 120, "Low_Intensity"),
+    ("<", 8000, ">", 130, "Strength_Like"),
+]
+PATTERN_DEFAULT = "Moderate_Activity"
+
+
+def _compare(x: Column, op: str, bound: float) -> Column:
+    return x > F.lit(bound) if op == ">" else x < F.lit(bound)
+
+
+def _pattern_chain(steps: Column | str, hr: Column | str, rename: dict | None = None) -> Column:
+    s, h = col_(steps), col_(hr)
+    name = (lambda label: rename[label]) if rename else (lambda label: label)
+    expr = None
+    for s_op, s_bound, h_op, h_bound, label in PATTERN_RULES:
+        cond = _compare(s, s_op, s_bound) & _compare(h, h_op, h_bound)
+        expr = F.when(cond, F.lit(name(label))) if expr is None else expr.when(cond, F.lit(name(label)))
+    return expr.otherwise(F.lit(name(PATTERN_DEFAULT)))
+
+
 def activity_pattern(steps: Column | str = "Steps", hr: Column | str = "Heart_Rate_avg") -> Column:
     """Two-column rule; order matters (first match wins)."""
-    s, h = col_(steps), col_(hr)
-    # Thresholds and labels of the activity-pattern rule.
-    return (F.when((s > 10000) & (h > 140), F.lit("High_Intensity_Cardio"))
-            .when((s < 5000) & (h < 120), F.lit("Low_Intensity"))
-            .when((s < 8000) & (h > 130), F.lit("Strength_Like"))
-            .otherwise(F.lit("Moderate_Activity")))
+    return _pattern_chain(steps, hr)
 
 
 # Verdict labels (B17). Thresholds and wording.
@@ -110,12 +129,8 @@ PATTERN_CLASS = {
 
 
 def rule_class(steps: Column | str = "Steps", hr: Column | str = "Heart_Rate_avg") -> Column:
-    pattern = activity_pattern(steps, hr)
-    expr = None
-    for key, value in PATTERN_CLASS.items():
-        cond = pattern == F.lit(key)
-        expr = F.when(cond, F.lit(value)) if expr is None else expr.when(cond, F.lit(value))
-    return expr
+    """The pattern rule with class names as labels: one CASE over the two columns, no string round trip."""
+    return _pattern_chain(steps, hr, PATTERN_CLASS)
 
 
 # A fixed linear formula used as the stand-in regressor for Calories_Burned.

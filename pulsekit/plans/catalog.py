@@ -227,11 +227,17 @@ def _bucket_sql(col: str, bounds, labels, out: str) -> str:
     return f"CASE {whens} ELSE '{labels[-1]}' END AS {out}"
 
 
+def _pattern_case(rename: dict | None = None) -> str:
+    """The activity-pattern rule as SQL, from the same rule list the Spark expression uses."""
+    from ..functions import expressions as ex
+    name = (lambda label: rename[label]) if rename else (lambda label: label)
+    whens = " ".join(f"WHEN Steps {so} {sb} AND Heart_Rate_avg {ho} {hb} THEN '{name(label)}'"
+                     for so, sb, ho, hb, label in ex.PATTERN_RULES)
+    return f"CASE {whens} ELSE '{name(ex.PATTERN_DEFAULT)}' END"
+
+
 def _pattern_sql() -> str:
-    return ("CASE WHEN Steps > 10000 AND Heart_Rate_avg > 140 THEN 'High_Intensity_Cardio' "
-            "WHEN Steps < 5000 AND Heart_Rate_avg < 120 THEN 'Low_Intensity' "
-            "WHEN Steps < 8000 AND Heart_Rate_avg > 130 THEN 'Strength_Like' ELSE 'Moderate_Activity' END "
-            "AS activity_pattern")
+    return _pattern_case() + " AS activity_pattern"
 
 
 def _features_v2_sql() -> str:
@@ -477,9 +483,7 @@ def q_ks_normality(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- K, H, I: evaluation against a rule predictor
-RULE_SQL = ("CASE WHEN Steps > 10000 AND Heart_Rate_avg > 140 THEN 'Cardio' "
-            "WHEN Steps < 5000 AND Heart_Rate_avg < 120 THEN 'Yoga' "
-            "WHEN Steps < 8000 AND Heart_Rate_avg > 130 THEN 'Strength' ELSE 'None' END")
+RULE_SQL = _pattern_case(ex.PATTERN_CLASS)
 PRED_CTE = CLEAN_CTE.rstrip() + f"""
 , p AS (SELECT *, {RULE_SQL} AS predicted, CASE WHEN {HASH} < 0.8 THEN 'train' ELSE 'test' END AS split FROM strict)
 """
