@@ -72,16 +72,40 @@ def cumulative_by_value(df: DataFrame, group_cols: Sequence[str], value_col: str
 
 
 def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, probability: float = 0.5,
-                  num_partitions: int | None = None, out_col: str = "quantile") -> DataFrame:
+                  num_partitions: int | None = None, out_col: str = "quantile",
+                  bracket_accuracy: int | None = 10000) -> DataFrame:
     """Exact discrete quantile per group: the smallest value whose cumulative share reaches ``probability``.
 
     Same definition as SQL ``percentile_disc``; NULL values are ignored. Groups with no values yield no row.
+
+    With ``bracket_accuracy`` (default) the exact prefix sums run only on a narrow bracket. Pass 1 takes
+    ``percentile_approx`` at ``probability +- 3/accuracy``; Spark's sketch bounds the rank error by
+    ``n/accuracy``, so the exact answer lies between the two values. Pass 2 counts the values below the bracket
+    and ranks the ~``6n/accuracy`` values inside it. ``bracket_accuracy=None`` ranks every distinct value instead.
     """
     group_cols = list(group_cols)
-    base = df.where(F.col(value_col).isNotNull()).select(*group_cols, value_col, F.lit(1).cast("long").alias("_w"))
-    cum = cumulative_by_value(base, group_cols, value_col, ["_w"], num_partitions)
-    reached = cum.where(F.col("cum__w") >= F.lit(float(probability)) * F.col("total__w"))
-    return reached.groupBy(*group_cols).agg(F.min(value_col).alias(out_col))
+    p = float(probability)
+    base = df.where(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).alias("_v"))
+    if bracket_accuracy is None:
+        cum = cumulative_by_value(base.withColumn("_w", F.lit(1).cast("long")), group_cols, "_v", ["_w"],
+                                  num_partitions)
+        reached = cum.where(F.col("cum__w") >= F.lit(p) * F.col("total__w"))
+        return reached.groupBy(*group_cols).agg(F.min("_v").alias(out_col))
+    margin = 3.0 / bracket_accuracy
+    probs = F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin)))
+    bracket = base.groupBy(*group_cols).agg(F.percentile_approx("_v", probs, bracket_accuracy).alias("_b"),
+                                            F.count(F.lit(1)).alias("_n"))
+    # One row per group; AQE broadcasts it after measuring it.
+    tagged = base.join(bracket, group_cols, "inner") if group_cols else with_scalars(base, bracket)
+    lo, hi = F.col("_b")[0], F.col("_b")[1]
+    below = tagged.groupBy(*group_cols).agg(F.count_if(F.col("_v") < lo).alias("_below"),
+                                            F.first("_n").alias("_n"))
+    inside = tagged.where((F.col("_v") >= lo) & (F.col("_v") <= hi)) \
+        .select(*group_cols, "_v", F.lit(1).cast("long").alias("_w"))
+    cum = cumulative_by_value(inside, group_cols, "_v", ["_w"], num_partitions)
+    ranked = cum.join(below, group_cols, "inner") if group_cols else with_scalars(cum, below)
+    reached = ranked.where(F.col("_below") + F.col("cum__w") >= F.lit(p) * F.col("_n"))
+    return reached.groupBy(*group_cols).agg(F.min("_v").alias(out_col))
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

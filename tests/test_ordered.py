@@ -21,3 +21,17 @@ def test_quantile_disc_without_groups(spark):
     df = spark.createDataFrame([(None if x is None else float(x),) for x in [5, 1, 3, 2, 4, None]], "v double")
     assert quantile_disc(df, [], "v", 0.5).first()["quantile"] == 3.0
     assert quantile_disc(df, [], "v", 1.0).first()["quantile"] == 5.0
+
+
+def test_quantile_disc_bracket_matches_full_ranking(spark):
+    rng = np.random.default_rng(21)
+    vals = np.concatenate([rng.normal(0, 1, 20000).round(3), np.full(8000, 0.25)])  # a value holding 2/7 of rows
+    grp = rng.integers(0, 3, len(vals))
+    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, v double")
+    for p in (0.5, 0.1, 0.9, 0.0001, 1.0):
+        br = {r["g"]: r["quantile"] for r in quantile_disc(df, ["g"], "v", p, bracket_accuracy=500).collect()}
+        full = {r["g"]: r["quantile"] for r in quantile_disc(df, ["g"], "v", p, bracket_accuracy=None).collect()}
+        assert br == full, p
+        for g in range(3):
+            s = np.sort(vals[grp == g])
+            assert br[g] == s[max(int(np.ceil(p * len(s))) - 1, 0)]
