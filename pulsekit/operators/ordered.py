@@ -104,7 +104,10 @@ def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, prob
         .select(*group_cols, "_v", F.lit(1).cast("long").alias("_w"))
     cum = cumulative_by_value(inside, group_cols, "_v", ["_w"], num_partitions)
     ranked = cum.join(below, group_cols, "inner") if group_cols else with_scalars(cum, below)
-    reached = ranked.where(F.col("_below") + F.col("cum__w") >= F.lit(p) * F.col("_n"))
+    # The bracket holds the answer iff nothing below it already reaches the target rank. The sketch's bound
+    # guarantees that; if it ever failed, the group gets NULL rather than a wrong value.
+    valid = (F.col("_below") == 0) | (F.col("_below") < F.lit(p) * F.col("_n"))
+    reached = ranked.where(valid & (F.col("_below") + F.col("cum__w") >= F.lit(p) * F.col("_n")))
     return reached.groupBy(*group_cols).agg(F.min("_v").alias(out_col))
 
 
