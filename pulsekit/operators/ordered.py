@@ -6,12 +6,14 @@ most of the data:
 
 1. ``groupBy(group, value)`` with map-side partial aggregation collapses duplicates before any shuffle, so a value
    repeated a billion times costs one row.
-2. ``repartitionByRange(group, value)`` cuts the distinct rows into contiguous, roughly equal key ranges.
+2. ``repartitionByRange(group, value)`` cuts the distinct rows into contiguous, roughly equal key ranges; the result
+   is checkpointed to the cluster's ``spark.checkpoint.dir`` so the range ids read below are fixed (and lineage is
+   cut: a lost executor does not recompute the inputs).
 3. Per range partition and group, a small totals table (at most ``partitions + groups`` rows; AQE broadcasts it
    once it has measured it) gives each partition the sum of everything before it.
 4. A running window inside each (partition, group) slice adds that offset.
 
-The exact median, the two-sample KS statistic and any other CDF-shaped result are built on it.
+The exact quantiles (on a bracket only), both KS statistics and the exact AUC are built on it.
 """
 
 from __future__ import annotations
