@@ -23,6 +23,18 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Sizing for large clusters (100 TB class inputs): shuffles start wide and AQE coalesces them to ~256 MB partitions,
+# scans split files into 256 MB tasks, skewed join partitions are split, and checkpoint files (written by the ordered
+# statistics) are deleted once their DataFrames are garbage-collected. spark.checkpoint.dir must name a shared folder.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 # A local driver in a container must both bind to and advertise loopback, or large task results get lost.
 LOCAL_CONF = {
     "spark.driver.host": "127.0.0.1",
@@ -31,10 +43,15 @@ LOCAL_CONF = {
 
 
 def get_spark(master: str | None = None, app_name: str = "pulsekit", shuffle_partitions: int | None = None,
-              conf: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the library defaults; ``master`` is only set when given."""
+              conf: dict | None = None, cluster: bool = False) -> SparkSession:
+    """Build (or reuse) a session with the library defaults; ``master`` is only set when given.
+
+    ``cluster=True`` adds ``CLUSTER_CONF`` (partition sizing for very large inputs).
+    """
     builder = SparkSession.builder.appName(app_name)
     settings = dict(DEFAULT_CONF)
+    if cluster:
+        settings.update(CLUSTER_CONF)
     if master is not None:
         builder = builder.master(master)
         if master.startswith("local"):
