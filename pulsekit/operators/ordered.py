@@ -28,12 +28,6 @@ from ..session import ensure_checkpoint_dir
 PART_COL = "_range_part"
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def cumulative_by_value(df: DataFrame, group_cols: Sequence[str], value_col: str, weight_cols: Sequence[str],
                         num_partitions: int | None = None, prefix: str = "cum_") -> DataFrame:
     """One row per (group, value): the summed weights, their running totals ``<prefix><weight>`` and the group's
@@ -43,12 +37,15 @@ def cumulative_by_value(df: DataFrame, group_cols: Sequence[str], value_col: str
     """
     group_cols = list(group_cols)
     weight_cols = list(weight_cols)
-    n = _partitions(df, num_partitions)
 
     distinct = df.groupBy(*group_cols, value_col).agg(
         *[F.coalesce(F.sum(w), F.lit(0)).alias(w) for w in weight_cols])
-    ranged = distinct.repartitionByRange(n, *[F.col(c).asc() for c in group_cols], F.col(value_col).asc()) \
-        .withColumn(PART_COL, F.spark_partition_id())
+    order = [*[F.col(c).asc() for c in group_cols], F.col(value_col).asc()]
+    # Without an explicit count the range shuffle starts at spark.sql.shuffle.partitions and AQE may merge
+    # neighbouring ranges of a small input; merged ranges stay contiguous, and the ids are pinned below.
+    ranged = distinct.repartitionByRange(int(num_partitions), *order) if num_partitions \
+        else distinct.repartitionByRange(*order)
+    ranged = ranged.withColumn(PART_COL, F.spark_partition_id())
     # The range id is read twice below (totals and running sums). Each read of an un-materialised range exchange may
     # sample different bounds or coalesce differently, so the ids are pinned by a reliable checkpoint in the
     # cluster's checkpoint folder; that also cuts the lineage, so a lost executor does not recompute the inputs.
