@@ -3,10 +3,15 @@
 ``normal_cdf`` is Hart's double-precision rational approximation of the standard normal CDF (as published by West,
 "Better approximations to cumulative normal functions", 2005): absolute error about 1e-16. ``normal_cdf_sql``
 writes the same arithmetic for the DuckDB oracle, so both engines evaluate the same formula.
+
+``chi2_sf`` is the chi-square upper tail, the regularized upper incomplete gamma ``Q(k/2, x/2)``: a power series
+below ``a + 1`` and a Lentz continued fraction above, each a fixed-length ``aggregate`` over a sequence.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,3 +64,56 @@ def normal_cdf_sql(x: str) -> str:
     tail = f"({e} / {b} / {SQRT_2PI!r})"
     lower = f"(CASE WHEN {xa} > {CUTOFF!r} THEN 0.0 WHEN {xa} < {SPLIT!r} THEN {central} ELSE {tail} END)"
     return f"(CASE WHEN {x} > 0 THEN 1.0 - {lower} ELSE {lower} END)"
+
+
+GAMMA_TERMS = 1000
+TINY = 1e-300
+
+
+def log_gamma_half(t: Column) -> Column:
+    """``ln Gamma(t)`` for ``t`` a positive integer or half-integer (all chi-square shapes need)."""
+    twice = (t * 2).cast("long")
+    whole = F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(t.cast("long") - 1, F.lit(0).cast("long"))),
+                        F.lit(0.0), lambda acc, j: acc + F.log(j.cast("double")))
+    # Gamma(m + 1/2) = sqrt(pi) * prod_{j=0}^{m-1} (j + 1/2)
+    half = F.lit(0.5 * math.log(math.pi)) + F.aggregate(
+        F.sequence(F.lit(0).cast("long"), (t - 0.5).cast("long") - 1), F.lit(0.0),
+        lambda acc, j: acc + F.log(j.cast("double") + 0.5))
+    half = F.when(t < 1, F.lit(0.5 * math.log(math.pi))).otherwise(half)
+    return F.when(twice % 2 == 0, whole).otherwise(half)
+
+
+def chi2_sf(x: Column, dof: Column, terms: int = GAMMA_TERMS) -> Column:
+    """``P(X > x)`` for ``X ~ chi-square(dof)``; 1 for ``x <= 0``, NULL for ``dof <= 0`` or NULL inputs."""
+    a = dof.cast("double") / 2
+    z = x.cast("double") / 2
+    lg_a1 = log_gamma_half(a + 1)
+    seq = F.sequence(F.lit(1), F.lit(terms))
+    # Series for P(a, z): sum_{n>=0} z^n / ((a+1)...(a+n)), then Q = 1 - P.
+    series = F.aggregate(
+        seq, F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")),
+        lambda st, n: F.struct((st["t"] * z / (a + n)).alias("t"), (st["s"] + st["t"] * z / (a + n)).alias("s")),
+        lambda st: st["s"])
+    lower = F.exp(-z + a * F.log(z) - lg_a1) * series
+    q_series = F.greatest(F.lit(0.0), F.lit(1.0) - lower)
+
+    # Continued fraction for Q(a, z) (modified Lentz).
+    def step(st, i):
+        an = -(i.cast("double")) * (i.cast("double") - a)
+        b = st["b"] + 2.0
+        d0 = an * st["d"] + b
+        d1 = F.when(F.abs(d0) < TINY, F.lit(TINY)).otherwise(d0)
+        c0 = b + an / st["c"]
+        c1 = F.when(F.abs(c0) < TINY, F.lit(TINY)).otherwise(c0)
+        d2 = F.lit(1.0) / d1
+        return F.struct(b.alias("b"), c1.alias("c"), d2.alias("d"), (st["h"] * d2 * c1).alias("h"))
+
+    b0 = z + 1.0 - a
+    # b0 > 0 wherever this branch is chosen (z >= a + 1); try_divide keeps the unused branch from raising.
+    start = F.struct(b0.alias("b"), F.lit(1.0 / TINY).alias("c"), F.try_divide(F.lit(1.0), b0).alias("d"),
+                     F.try_divide(F.lit(1.0), b0).alias("h"))
+    fraction = F.aggregate(seq, start, step, lambda st: st["h"])
+    lg_a = lg_a1 - F.log(a)
+    q_fraction = F.least(F.lit(1.0), F.exp(-z + a * F.log(z) - lg_a) * fraction)
+    return F.when(x.isNull() | dof.isNull() | (dof <= 0), F.lit(None).cast("double")) \
+        .when(x <= 0, F.lit(1.0)).when(z < a + 1, q_series).otherwise(q_fraction)

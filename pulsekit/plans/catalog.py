@@ -442,7 +442,24 @@ def q_chi_square_statistic(spark, sf_dir):
     return di.chi_square_statistic(read_table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
 
 
-@register("chi_square_test")
+CHI_TEST_SQL = """
+WITH cells AS (SELECT o_orderstatus AS a, o_orderpriority AS b, count(*) AS o FROM orders
+               WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY ALL)
+, m AS (SELECT a, b, CAST(o AS DOUBLE) AS o, CAST(sum(o) OVER (PARTITION BY a) AS DOUBLE) AS ra,
+               CAST(sum(o) OVER (PARTITION BY b) AS DOUBLE) AS cb FROM cells)
+, t AS (SELECT sum(o) AS n, sum(o * o / (ra * cb)) AS q, count(DISTINCT a) AS ka, count(DISTINCT b) AS kb FROM m)
+, st AS (SELECT CAST(n AS BIGINT) AS n, CAST(ka AS BIGINT) AS levels_a, CAST(kb AS BIGINT) AS levels_b,
+                CAST((ka - 1) * (kb - 1) AS BIGINT) AS dof, n * (q - 1.0) AS statistic FROM t)
+, ser AS (SELECT sum(exp(-(statistic / 2.0) + (dof / 2.0 + r.k) * ln(statistic / 2.0) - lgamma(dof / 2.0 + r.k + 1)))
+                 AS lower FROM st, (SELECT range AS k FROM range(0, 5000)) r WHERE statistic > 0)
+SELECT n, levels_a, levels_b, dof, statistic,
+       CAST(CASE WHEN dof <= 0 THEN NULL WHEN statistic <= 0 THEN 1.0
+                 ELSE greatest(0.0, 1.0 - (SELECT lower FROM ser)) END AS DOUBLE) AS p_value
+FROM st
+"""
+
+
+@register("chi_square_test", CHI_TEST_SQL)
 def q_chi_square_test(spark, sf_dir):
     return di.chi_square_test(read_table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
 
