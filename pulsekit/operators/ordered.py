@@ -79,8 +79,9 @@ def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, prob
 
     With ``bracket_accuracy`` (default) the exact prefix sums run only on a narrow bracket. Pass 1 takes
     ``percentile_approx`` at ``probability +- 3/accuracy``; Spark's sketch bounds the rank error by
-    ``n/accuracy``, so the exact answer lies between the two values. Pass 2 counts the values below the bracket
-    and ranks the ~``6n/accuracy`` values inside it. ``bracket_accuracy=None`` ranks every distinct value instead.
+    ``n/accuracy``, so the exact answer lies between the two values. Pass 2 folds the values outside the bracket
+    into two sentinel rows and ranks the ~``6n/accuracy`` values inside it. ``bracket_accuracy=None`` ranks every
+    distinct value instead. The bracketed result is a double.
     """
     group_cols = list(group_cols)
     p = float(probability)
@@ -92,22 +93,23 @@ def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, prob
         return reached.groupBy(*group_cols).agg(F.min("_v").alias(out_col))
     margin = 3.0 / bracket_accuracy
     probs = F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin)))
-    bracket = base.groupBy(*group_cols).agg(F.percentile_approx("_v", probs, bracket_accuracy).alias("_b"),
-                                            F.count(F.lit(1)).alias("_n"))
+    bracket = base.groupBy(*group_cols).agg(
+        F.percentile_approx(F.col("_v").cast("double"), probs, bracket_accuracy).alias("_b"))
     # One row per group; AQE broadcasts it after measuring it.
     tagged = base.join(bracket, group_cols, "inner") if group_cols else with_scalars(base, bracket)
     lo, hi = F.col("_b")[0], F.col("_b")[1]
-    below = tagged.groupBy(*group_cols).agg(F.count_if(F.col("_v") < lo).alias("_below"),
-                                            F.first("_n").alias("_n"))
-    inside = tagged.where((F.col("_v") >= lo) & (F.col("_v") <= hi)) \
-        .select(*group_cols, "_v", F.lit(1).cast("long").alias("_w"))
-    cum = cumulative_by_value(inside, group_cols, "_v", ["_w"], num_partitions)
-    ranked = cum.join(below, group_cols, "inner") if group_cols else with_scalars(cum, below)
-    # The bracket holds the answer iff nothing below it already reaches the target rank. The sketch's bound
-    # guarantees that; if it ever failed, the group gets NULL rather than a wrong value.
-    valid = (F.col("_below") == 0) | (F.col("_below") < F.lit(p) * F.col("_n"))
-    reached = ranked.where(valid & (F.col("_below") + F.col("cum__w") >= F.lit(p) * F.col("_n")))
-    return reached.groupBy(*group_cols).agg(F.min("_v").alias(out_col))
+    # Values outside the bracket collapse into one -inf and one +inf row, so the prefix sums count them (totals
+    # stay n) while only the bracket's own values are ranked.
+    v = F.col("_v").cast("double")
+    folded = tagged.select(*group_cols, F.when(v < lo, F.lit(float("-inf"))).when(v > hi, F.lit(float("inf")))
+                           .otherwise(v).alias("_v"), F.lit(1).cast("long").alias("_w"))
+    cum = cumulative_by_value(folded, group_cols, "_v", ["_w"], num_partitions)
+    reached = cum.where(F.col("cum__w") >= F.lit(p) * F.col("total__w"))
+    answer = F.min("_v")
+    # The sketch's rank bound keeps the answer inside the bracket; were it ever broken the answer would be a
+    # sentinel, and the group gets NULL rather than a wrong value.
+    return reached.groupBy(*group_cols).agg(
+        F.when(F.abs(answer) == float("inf"), F.lit(None).cast("double")).otherwise(answer).alias(out_col))
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
