@@ -70,9 +70,12 @@ def cumulative_by_value(df: DataFrame, group_cols: Sequence[str], value_col: str
         *[f"total_{w}" for w in weight_cols])
 
 
+MAX_BROADCAST_ROWS = 100_000
+
+
 def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, probability: float = 0.5,
                   num_partitions: int | None = None, out_col: str = "quantile",
-                  bracket_accuracy: int | None = 10000) -> DataFrame:
+                  bracket_accuracy: int | None = 10000, max_groups: int | None = None) -> DataFrame:
     """Exact discrete quantile per group: the smallest value whose cumulative share reaches ``probability``.
 
     Same definition as SQL ``percentile_disc``; NULL values are ignored. Groups with no values yield no row.
@@ -82,6 +85,10 @@ def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, prob
     ``n/accuracy``, so the exact answer lies between the two values. Pass 2 folds the values outside the bracket
     into two sentinel rows and ranks the ~``6n/accuracy`` values inside it. ``bracket_accuracy=None`` ranks every
     distinct value instead. The bracketed result is a double.
+
+    ``max_groups``: a bound on the number of groups known to the caller (e.g. the number of unpivoted columns).
+    Up to ``MAX_BROADCAST_ROWS`` the one-row-per-group bracket is broadcast to the rows, so a group holding most of
+    the data is never shuffled into one task; without a bound the join is left to AQE.
     """
     group_cols = list(group_cols)
     p = float(probability)
@@ -95,7 +102,8 @@ def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, prob
     probs = F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin)))
     bracket = base.groupBy(*group_cols).agg(
         F.percentile_approx(F.col("_v").cast("double"), probs, bracket_accuracy).alias("_b"))
-    # One row per group; AQE broadcasts it after measuring it.
+    if max_groups is not None and max_groups <= MAX_BROADCAST_ROWS:
+        bracket = F.broadcast(bracket)
     tagged = base.join(bracket, group_cols, "inner") if group_cols else with_scalars(base, bracket)
     lo, hi = F.col("_b")[0], F.col("_b")[1]
     # Values outside the bracket collapse into one -inf and one +inf row, so the prefix sums count them (totals

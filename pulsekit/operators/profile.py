@@ -42,7 +42,7 @@ def numeric_monitoring(df: DataFrame, numeric_cols: Sequence[str], median: str =
     if median != "exact":
         raise ValueError(f"median must be 'exact' or 'approx', got {median!r}")
     long = df.select([_d(c).alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    medians = quantile_disc(long, ["column"], "value", 0.5, num_partitions, out_col="median")
+    medians = quantile_disc(long, ["column"], "value", 0.5, num_partitions, out_col="median", max_groups=len(cols))
     wide = medians.agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"{c}_Median") for c in cols])
     return with_scalars(row, wide).select(*order)
 

@@ -2,15 +2,13 @@
 
 Every random choice is ``hash01(key, seed)``: a pure function of the row key, so results do not depend on the
 partitioning, on task retries after executor loss, or on the engine (the DuckDB oracle computes the same numbers).
-Class counts are a grouped aggregate (one row per class) joined back by label, never a loop of filtered scans. The
-class table carries no broadcast hint because its size comes from the data: AQE measures it after the aggregation
-and broadcasts it (the usual case, one row per class), so a class holding a third of all rows is never shuffled
-into one partition. Beyond AQE's threshold the join is a sort-merge join whose skewed partitions AQE splits.
+Class counts are one grouped aggregate (one row per class), joined back by label as a broadcast table whose size
+is known, never a loop of filtered scans; a class holding a third of all rows is never shuffled into one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash01
@@ -33,27 +31,36 @@ def train_test_split(df: DataFrame, key: str | None = "row_id", train_fraction:
     return df.where(h < F.lit(float(train_fraction))), df.where(h >= F.lit(float(train_fraction)))
 
 
-def _all_classes() -> Window:
-    """A window over the class-count table (one row per class): min/max over classes without a second pass."""
-    return Window.partitionBy()
+MAX_BROADCAST_ROWS = 100_000
 
 
-def _class_counts(df: DataFrame, label_col: str) -> DataFrame:
-    """One row per non-NULL class. Rows with a NULL label never take part in balancing."""
-    return df.where(F.col(label_col).isNotNull()).groupBy(label_col).agg(F.count(F.lit(1)).alias("_class_n"))
+def _class_table(df: DataFrame, label_col: str, value) -> DataFrame:
+    """One row per non-NULL class with ``value(count, min_count, max_count)``, built from the collected class counts.
+
+    The counts are one row per class (the reference collects them the same way); with their number known, the
+    table is broadcast to the rows up to ``MAX_BROADCAST_ROWS``, so a class holding most rows is never shuffled
+    into one task. Rows with a NULL label never take part in balancing.
+    """
+    counts = [(r[0], r[1]) for r in df.where(F.col(label_col).isNotNull()).groupBy(label_col).count().collect()]
+    if not counts:
+        schema = df.select(label_col).schema.add("_value", "double")
+        return df.sparkSession.createDataFrame([], schema)
+    lo, hi = min(n for _, n in counts), max(n for _, n in counts)
+    dtype = df.schema[label_col].dataType.simpleString()
+    table = df.sparkSession.createDataFrame([(c, float(value(n, lo, hi))) for c, n in counts],
+                                            f"{label_col} {dtype}, _value double")
+    return F.broadcast(table) if len(counts) <= MAX_BROADCAST_ROWS else table
 
 
 def undersample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 42) -> DataFrame:
     """Bernoulli-sample every class at ``min_count / class_count`` (the minority class is kept whole).
 
     Expected class sizes are all the minority count, as with the reference's per-class ``sample``; one pass over the
-    data and a join with the (class-count sized) fraction table, no per-class scan and no union.
+    data and a join with the class-count table, no per-class scan and no union.
     """
-    counts = _class_counts(df, label_col)
-    fractions = counts.select(label_col, (F.min("_class_n").over(_all_classes()).cast("double") / F.col("_class_n"))
-                              .alias("_keep_fraction"))
+    fractions = _class_table(df, label_col, lambda n, lo, hi: lo / n)
     joined = df.join(fractions, label_col, "inner")
-    return joined.where(hash01(key, seed) < F.col("_keep_fraction")).drop("_keep_fraction")
+    return joined.where(hash01(key, seed) < F.col("_value")).drop("_value")
 
 
 def oversample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 42,
@@ -66,16 +73,13 @@ def oversample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 4
 
     When some row needs more than ``chunk`` copies (a tiny class next to a huge one), its copies are first cut into
     chunks of ``chunk`` and the chunks are hash-spread over the shuffle partitions before the final explode, so a
-    handful of minority rows does not generate the whole class inside a handful of tasks. Deciding this reads one
-    number (the largest ratio) on the driver.
+    handful of minority rows does not generate the whole class inside a handful of tasks.
     """
-    counts = _class_counts(df, label_col)
-    ratios = counts.select(label_col, (F.max("_class_n").over(_all_classes()).cast("double") / F.col("_class_n"))
-                           .alias("_ratio"))
-    joined = df.join(ratios, label_col, "inner")
+    ratios = _class_table(df, label_col, lambda n, lo, hi: hi / n)
+    joined = df.join(ratios, label_col, "inner").withColumnRenamed("_value", "_ratio")
     whole = F.floor(F.col("_ratio"))
     copies = (whole + F.when(hash01(key, seed) < F.col("_ratio") - whole, 1).otherwise(0)).cast("long")
-    top = ratios.agg(F.max("_ratio")).first()[0]
+    top = ratios.agg(F.max("_value")).first()[0]
     if top is None or top <= chunk:
         return joined.withColumn(copy_col, F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop("_ratio")
     step = F.lit(chunk).cast("long")
