@@ -34,8 +34,9 @@ def train_test_split(df: DataFrame, key: str | None = "row_id", train_fraction:
 MAX_BROADCAST_ROWS = 100_000
 
 
-def _class_table(df: DataFrame, label_col: str, value) -> DataFrame:
-    """One row per non-NULL class with ``value(count, min_count, max_count)``, built from the collected class counts.
+def _class_table(df: DataFrame, label_col: str, value) -> tuple[DataFrame, list[float]]:
+    """One row per non-NULL class with ``value(count, min_count, max_count)``, built from the collected class counts;
+    also returns the values.
 
     The counts are one row per class (the reference collects them the same way); with their number known, the
     table is broadcast to the rows up to ``MAX_BROADCAST_ROWS``, so a class holding most rows is never shuffled
@@ -44,12 +45,13 @@ def _class_table(df: DataFrame, label_col: str, value) -> DataFrame:
     counts = [(r[0], r[1]) for r in df.where(F.col(label_col).isNotNull()).groupBy(label_col).count().collect()]
     if not counts:
         schema = df.select(label_col).schema.add("_value", "double")
-        return df.sparkSession.createDataFrame([], schema)
+        return df.sparkSession.createDataFrame([], schema), []
     lo, hi = min(n for _, n in counts), max(n for _, n in counts)
+    values = [float(value(n, lo, hi)) for _, n in counts]
     dtype = df.schema[label_col].dataType.simpleString()
-    table = df.sparkSession.createDataFrame([(c, float(value(n, lo, hi))) for c, n in counts],
+    table = df.sparkSession.createDataFrame([(c, v) for (c, _), v in zip(counts, values)],
                                             f"{label_col} {dtype}, _value double")
-    return F.broadcast(table) if len(counts) <= MAX_BROADCAST_ROWS else table
+    return (F.broadcast(table) if len(counts) <= MAX_BROADCAST_ROWS else table), values
 
 
 def undersample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 42) -> DataFrame:
@@ -58,7 +60,7 @@ def undersample(df: DataFrame, label_col: str, key: str = "row_id", seed: int =
     Expected class sizes are all the minority count, as with the reference's per-class ``sample``; one pass over the
     data and a join with the class-count table, no per-class scan and no union.
     """
-    fractions = _class_table(df, label_col, lambda n, lo, hi: lo / n)
+    fractions, _ = _class_table(df, label_col, lambda n, lo, hi: lo / n)
     joined = df.join(fractions, label_col, "inner")
     return joined.where(hash01(key, seed) < F.col("_value")).drop("_value")
 
@@ -75,12 +77,11 @@ def oversample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 4
     chunks of ``chunk`` and the chunks are hash-spread over the shuffle partitions before the final explode, so a
     handful of minority rows does not generate the whole class inside a handful of tasks.
     """
-    ratios = _class_table(df, label_col, lambda n, lo, hi: hi / n)
+    ratios, values = _class_table(df, label_col, lambda n, lo, hi: hi / n)
     joined = df.join(ratios, label_col, "inner").withColumnRenamed("_value", "_ratio")
     whole = F.floor(F.col("_ratio"))
     copies = (whole + F.when(hash01(key, seed) < F.col("_ratio") - whole, 1).otherwise(0)).cast("long")
-    top = ratios.agg(F.max("_value")).first()[0]
-    if top is None or top <= chunk:
+    if not values or max(values) <= chunk:
         return joined.withColumn(copy_col, F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop("_ratio")
     step = F.lit(chunk).cast("long")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
