@@ -168,7 +168,8 @@ def q_outlier_report(spark, sf_dir):
     return pr.outlier_report(activity(spark, sf_dir), NUM, 3.0)
 
 
-@register("num_classes", CLEAN_CTE + f"SELECT CAST(count(*) AS BIGINT) AS num_classes FROM (SELECT DISTINCT {LAB} FROM strict)")
+@register("num_classes", CLEAN_CTE
+          + f"SELECT CAST(count(*) AS BIGINT) AS num_classes FROM (SELECT DISTINCT {LAB} FROM strict)")
 def q_num_classes(spark, sf_dir):
     return pr.num_classes(strict(spark, sf_dir), LAB)
 
@@ -283,7 +284,8 @@ def q_features_v3(spark, sf_dir):
 HASH = hash01_sql_duckdb("row_id")
 
 
-@register("train_test_split", CTE + f"SELECT *, CASE WHEN {HASH} < 0.8 THEN 'train' ELSE 'test' END AS split FROM activity")
+@register("train_test_split",
+          CTE + f"SELECT *, CASE WHEN {HASH} < 0.8 THEN 'train' ELSE 'test' END AS split FROM activity")
 def q_train_test_split(spark, sf_dir):
     return sa.split_column(activity(spark, sf_dir), "row_id", 0.8, 42)
 

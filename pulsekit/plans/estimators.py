@@ -58,7 +58,8 @@ def decision_tree(features_col: str = "features", label_col: str = "label", seed
 
 
 def mlp(num_features: int, num_classes: int, hidden: tuple[int, ...] = (64, 32), features_col: str = "features",
-        label_col: str = "label", seed: int = SEED, maxIter: int = 100, **params) -> MultilayerPerceptronClassifier:  # noqa: N803
+        label_col: str = "label", seed: int = SEED, maxIter: int = 100,  # noqa: N803
+        **params) -> MultilayerPerceptronClassifier:
     """Layers ``[num_features, *hidden, num_classes]``."""
     return MultilayerPerceptronClassifier(featuresCol=features_col, labelCol=label_col, seed=seed, maxIter=maxIter,
                                           layers=[num_features, *hidden, num_classes], **params)
