@@ -20,12 +20,16 @@ def _d(c: str) -> Column:
 
 
 def numeric_monitoring(df: DataFrame, numeric_cols: Sequence[str], median: str = "exact",
-                       accuracy: int = 10000, num_partitions: int | None = None) -> DataFrame:
+                       accuracy: int = 10000, num_partitions: int | None = None, bracket: bool = True) -> DataFrame:
     """One row with ``<col>_Mean, _Median, _StdDev, _Variance, _Min, _Max`` per column.
 
     StdDev and Variance are the sample versions. ``median="exact"`` is the discrete median (SQL ``percentile_disc``)
     computed by a range-partitioned cumulative count, so no task ever sees a whole column; ``"approx"`` is
     ``percentile_approx`` at ``accuracy``, as in the reference. Medians are doubles.
+
+    ``bracket`` (exact mode): rank only the values inside a ``percentile_approx`` bracket (an extra sketch pass;
+    the right choice for continuous columns at scale) or, with ``False``, every distinct value (cheaper when the
+    columns have few distinct values).
     """
     cols = list(numeric_cols)
     stats = []
@@ -42,7 +46,8 @@ def numeric_monitoring(df: DataFrame, numeric_cols: Sequence[str], median: str =
     if median != "exact":
         raise ValueError(f"median must be 'exact' or 'approx', got {median!r}")
     long = df.select([_d(c).alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    medians = quantile_disc(long, ["column"], "value", 0.5, num_partitions, out_col="median", max_groups=len(cols))
+    medians = quantile_disc(long, ["column"], "value", 0.5, num_partitions, out_col="median",
+                            bracket_accuracy=accuracy if bracket else None, max_groups=len(cols))
     wide = medians.agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"{c}_Median") for c in cols])
     return with_scalars(row, wide).select(*order)
 

@@ -94,3 +94,10 @@ def test_strict_rules_are_inclusive(make):
 
 def test_num_classes_counts_null(make):
     assert pr.num_classes(make(ROWS), "Workout_Type").first()["num_classes"] == 4
+
+
+def test_numeric_monitoring_bracket_and_full_agree(make):
+    rows = [(i, (i * 37) % 101, float((i * 13) % 17), float(i % 7), "a") for i in range(300)]
+    a = pr.numeric_monitoring(make(rows), NUM).first().asDict()
+    b = pr.numeric_monitoring(make(rows), NUM, bracket=False).first().asDict()
+    assert a == b
