@@ -60,3 +60,16 @@ def test_sql_select_and_describe_catalog_view(spark):
     assert tables.select_all(spark, "pk_tmp_view").count() == 1
     names = [r["col_name"] for r in tables.describe_table(spark, "pk_tmp_view").collect()]
     assert names[:2] == ["a", "b"]
+
+
+def test_snapshot_as_catalog_table_and_describe(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, 3.0)], "a long, b double")
+    name = "pk_snapshot_test"
+    try:
+        tables.snapshot(df, name)
+        tables.snapshot(df.where("a = 1"), name)  # replaces, not appends
+        assert tables.select_all(spark, name).count() == 1
+        info = {r["col_name"]: r["data_type"] for r in tables.describe_table(spark, name).collect()}
+        assert info["a"] == "bigint" and "Type" in info  # extended section present
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
