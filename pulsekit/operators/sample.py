@@ -15,19 +15,20 @@ from ..functions.hashing import hash01
 
 
 def split_column(df: DataFrame, key: str, train_fraction: float = 0.8, seed: int = 42,
-                 out_col: str = "split") -> DataFrame:
+                 out_col: str = "split", hash_method: str = "md5") -> DataFrame:
     """F1 as a column: ``'train'`` where ``hash01(key, seed) < train_fraction`` else ``'test'``."""
-    return df.withColumn(out_col, F.when(hash01(key, seed) < F.lit(float(train_fraction)), F.lit("train"))
+    h = hash01(key, seed, hash_method)
+    return df.withColumn(out_col, F.when(h < F.lit(float(train_fraction)), F.lit("train"))
                          .otherwise(F.lit("test")))
 
 
 def train_test_split(df: DataFrame, key: str | None = "row_id", train_fraction: float = 0.8,
-                     seed: int = 42) -> tuple[DataFrame, DataFrame]:
+                     seed: int = 42, hash_method: str = "md5") -> tuple[DataFrame, DataFrame]:
     """``(train, test)``. With ``key=None`` falls back to ``randomSplit`` (depends on partitioning)."""
     if key is None:
         train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
         return train, test
-    h = hash01(key, seed)
+    h = hash01(key, seed, hash_method)
     return df.where(h < F.lit(float(train_fraction))), df.where(h >= F.lit(float(train_fraction)))
 
 
@@ -54,7 +55,8 @@ def _class_table(df: DataFrame, label_col: str, value) -> tuple[DataFrame, list[
     return (F.broadcast(table) if len(counts) <= MAX_BROADCAST_ROWS else table), values
 
 
-def undersample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 42) -> DataFrame:
+def undersample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 42,
+                hash_method: str = "md5") -> DataFrame:
     """Bernoulli-sample every class at ``min_count / class_count`` (the minority class is kept whole).
 
     Expected class sizes are all the minority count, as with the reference's per-class ``sample``; one pass over the
@@ -62,11 +64,11 @@ def undersample(df: DataFrame, label_col: str, key: str = "row_id", seed: int =
     """
     fractions, _ = _class_table(df, label_col, lambda n, lo, hi: lo / n)
     joined = df.join(fractions, label_col, "inner")
-    return joined.where(hash01(key, seed) < F.col("_value")).drop("_value")
+    return joined.where(hash01(key, seed, hash_method) < F.col("_value")).drop("_value")
 
 
 def oversample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 42,
-               copy_col: str = "copy_id", chunk: int = 256) -> DataFrame:
+               copy_col: str = "copy_id", chunk: int = 256, hash_method: str = "md5") -> DataFrame:
     """duplicate every class toward the majority count.
 
     A row of a class with ``count`` rows appears ``floor(max/count)`` times, plus once more when
@@ -80,7 +82,7 @@ def oversample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 4
     ratios, values = _class_table(df, label_col, lambda n, lo, hi: hi / n)
     joined = df.join(ratios, label_col, "inner").withColumnRenamed("_value", "_ratio")
     whole = F.floor(F.col("_ratio"))
-    copies = (whole + F.when(hash01(key, seed) < F.col("_ratio") - whole, 1).otherwise(0)).cast("long")
+    copies = (whole + F.when(hash01(key, seed, hash_method) < F.col("_ratio") - whole, 1).otherwise(0)).cast("long")
     if not values or max(values) <= chunk:
         return joined.withColumn(copy_col, F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop("_ratio")
     step = F.lit(chunk).cast("long")
@@ -96,12 +98,12 @@ def oversample(df: DataFrame, label_col: str, key: str = "row_id", seed: int = 4
 
 
 def balance(df: DataFrame, label_col: str, strategy: str = "undersample", key: str = "row_id",
-            seed: int = 42) -> DataFrame:
+            seed: int = 42, hash_method: str = "md5") -> DataFrame:
     """dispatch; ``"none"`` passes the input through, anything unknown raises."""
     if strategy == "undersample":
-        return undersample(df, label_col, key, seed)
+        return undersample(df, label_col, key, seed, hash_method)
     if strategy == "oversample":
-        return oversample(df, label_col, key, seed)
+        return oversample(df, label_col, key, seed, hash_method=hash_method)
     if strategy == "none":
         return df
     raise ValueError(f"unknown balancing strategy {strategy!r}")

@@ -59,3 +59,16 @@ def test_oversample_chunked_path_matches_direct(spark):
     assert direct.select(*key).exceptAll(chunked.select(*key)).count() == 0
     tiny = chunked.where("Workout_Type = 'tiny'").groupBy("row_id").agg(F.countDistinct("copy_id").alias("c"))
     assert all(r["c"] >= 666 for r in tiny.collect())
+
+
+def test_xxhash_method_split_and_sampling(spark):
+    df = frame(spark, {"big": 3000, "small": 500})
+    t1, _ = sa.train_test_split(df, "row_id", hash_method="xxhash")
+    t2, _ = sa.train_test_split(df.repartition(5), "row_id", hash_method="xxhash")
+    ids1, ids2 = sorted(r[0] for r in t1.collect()), sorted(r[0] for r in t2.collect())
+    assert ids1 == ids2 and 2650 < len(ids1) < 2950
+    md5_ids = sorted(r[0] for r in sa.train_test_split(df, "row_id")[0].collect())
+    assert md5_ids != ids1  # a different, equally valid split
+    counts = {r[0]: r[1] for r in sa.undersample(df, "Workout_Type", hash_method="xxhash")
+              .groupBy("Workout_Type").count().collect()}
+    assert counts["small"] == 500 and abs(counts["big"] - 500) < 4 * 20.5
