@@ -28,11 +28,11 @@ shingled AS (
   FROM worded, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS t(i) WHERE len(ws) > 0),
 sized AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
 shared AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
   FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 linked AS (
   SELECT a, b FROM shared JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
-  WHERE 100 * both >= 85 * (x.n + y.n - both)),
+  WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
 reach(doc_id, other) AS (
   SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN linked l ON l.a = r.other),
 found AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
