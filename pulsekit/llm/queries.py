@@ -3,9 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import public_tokenizers
 from pulsekit.llm.common import table
 from pulsekit.llm.near_dup import near_duplicates
+from pulsekit.llm.packing import pack_documents
+from pulsekit.llm.token_counts import count_tokens
+
+
+def op2_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048,
+                            ranks=(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +27,8 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_best_two_fit_packing": op2_best_two_fit_packing,
+    "op5_token_counts": op5_token_counts,
     "op3_near_duplicates": op3_near_duplicates,
 }
 
