@@ -9,6 +9,7 @@ import public_tokenizers
 from pulsekit.llm.common import table
 from pulsekit.llm.near_dup import near_duplicates
 from pulsekit.llm.packing import pack_documents
+from pulsekit.llm.quality import quality_measures
 from pulsekit.llm.token_counts import count_tokens
 
 
@@ -26,10 +27,17 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_measures(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         (~F.col("base_failed") & F.col("rejected_by").isNull()).alias("kept"))
+
+
 QUERIES = {
     "op2_best_two_fit_packing": op2_best_two_fit_packing,
     "op5_token_counts": op5_token_counts,
     "op3_near_duplicates": op3_near_duplicates,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -54,5 +62,33 @@ reach(doc_id, other) AS (
 found AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN found USING (doc_id) LEFT JOIN sized USING (doc_id)
+""",
+    "op9_quality_rules": f"""
+WITH base AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
+windows AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, ws[i], ws[i + 1], ws[i + 2]) AS k
+  FROM base, unnest(range(1, len(ws) - 1)) AS t(i)),
+covered AS (
+  SELECT rid, count(DISTINCT i + o) AS n FROM windows, (VALUES (0), (1), (2)) AS v(o) WHERE k > 1 GROUP BY rid),
+lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM base),
+dups AS (
+  SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+uses AS (SELECT rid, w, count(*) AS k FROM (SELECT rid, unnest(ws) AS w FROM base) GROUP BY rid, w),
+tops AS (SELECT rid, max(k) AS n_top FROM uses GROUP BY rid),
+measured AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(covered.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_top, 0) AS n_top,
+    len(regexp_extract_all(text, '!')) AS n_shouts, len(regexp_extract_all(text, '[A-Z]')) AS n_upper
+  FROM base LEFT JOIN covered USING (rid) LEFT JOIN dups USING (rid) LEFT JOIN tops USING (rid)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_shouts > n_words OR 10 * n_upper > 4 * word_chars
+    OR 10 * n_top > 4 * n_words OR 10 * n_dup_lines > 5 * n_lines OR word_chars < 2 * n_words
+    OR word_chars > 15 * n_words) AS kept
+FROM judged
 """,
 }
