@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from pulsekit.llm.common import table
+from pulsekit.llm.decontaminate import benchmark_hits
 from pulsekit.llm.near_dup import near_duplicates
 from pulsekit.llm.packing import pack_documents
 from pulsekit.llm.quality import quality_measures
@@ -19,6 +20,12 @@ def op2_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "n_words", "n_hit", "n_items",
+                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
@@ -35,12 +42,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_best_two_fit_packing": op2_best_two_fit_packing,
+    "op4_decontamination": op4_decontamination,
     "op5_token_counts": op5_token_counts,
     "op3_near_duplicates": op3_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
 }
 
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 ORACLES = {
@@ -62,6 +71,27 @@ reach(doc_id, other) AS (
 found AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN found USING (doc_id) LEFT JOIN sized USING (doc_id)
+""",
+    "op4_decontamination": f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER.format('text')}, {_ALNUM}) AS ws FROM documents),
+asked AS (SELECT item_id, regexp_extract_all({_LOWER.format('text')}, {_ALNUM}) AS ws FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(ws), 13) AS n, array_to_string(ws[i:i + least(len(ws), 13) - 1], ' ') AS w
+  FROM asked, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS t(i) WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT rid, i, n, array_to_string(ws[i:i + n - 1], ' ') AS w
+  FROM texts, sizes, unnest(range(1, len(ws) - n + 2)) AS t(i) WHERE len(ws) >= n),
+matches AS (SELECT rid, i, n, item_id FROM doc_windows JOIN item_windows USING (n, w)),
+hit AS (SELECT rid, count(DISTINCT i + o) AS n_hit FROM matches, unnest(range(0, n)) AS t(o) GROUP BY rid),
+named AS (
+  SELECT rid, count(DISTINCT item_id) AS n_items,
+    string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM matches GROUP BY rid)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM texts LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)
 """,
     "op9_quality_rules": f"""
 WITH base AS (
