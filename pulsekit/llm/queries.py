@@ -12,6 +12,16 @@ from pulsekit.llm.near_dup import near_duplicates
 from pulsekit.llm.packing import pack_documents
 from pulsekit.llm.quality import quality_measures
 from pulsekit.llm.token_counts import count_tokens
+from pulsekit.llm.url_rules import MIN_CONFIDENCE, MIN_SUPPORT, filter_urls
+
+#: The URL rules of the query (verdict, host, path).
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
 
 
 def op2_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,12 +50,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (~F.col("base_failed") & F.col("rejected_by").isNull()).alias("kept"))
 
 
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op2_best_two_fit_packing": op2_best_two_fit_packing,
     "op4_decontamination": op4_decontamination,
     "op5_token_counts": op5_token_counts,
     "op3_near_duplicates": op3_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
+    "op10_url_rules": op10_url_rules,
 }
 
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -53,7 +69,7 @@ _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 ORACLES = {
-    "op3_near_duplicates": f"""
+    "op3_near_duplicates": rf"""
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all({_LOWER.format('text')}, {_WORD}) AS ws FROM documents),
 shingled AS (
@@ -72,7 +88,7 @@ found AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN found USING (doc_id) LEFT JOIN sized USING (doc_id)
 """,
-    "op4_decontamination": f"""
+    "op4_decontamination": rf"""
 WITH texts AS (
   SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER.format('text')}, {_ALNUM}) AS ws FROM documents),
 asked AS (SELECT item_id, regexp_extract_all({_LOWER.format('text')}, {_ALNUM}) AS ws FROM benchmark),
@@ -93,7 +109,7 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM texts LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)
 """,
-    "op9_quality_rules": f"""
+    "op9_quality_rules": rf"""
 WITH base AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
@@ -120,5 +136,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR 10 * n_top > 4 * n_words OR 10 * n_dup_lines > 5 * n_lines OR word_chars < 2 * n_words
     OR word_chars > 15 * n_words) AS kept
 FROM judged
+""",
+    "op10_url_rules": rf"""
+WITH rules(verdict, rhost, rpath) AS (VALUES {', '.join(map(str, URL_RULES))}),
+rests AS (
+  SELECT row_number() OVER () AS rid, page_id, coalesce(url, '') AS url,
+    CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT rid, page_id, url, {_LOWER.format("regexp_extract(rest, '^[^/?#]*', 0)")} AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+fits AS (
+  SELECT rid, rhost || rpath AS rule, verdict,
+    row_number() OVER (PARTITION BY rid ORDER BY length(rhost || rpath) DESC, rhost || rpath DESC) AS k
+  FROM parts JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)),
+judged AS (SELECT p.*, f.rule, f.verdict AS given FROM parts p LEFT JOIN fits f ON f.rid = p.rid AND f.k = 1),
+tokens AS (
+  SELECT DISTINCT rid, given, token FROM (
+    SELECT rid, given, unnest(list_concat(
+      ['s:' || {_LOWER.format("regexp_extract(url, '^([^/?#:]*)://', 1)")}],
+      ['h:' || x FOR x IN string_split(host, '.')], ['p:' || x FOR x IN string_split(path, '/')],
+      ['e:' || regexp_extract(path, '\.([A-Za-z0-9]{{1,8}})$', 1)],
+      ['q:' || string_split(x, '=')[1] FOR x IN string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&')],
+      ['f:' || regexp_extract(url, '(#)', 1)])) AS token FROM judged) WHERE length(token) > 2),
+total AS (SELECT count(*) AS n FROM judged WHERE given IS NOT NULL),
+sets AS (
+  SELECT rid, given, [token] AS x FROM tokens
+  UNION ALL SELECT a.rid, a.given, [a.token, b.token] FROM tokens a JOIN tokens b ON a.rid = b.rid AND a.token < b.token
+  UNION ALL SELECT a.rid, a.given, [a.token, b.token, c.token]
+    FROM tokens a JOIN tokens b ON a.rid = b.rid AND a.token < b.token JOIN tokens c ON b.rid = c.rid AND b.token < c.token),
+counts AS (
+  SELECT x, count(*) AS n, count(*) FILTER (given = 'allow') AS n_allow, count(*) FILTER (given = 'block') AS n_block
+  FROM sets WHERE given IS NOT NULL GROUP BY x),
+mined AS (
+  SELECT x, v AS learned, k / c.n AS confidence, k / total.n AS support
+  FROM (SELECT x, n, 'allow' AS v, n_allow AS k FROM counts UNION ALL SELECT x, n, 'block', n_block FROM counts) c, total
+  WHERE k >= ceil({MIN_SUPPORT} * total.n) AND k > 0 AND k / c.n >= {MIN_CONFIDENCE}),
+best AS (
+  SELECT rid, learned, row_number() OVER (PARTITION BY rid ORDER BY confidence DESC, support DESC, learned DESC) AS k
+  FROM sets JOIN mined USING (x) WHERE given IS NULL)
+SELECT page_id, host, path, rule, coalesce(given, learned, 'allow') AS verdict
+FROM judged j LEFT JOIN best b ON b.rid = j.rid AND b.k = 1
 """,
 }
