@@ -32,7 +32,7 @@ from pulsekit.llm.shingles import M, joint_estimate, registers, shingle_sets
 
 BAND_REGISTERS = 4
 #: A block of a family holds about this many bytes of shingle hashes and registers; a unit of work holds two blocks.
-BLOCK_SET_BYTES = 8 << 20
+BLOCK_SET_BYTES = 2 << 20
 ESTIMATE_MARGIN = 0.16
 
 _SKETCH = "doc_id long, n_shingles long, set_key binary, regs binary"

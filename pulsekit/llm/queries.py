@@ -10,6 +10,7 @@ from pulsekit.llm.common import table
 from pulsekit.llm.decontaminate import benchmark_hits
 from pulsekit.llm.near_dup import near_duplicates
 from pulsekit.llm.packing import pack_documents
+from pulsekit.llm.pii import KINDS, find_pii, joined_spans
 from pulsekit.llm.quality import quality_measures
 from pulsekit.llm.token_counts import count_tokens
 from pulsekit.llm.url_rules import MIN_CONFIDENCE, MIN_SUPPORT, filter_urls
@@ -44,6 +45,13 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"size(filter(base, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined_spans(F.col("base")), 256).alias("base_sha256"),
+                        joined_spans(F.concat("base", "added")).alias("spans"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_measures(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -60,6 +68,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_token_counts": op5_token_counts,
     "op3_near_duplicates": op3_near_duplicates,
+    "op6_personal_data": op6_personal_data,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_rules": op10_url_rules,
 }
