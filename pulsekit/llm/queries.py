@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from pulsekit.llm.common import table
 from pulsekit.llm.decontaminate import benchmark_hits
+from pulsekit.llm.html_extract import extract_main_text
 from pulsekit.llm.near_dup import near_duplicates
 from pulsekit.llm.packing import pack_documents
 from pulsekit.llm.pii import KINDS, find_pii, joined_spans
 from pulsekit.llm.quality import quality_measures
+from pulsekit.llm.sharding import shard_documents
 from pulsekit.llm.token_counts import count_tokens
 from pulsekit.llm.url_rules import MIN_CONFIDENCE, MIN_SUPPORT, filter_urls
 
+#: Byte limit of a shard: some shards from the smallest tables on, 256 MB on a cluster would be usual.
+SHARD_BYTES = 256 << 10
+
 #: The URL rules of the query (verdict, host, path).
 URL_RULES = [
     ("allow", "org", "/"),
@@ -25,6 +30,10 @@ URL_RULES = [
 ]
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048,
                             ranks=(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
@@ -52,6 +61,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined_spans(F.concat("base", "added")).alias("spans"))
 
 
+def op8_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), max_bytes=SHARD_BYTES)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_measures(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -64,11 +77,13 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_main_text": op1_main_text,
     "op2_best_two_fit_packing": op2_best_two_fit_packing,
     "op4_decontamination": op4_decontamination,
     "op5_token_counts": op5_token_counts,
     "op3_near_duplicates": op3_near_duplicates,
     "op6_personal_data": op6_personal_data,
+    "op8_extendible_sharding": op8_extendible_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_rules": op10_url_rules,
 }
@@ -145,6 +160,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR 10 * n_top > 4 * n_words OR 10 * n_dup_lines > 5 * n_lines OR word_chars < 2 * n_words
     OR word_chars > 15 * n_words) AS kept
 FROM judged
+""",
+    "op8_extendible_sharding": rf"""
+WITH hashed AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes, coalesce(text, '') AS text,
+    md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key, count(*) OVER (PARTITION BY doc_id) AS uses FROM documents),
+bits AS (
+  SELECT doc_id, n_bytes, array_to_string([['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100',
+          '1101', '1110', '1111'][strpos('0123456789abcdef', x)]
+          FOR x IN string_split(key, '')], '') AS bits
+  FROM hashed),
+levels AS (SELECT doc_id, n_bytes, d AS depth, substr(bits, 1, d) AS bucket FROM bits, unnest(range(0, 61)) AS t(d)),
+sums AS (SELECT depth, bucket, sum(n_bytes) AS bytes, count(*) AS n FROM levels GROUP BY depth, bucket),
+chosen AS (
+  SELECT doc_id, l.n_bytes, l.bucket, l.depth, s.bytes,
+    row_number() OVER (PARTITION BY doc_id ORDER BY l.depth) AS k
+  FROM levels l JOIN sums s USING (depth, bucket) WHERE s.bytes <= {SHARD_BYTES} OR s.n = 1)
+SELECT doc_id, n_bytes, bucket AS shard, depth, CAST(bytes AS BIGINT) AS shard_bytes, bytes > {SHARD_BYTES} AS over_limit
+FROM chosen WHERE k = 1
 """,
     "op10_url_rules": rf"""
 WITH rules(verdict, rhost, rpath) AS (VALUES {', '.join(map(str, URL_RULES))}),
