@@ -27,7 +27,7 @@ AUTOMATON_BYTES = 1 << 20
 
 # Words are runs of 0-9, A-Z, a-z and non-ASCII characters; A-Z count as a-z. On UTF-8 bytes that is a table.
 _TABLE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")  # of a text as it was
 
 _AUTOMATA: dict[int, object] = {}
 

@@ -9,6 +9,7 @@ import public_tokenizers
 from pulsekit.llm.common import table
 from pulsekit.llm.decontaminate import benchmark_hits
 from pulsekit.llm.html_extract import extract_main_text
+from pulsekit.llm.lm_scoring import score_documents
 from pulsekit.llm.near_dup import near_duplicates
 from pulsekit.llm.packing import pack_documents
 from pulsekit.llm.pii import KINDS, find_pii, joined_spans
@@ -61,6 +62,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined_spans(F.concat("base", "added")).alias("spans"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), folds=7, held_fold=2)
+
+
 def op8_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), max_bytes=SHARD_BYTES)
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op3_near_duplicates": op3_near_duplicates,
     "op6_personal_data": op6_personal_data,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_rules": op10_url_rules,
