@@ -86,3 +86,11 @@ def coded(flat: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def ascii_lower(col):
     """Lower-cases A-Z and nothing else."""
     return F.translate(col, UPPER, LOWER)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

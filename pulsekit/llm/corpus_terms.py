@@ -23,7 +23,7 @@ from pulsekit.llm.common import blocks, coded, texts_of
 HEAD_TERMS = 1 << 17
 HEAD_TERM_BYTES = 64
 #: Distinct terms that a task gathers before it sends their counts on.
-TASK_TERMS = 1 << 20
+TASK_TERMS = 1 << 19
 
 Splitter = Callable[[pa.Array], tuple[pa.Array, np.ndarray]]
 

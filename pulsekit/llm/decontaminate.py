@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import blocks
+from pulsekit.llm.common import blocks, fresh, materialize
 
 WINDOW = 13
 #: Bytes of normalised benchmark text per automaton. A text of n words of c characters has (n - 12) keys of about
@@ -147,6 +147,10 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, max_bytes: int = AUTOM
     empty text has no words; repeated rows are judged each; a null doc_id stays null; null items or item texts count
     for nothing, and an empty benchmark hits nothing.
     """
+    return _numbered_hits(docs, benchmark, max_bytes).drop("rid")
+
+
+def _numbered_hits(docs: DataFrame, benchmark: DataFrame, max_bytes: int) -> DataFrame:
     spark = docs.sparkSession
     source = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
                          F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -166,6 +170,18 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, max_bytes: int = AUTOM
             F.expr("zip_with(first, stop, (a, b) -> sequence(a, b - 1))")))))
     n_hit = F.col("n_hit").cast("long")
     return found.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        "rid", "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.array_sort("items").alias("items"), "span_start", "span_end",
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_bytes: int = AUTOMATON_BYTES) -> DataFrame:
+    """docs without the contaminated rows; all columns unchanged.
+
+    Rows are found again by their number, so docs must be a table or another input that Spark reads in the same
+    partitions each time.
+    """
+    rid, gone = fresh(docs, "rid"), fresh(docs, "contaminated")
+    found = _numbered_hits(docs, benchmark, max_bytes).where("contaminated").select(F.col("rid").alias(gone))
+    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
+    return numbered.join(materialize(found), F.col(rid) == F.col(gone), "left_anti").drop(rid)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import blocks, materialize, texts_of
+from pulsekit.llm.common import blocks, fresh, materialize, texts_of
 from pulsekit.llm.components import connected_components
 from pulsekit.llm.shingles import M, joint_estimate, registers, shingle_sets
 
@@ -35,7 +35,7 @@ BAND_REGISTERS = 4
 BLOCK_SET_BYTES = 2 << 20
 ESTIMATE_MARGIN = 0.16
 
-_SKETCH = "doc_id long, n_shingles long, set_key binary, regs binary"
+_SKETCH = "rid long, doc_id long, n_shingles long, set_key binary, regs binary"
 _SETS = "doc_id long, set_key binary, regs binary, hashes binary"
 
 
@@ -43,10 +43,10 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in blocks(batches, "text"):
         sets = shingle_sets(texts_of(part))
         yield pa.RecordBatch.from_arrays([
-            part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+            part.column("rid"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
             pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
             pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-        ], names=["doc_id", "n_shingles", "set_key", "regs"])
+        ], names=["rid", "doc_id", "n_shingles", "set_key", "regs"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +154,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     text are one document (all are returned and share its verdict). A row without doc_id has component_id null and is
     kept, since no other row can name it. Other columns are ignored.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _numbered_components(docs, percent).drop("rid")
+
+
+def _numbered_components(docs: DataFrame, percent: int) -> DataFrame:
+    source = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = materialize(source.mapInArrow(_sketches, _SKETCH))
     classes = materialize(sketched.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
                           .agg(F.min("doc_id").alias("rep"), F.first("regs").alias("regs")))
@@ -170,7 +174,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     # Full sets of the members only, from their texts, then units of two bounded blocks.
     members = classes.select("set_key", "rep").join(families, "rep")
-    texts = source.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = source.select("doc_id", "text").join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = texts.mapInArrow(_full_sets, _SETS).dropDuplicates(["doc_id", "set_key"])
     sets = materialize(members.withColumnRenamed("rep", "doc_id").join(sets, ["doc_id", "set_key"])
                        .select(F.col("doc_id").alias("rep"), "family", "regs", "hashes"))
@@ -187,7 +191,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     components = connected_components(links).withColumnsRenamed({"node": "rep"})
 
     resolved = classes.join(components, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("found"))
-    return (sketched.select("doc_id", "n_shingles", "set_key").join(resolved, "set_key", "left")
-            .select("doc_id", "n_shingles",
+    return (sketched.select("rid", "doc_id", "n_shingles", "set_key").join(resolved, "set_key", "left")
+            .select("rid", "doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """One row of each near-duplicate group of docs, all columns unchanged: of the rows of the kept doc_id the first.
+
+    Rows without doc_id stay. Rows are found again by their number, so docs must be a table or another input that
+    Spark reads in the same partitions each time.
+    """
+    verdict = materialize(_numbered_components(docs, percent))
+    rid, gone = fresh(docs, "rid"), fresh(docs, "dropped")
+    first = verdict.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rid").alias("first"))
+    dropped = (verdict.where("doc_id IS NOT NULL").join(first, "doc_id", "left")
+               .where("NOT kept OR rid <> first").select(F.col("rid").alias(gone)))
+    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
+    return numbered.join(materialize(dropped), F.col(rid) == F.col(gone), "left_anti").drop(rid)

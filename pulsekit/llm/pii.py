@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from pulsekit.llm.common import blocks, materialize, texts_of
+from pulsekit.llm.common import blocks, fresh, materialize, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -197,34 +197,43 @@ def joined_spans(spans):
     return F.array_join(F.transform(F.array_sort(order), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in blocks(batches, "text"):
-        texts = part.column("text").to_pylist()
-        for k, spans in enumerate(part.column("spans").to_pylist()):
-            if spans:
-                text, out, end = texts[k], [], 0
-                for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
-                    if s["start"] >= end:  # spans of several kinds may overlap: the first placeholder stands for all
-                        out += [text[end:s["start"]], f"<{s['kind'].upper()}>"]
-                    end = max(end, s["end"])
-                texts[k] = "".join([*out, text[end:]])
-        yield pa.RecordBatch.from_arrays([part.column("rid"), pa.array(texts, pa.string())], names=["rid", "redacted"])
+def redacted(text: str, spans: list[dict]) -> str:
+    """The text with each span replaced. Where spans overlap, the first one's placeholder stands for all."""
+    out, end = [], 0
+    for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
+        if s["start"] >= end:
+            out += [text[end:s["start"]], f"<{s['kind'].upper()}>"]
+        end = max(end, s["end"])
+    return "".join([*out, text[end:]])
+
+
+def _redact(column: str, result: str):
+    def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in blocks(batches, "text"):
+            texts: list[str | None] = [None] * part.num_rows
+            for k, spans in enumerate(part.column(column).to_pylist()):
+                if spans:
+                    texts[k] = redacted(part.column("text")[k].as_py(), spans)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, result])
+
+    return redact
 
 
 def redact_pii(docs: DataFrame, **settings) -> DataFrame:
     """docs with every span of find_pii replaced by its kind in angle brackets; n_chars, if there, is the new length.
 
-    Every other column and every row stay. Only documents with spans go through a join with their text.
+    Every other column and every row stay. Rows are found again by their number, so docs must be a table or another
+    input that Spark reads in the same partitions each time.
     """
     spans = find_pii(docs, **settings).select("rid", F.concat("base", "added").alias("spans")).where("size(spans) > 0")
-    numbered = docs.select(F.monotonically_increasing_id().alias("__rid"), "*")
-    hit = numbered.join(spans.withColumnRenamed("rid", "__rid"), "__rid")
-    texts = (hit.select(F.col("__rid").alias("rid"), F.col("text").cast("string").alias("text"), "spans")
-             .mapInArrow(_redact, StructType([StructField("rid", spans.schema["rid"].dataType),
-                                              StructField("redacted", StringType())])))
-    out = numbered.join(texts.withColumnRenamed("rid", "__rid"), "__rid", "left")
-    changed = {"text": F.coalesce("redacted", "text")}
+    rid, found, result = fresh(docs, "rid"), fresh(docs, "spans"), fresh(docs, "redacted")
+    spans = materialize(spans.select(F.col("rid").alias(rid), F.col("spans").alias(found)))
+    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
+    schema = StructType([*numbered.schema.fields, spans.schema[found], StructField(result, StringType())])
+    out = (numbered.join(spans, rid, "left").select(*numbered.columns, found)
+           .mapInArrow(_redact(found, result), schema))
+    changed = {"text": F.coalesce(result, "text")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = (F.when(F.col("redacted").isNotNull(), F.length("redacted").cast(docs.schema["n_chars"].dataType))
+        changed["n_chars"] = (F.when(F.col(result).isNotNull(), F.length(result).cast(docs.schema["n_chars"].dataType))
                               .otherwise(F.col("n_chars")))
     return out.withColumns(changed).select(*docs.columns)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from pulsekit.llm.common import blocks, coded, texts_of, words_of
+from pulsekit.llm.common import blocks, coded, fresh, texts_of, words_of
 from pulsekit.llm.shingles import mix
 
 #: Documents that cost and selectivity are estimated on, at most in expectation. It affects the order alone.
@@ -207,7 +207,7 @@ class _Left:
         return getattr(self._of, name)[self._mask]
 
 
-def _measured(rules: tuple[Rule, ...], with_base: bool):
+def _measured(rules: tuple[Rule, ...], with_base: bool, verdict: str = "rejected_by"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, "text"):
             texts = texts_of(part)
@@ -226,7 +226,7 @@ def _measured(rules: tuple[Rule, ...], with_base: bool):
             else:
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(run_cascade(texts, rules), pa.string())],
-                    names=[*part.schema.names, "rejected_by"])
+                    names=[*part.schema.names, verdict])
 
     return run
 
@@ -251,7 +251,6 @@ def quality_measures(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFr
 
 def keep_quality(docs: DataFrame, rules: tuple[Rule, ...] = (*BASE_RULES, *RULES)) -> DataFrame:
     """The rows of docs that no rule rejects, all columns unchanged; every rule is part of the cascade here."""
-    if "rejected_by" in docs.columns:
-        raise ValueError("a column is called rejected_by already")
-    schema = StructType([*docs.schema.fields, StructField("rejected_by", StringType())])
-    return docs.mapInArrow(_measured(_ordered(docs, rules), False), schema).where("rejected_by IS NULL").drop("rejected_by")
+    verdict = fresh(docs, "rejected_by")
+    schema = StructType([*docs.schema.fields, StructField(verdict, StringType())])
+    return docs.mapInArrow(_measured(_ordered(docs, rules), False, verdict), schema).where(F.col(verdict).isNull()).drop(verdict)
