@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -26,14 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Without that setting (tests, a laptop) the session's warehouse folder takes its place, which only a local master
-    may use: on a cluster a missing setting is an error, not a machine-local folder.
+    Without that setting a temporary folder takes its place, but only where driver and executors are one process
+    (tests, a laptop): on a cluster a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+        base = "file://" + tempfile.mkdtemp(prefix="pulsekit-shared-")
     return f"{base.rstrip('/')}/pulsekit-{uuid.uuid4().hex}"
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.llm.common import blocks, materialize, texts_of, words_of
-from pulsekit.llm.corpus_terms import document_terms, head_floor, is_head, pairs, term_counts
+from pulsekit.llm.corpus_terms import HEAD_TERMS, document_terms, head_floor, is_head, pairs, term_counts
 from pulsekit.llm.gru import Adam, Gru, score, train
 
 VOCABULARY = 960
@@ -194,7 +194,7 @@ def _scored(shared, head):
     return run
 
 
-def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, head_terms: int = HEAD_TERMS) -> DataFrame:
     """Scores every document (doc_id, text; other columns are ignored) under a model of the training documents.
 
     Training documents are those whose crc32(doc_id as text) mod ``folds`` is not ``held_fold``. Tokens are the words, A-Z
@@ -224,7 +224,7 @@ def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> Data
     vocabulary = Vocabulary(words, tokens, n_docs)
     weights = train_model(training, vocabulary)
 
-    floor = head_floor(terms)
+    floor = head_floor(terms, max(head_terms, VOCABULARY))
     head = {r["term"]: r["n"] for r in terms.where(is_head(floor)).toLocalIterator()}
     rows = source.mapInArrow(
         _scored(spark.sparkContext.broadcast((vocabulary, weights, shares)), spark.sparkContext.broadcast(head)),

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.llm.common import blocks, drop_empty, materialize
-from pulsekit.llm.corpus_terms import document_terms, head_floor, is_head, pairs, term_counts
+from pulsekit.llm.corpus_terms import HEAD_TERMS, document_terms, head_floor, is_head, pairs, term_counts
 from pulsekit.llm.tokens import piece_counts
 
 
@@ -56,7 +56,7 @@ def _document_rows(head):
     return rows
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, head_terms: int = HEAD_TERMS) -> DataFrame:
     """Tokens of every document (doc_id, text; other columns are ignored) as the tokenizer counts them whole.
 
     Returns one row per input row: doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit). A null text is
@@ -67,7 +67,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048) -> Dat
                          text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
     terms = materialize(term_counts(source, pre_tokens).mapInArrow(_counted(tokenizer_path),
                                                                    "term string, n long, pieces long"))
-    floor = head_floor(terms)
+    floor = head_floor(terms, head_terms)
     head = {r["term"]: r["pieces"] for r in terms.where(is_head(floor)).select("term", "pieces").toLocalIterator()}
     rows = source.mapInArrow(_document_rows(docs.sparkSession.sparkContext.broadcast(head)),
                              "rid long, term string, amount long, doc_id long, n_bytes long")
