@@ -115,7 +115,7 @@ def index_to_label(prediction: Column | str, labels: Sequence[str], unknown: str
     """H1 without a UDF: index ``i`` (a double from a classifier) -> ``labels[i]``, ``unknown`` if out of range."""
     arr = F.array(*[F.lit(x) for x in labels]) if labels else F.array().cast("array<string>")
     idx = col_(prediction).cast("int") + F.lit(1)
-    return F.coalesce(F.try_element_at(arr, idx), F.lit(unknown))
+    return F.coalesce(F.when(idx >= 1, F.try_element_at(arr, F.greatest(idx, F.lit(1)))), F.lit(unknown))
 
 
 # A deterministic rule classifier: the activity pattern read as a workout class. It is the stand-in predictor that

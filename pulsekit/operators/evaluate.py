@@ -17,6 +17,10 @@ from ..functions.expressions import accuracy_verdict, index_to_label, overfittin
 from .ordered import cumulative_by_value
 
 
+#: Classes of a dense confusion matrix (its square is the number of rows).
+MAX_DENSE_CLASSES = 1000
+
+
 def confusion_counts(pred: DataFrame, label_col: str = "label", prediction_col: str = "prediction",
                      group_cols: Sequence[str] = ()) -> DataFrame:
     """K5 (sparse): ``group..., actual, predicted, count`` for observed cells; NULL labels are left out."""
@@ -75,8 +79,9 @@ def classification_metrics(pred: DataFrame, label_col: str = "label", prediction
 
 
 def accuracy_by_counting(pred: DataFrame, label_col: str = "label", prediction_col: str = "prediction") -> DataFrame:
-    """C17: share of rows with ``label == prediction`` (NULL for no rows)."""
-    return pred.agg(F.avg((F.col(label_col) == F.col(prediction_col)).cast("double")).alias("accuracy"))
+    """C17: share of all rows with ``label == prediction``; a NULL on either side is a miss (NULL for no rows)."""
+    hit = F.coalesce(F.col(label_col) == F.col(prediction_col), F.lit(False))
+    return pred.agg(F.avg(hit.cast("double")).alias("accuracy"))
 
 
 def confusion_matrix(pred: DataFrame, label_col: str = "label", prediction_col: str = "prediction",
@@ -85,7 +90,8 @@ def confusion_matrix(pred: DataFrame, label_col: str = "label", prediction_col:
 
     The observed cells (at most classes^2, the size of the answer) are gathered into one map together with the
     class list (the union of labels and predictions unless given); the dense grid is that list exploded twice and
-    looked up in the map. The predictions are read once and nothing is collected to the driver.
+    looked up in the map. The predictions are read once and nothing is collected to the driver. More than
+    ``MAX_DENSE_CLASSES`` classes raise an error: use ``confusion_counts``, the observed cells only, which has no bound.
     """
     counts = confusion_counts(pred, label_col, prediction_col)
     cells = F.map_from_entries(F.collect_list(F.struct(F.struct("actual", "predicted"), F.col("count"))))
@@ -94,6 +100,13 @@ def confusion_matrix(pred: DataFrame, label_col: str = "label", prediction_col:
     else:
         dtype = counts.schema["actual"].dataType
         cls = F.array(*[F.lit(c).cast(dtype) for c in classes])
+    if classes is None:
+        too_many = F.raise_error(F.lit(f"more than {MAX_DENSE_CLASSES} classes: use confusion_counts")).cast(
+            f"array<{counts.schema['actual'].dataType.simpleString()}>")
+        seen = F.greatest(F.approx_count_distinct("actual", 0.01), F.approx_count_distinct("predicted", 0.01))
+        cls = F.when(seen > MAX_DENSE_CLASSES, too_many).otherwise(cls)
+    elif len(classes) > MAX_DENSE_CLASSES:
+        raise ValueError(f"more than {MAX_DENSE_CLASSES} classes: use confusion_counts")
     table = counts.agg(cells.alias("m"), cls.alias("c"))
     grid = table.select(F.explode("c").alias("actual"), "c", "m") \
         .select("actual", F.explode("c").alias("predicted"), "m")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import imbalance_flag, safe_div
@@ -81,12 +81,22 @@ def describe_numeric(df: DataFrame, numeric_cols: Sequence[str]) -> DataFrame:
     return row.select(F.inline(F.array(*structs)))
 
 
+def describe_strings(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """C8 for string columns: ``column, count, min, max`` in one pass (mean and stddev are undefined for text)."""
+    cols = list(cols)
+    row = df.agg(*[e for i, c in enumerate(cols) for e in (
+        F.count(c).alias(f"n{i}"), F.min(F.col(c).cast("string")).alias(f"lo{i}"), F.max(F.col(c).cast("string")).alias(f"hi{i}"))])
+    structs = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").cast("long").alias("count"), F.col(f"lo{i}").alias("min"),
+                        F.col(f"hi{i}").alias("max")) for i, c in enumerate(cols)]
+    return row.select(F.inline(F.array(*structs)))
+
+
 def class_distribution(df: DataFrame, label_col: str) -> DataFrame:
     """``label, count, percentage`` sorted by count descending, then label (NULL group kept)."""
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("count"))
-    # The total is a window over the per-class table (one row per class), not a second pass over the data.
-    total = F.sum("count").over(Window.partitionBy())
-    return counts.select(label_col, "count", (safe_div(F.col("count"), total) * 100).alias("percentage")) \
+    # The total is a scalar subquery over the per-class table: no window, no task that holds all classes.
+    shared = with_scalars(counts, counts.agg(F.sum("count").alias("_total")))
+    return shared.select(label_col, "count", (safe_div(F.col("count"), F.col("_total")) * 100).alias("percentage")) \
         .orderBy(F.desc("count"), F.asc_nulls_last(label_col))
 
 

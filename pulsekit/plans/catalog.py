@@ -264,24 +264,26 @@ def _features_v3_sql() -> str:
     cols.append(_pattern_sql())
     cols += [f"{z[c]} AS {zn[c]}" for c in NUM]
     stats = ", ".join(f"avg({d(c)}) AS {c}_mean, stddev_samp({d(c)}) AS {c}_std" for c in NUM)
-    inner = "SELECT t.*, " + ", ".join(cols) + f" FROM train t, (SELECT {stats} FROM train) s"
+    inner = "SELECT t.*, " + ", ".join(cols) + f" FROM tagged t, (SELECT {stats} FROM tagged WHERE split = 'train') s"
     outer = ("SELECT *, steps_normalized * hr_normalized AS steps_hr_interaction, "
              "steps_normalized * cal_normalized AS steps_cal_interaction, "
              "hr_normalized * cal_normalized AS hr_cal_interaction, "
              "pow(steps_normalized, 2) AS steps_squared, pow(hr_normalized, 2) AS hr_squared, "
              + _ratio_sql("steps_to_hr_ratio") + ", " + _ratio_sql("cal_to_steps_ratio") + f" FROM ({inner}) x")
-    train = f"SELECT * FROM strict WHERE {hash01_sql_duckdb('row_id')} < 0.8"
-    return CLEAN_CTE.rstrip() + f",\ntrain AS ({train})\n" + outer
+    tagged = f"SELECT *, CASE WHEN {hash01_sql_duckdb('row_id')} < 0.8 THEN 'train' ELSE 'test' END AS split FROM strict"
+    return CLEAN_CTE.rstrip() + f",\ntagged AS ({tagged})\n" + outer
 
 
 @register("features_v3", _features_v3_sql())
 def q_features_v3(spark, sf_dir):
-    train, _ = sa.train_test_split(strict(spark, sf_dir), "row_id", 0.8, 42)
-    return fe.create_features(train, "v3", fe.fit_zscore(train))
+    """Both splits, with the statistics of the training split."""
+    tagged = sa.split_column(strict(spark, sf_dir), "row_id", 0.8, 42)
+    return fe.create_features(tagged, "v3", fe.fit_zscore(tagged.where("split = 'train'")))
 
 
 # ---------------------------------------------------------------- F: split and rebalancing
 HASH = hash01_sql_duckdb("row_id")
+BALANCE_HASH = hash01_sql_duckdb("s.row_id", purpose="balance")
 
 
 @register("train_test_split",
@@ -295,20 +297,45 @@ _COUNTS = f", counts AS (SELECT {LAB}, count(*) AS n FROM strict WHERE {LAB} IS
 
 @register("undersample", CLEAN_CTE + _COUNTS + f"""
 , fr AS (SELECT {LAB}, CAST((SELECT min(n) FROM counts) AS DOUBLE) / CAST(n AS DOUBLE) AS f FROM counts)
-SELECT s.* FROM strict s JOIN fr USING ({LAB}) WHERE {hash01_sql_duckdb('s.row_id')} < fr.f""")
+SELECT s.* FROM strict s JOIN fr USING ({LAB}) WHERE {BALANCE_HASH} < fr.f""")
 def q_undersample(spark, sf_dir):
     return sa.undersample(strict(spark, sf_dir), LAB, "row_id", 42)
 
 
 @register("oversample", CLEAN_CTE + _COUNTS + f"""
 , rt AS (SELECT {LAB}, CAST((SELECT max(n) FROM counts) AS DOUBLE) / CAST(n AS DOUBLE) AS r FROM counts)
-, j AS (SELECT s.*, CAST(floor(rt.r) + CASE WHEN {hash01_sql_duckdb('s.row_id')} < rt.r - floor(rt.r) THEN 1 ELSE 0 END
+, j AS (SELECT s.*, CAST(floor(rt.r) + CASE WHEN {BALANCE_HASH} < rt.r - floor(rt.r) THEN 1 ELSE 0 END
                AS BIGINT) AS copies FROM strict s JOIN rt USING ({LAB}))
 SELECT * EXCLUDE (copies), unnest(generate_series(1, copies)) AS copy_id FROM j""")
 def q_oversample(spark, sf_dir):
     return sa.oversample(strict(spark, sf_dir), LAB, "row_id", 42)
 
 
+_TRAIN_COUNTS = f"""
+, train AS (SELECT * FROM strict WHERE {HASH} < 0.8)
+, counts AS (SELECT {LAB}, CAST(count(*) AS DOUBLE) AS n FROM train GROUP BY {LAB})
+, lim AS (SELECT min(n) AS lo, max(n) AS hi FROM counts)
+"""
+
+
+def _strict_train(spark, sf_dir):
+    return sa.train_test_split(strict(spark, sf_dir), "row_id", 0.8, 42)[0]
+
+
+@register("balance_after_split_under", CLEAN_CTE + _TRAIN_COUNTS + f"""
+SELECT s.row_id, s.{LAB} FROM train s JOIN counts USING ({LAB}), lim WHERE {BALANCE_HASH} < lo / n""")
+def q_balance_after_split_under(spark, sf_dir):
+    return sa.balance(_strict_train(spark, sf_dir), LAB, "undersample").select("row_id", LAB)
+
+
+@register("balance_after_split_over", CLEAN_CTE + _TRAIN_COUNTS + f"""
+, c AS (SELECT s.row_id, s.{LAB}, CAST(floor(hi / n) + CASE WHEN {BALANCE_HASH} < hi / n - floor(hi / n) THEN 1 ELSE 0 END
+        AS BIGINT) AS copies FROM train s JOIN counts USING ({LAB}), lim)
+SELECT row_id, {LAB}, unnest(generate_series(1, copies)) AS copy_id FROM c""")
+def q_balance_after_split_over(spark, sf_dir):
+    return sa.balance(_strict_train(spark, sf_dir), LAB, "oversample").select("row_id", LAB, "copy_id")
+
+
 # ---------------------------------------------------------------- L: distribution tests
 # The class list and its order, as the reference compares them.
 REF_CLASSES = ["Cardio", "Strength", "Yoga", "None"]
@@ -733,7 +760,7 @@ def _shap_sql() -> str:
         f"CASE WHEN (m.mask & {1 << j}) <> 0 THEN {d('x.' + c)} ELSE {d('b.' + c)} END AS {c}"
         for j, c in enumerate(NUM))
     return CLEAN_CTE.rstrip() + f"""
-, bg AS (SELECT * FROM strict ORDER BY {HASH}, row_id LIMIT {SHAP_BACKGROUND})
+, bg AS (SELECT * FROM strict ORDER BY {hash01_sql_duckdb('row_id', purpose='background')}, row_id LIMIT {SHAP_BACKGROUND})
 , masks AS (SELECT CAST(range AS INTEGER) AS mask FROM range(0, {1 << len(NUM)}))
 , syn AS (SELECT x.row_id, m.mask,
        {picks}

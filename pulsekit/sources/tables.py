@@ -53,12 +53,19 @@ def snapshot(df: DataFrame, target: str, as_table: bool = True, partition_by: Se
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``source`` replace rows of ``target`` with the same key; other target rows stay.
 
+    A key that ``source`` has more than once is an error when the result is computed, as in a merge: which of its rows
+    would win isn't defined.
+
     ``target LEFT ANTI JOIN source_keys`` then ``UNION BY NAME source``: a shuffle join on the keys (AQE turns it
     into a broadcast when the source is small) and no row-level rewrite; write the result to a new location.
     """
     keys = list(keys)
+    row = F.struct(*target.columns)
+    twice = F.raise_error(F.lit(f"upsert source has several rows for one key of {keys}"))
+    new = source.groupBy(*keys).agg(F.first(row).alias("_row"), F.count(F.lit(1)).alias("_n")) \
+        .where(F.when(F.col("_n") > 1, twice.cast("boolean")).otherwise(F.lit(True))).select("_row.*")
     kept = target.join(source.select(*keys).distinct(), keys, "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    return kept.unionByName(new)
 
 
 def with_changed(df: DataFrame, column: str, delta: float) -> DataFrame:
