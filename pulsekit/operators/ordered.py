@@ -81,10 +81,11 @@ def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, prob
     Same definition as SQL ``percentile_disc``; NULL values are ignored. Groups with no values yield no row.
 
     With ``bracket_accuracy`` (default) the exact prefix sums run only on a narrow bracket. Pass 1 takes
-    ``percentile_approx`` at ``probability +- 3/accuracy``; Spark's sketch bounds the rank error by
-    ``n/accuracy``, so the exact answer lies between the two values. Pass 2 folds the values outside the bracket
-    into two sentinel rows and ranks the ~``6n/accuracy`` values inside it. ``bracket_accuracy=None`` ranks every
-    distinct value instead. The bracketed result is a double.
+    ``percentile_approx`` at ``probability +- 3/accuracy``; Spark's sketch bounds the rank error by ``n/accuracy``, so the
+    exact answer lies between the two values. Pass 2 counts the values below the bracket and ranks the ``~6n/accuracy``
+    values inside it; were the bracket ever missed, the query fails rather than answer wrongly.
+    ``bracket_accuracy=None`` ranks every distinct value instead. The result has the column's type: infinities and
+    large integers are values like any other.
 
     ``max_groups``: a bound on the number of groups known to the caller (e.g. the number of unpivoted columns).
     Up to ``MAX_BROADCAST_ROWS`` the one-row-per-group bracket is broadcast to the rows, so a group holding most of
@@ -100,24 +101,29 @@ def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, prob
         return reached.groupBy(*group_cols).agg(F.min("_v").alias(out_col))
     margin = 3.0 / bracket_accuracy
     probs = F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin)))
-    bracket = base.groupBy(*group_cols).agg(
-        F.percentile_approx(F.col("_v").cast("double"), probs, bracket_accuracy).alias("_b"))
-    if max_groups is not None and max_groups <= MAX_BROADCAST_ROWS:
-        bracket = F.broadcast(bracket)
-    tagged = base.join(bracket, group_cols, "inner") if group_cols else with_scalars(base, bracket)
+    bracket = base.groupBy(*group_cols).agg(F.percentile_approx("_v", probs, bracket_accuracy).alias("_b"))
+    known = max_groups is not None and max_groups <= MAX_BROADCAST_ROWS
+
+    def by_group(rows: DataFrame, table: DataFrame) -> DataFrame:
+        if not group_cols:
+            return with_scalars(rows, table)
+        return rows.join(F.broadcast(table) if known else table, group_cols, "inner")
+
+    tagged = by_group(base, bracket)
     lo, hi = F.col("_b")[0], F.col("_b")[1]
-    # Values outside the bracket collapse into one -inf and one +inf row, so the prefix sums count them (totals
-    # stay n) while only the bracket's own values are ranked.
-    v = F.col("_v").cast("double")
-    folded = tagged.select(*group_cols, F.when(v < lo, F.lit(float("-inf"))).when(v > hi, F.lit(float("inf")))
-                           .otherwise(v).alias("_v"), F.lit(1).cast("long").alias("_w"))
-    cum = cumulative_by_value(folded, group_cols, "_v", ["_w"], num_partitions)
-    reached = cum.where(F.col("cum__w") >= F.lit(p) * F.col("total__w"))
-    answer = F.min("_v")
-    # The sketch's rank bound keeps the answer inside the bracket; were it ever broken the answer would be a
-    # sentinel, and the group gets NULL rather than a wrong value.
-    return reached.groupBy(*group_cols).agg(
-        F.when(F.abs(answer) == float("inf"), F.lit(None).cast("double")).otherwise(answer).alias(out_col))
+    counts = tagged.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_v") < lo).alias("_below"))
+    inside = tagged.where((F.col("_v") >= lo) & (F.col("_v") <= hi)) \
+        .select(*group_cols, "_v", F.lit(1).cast("long").alias("_w"))
+    cum = by_group(cumulative_by_value(inside, group_cols, "_v", ["_w"], num_partitions), counts)
+    rank = F.col("_below") + F.col("cum__w")
+    answers = cum.groupBy(*group_cols).agg(
+        F.min(F.when(rank >= F.lit(p) * F.col("_n"), F.col("_v"))).alias(out_col),
+        F.max(F.col("_below") >= F.lit(p) * F.col("_n")).alias("_early"))
+    missed = F.raise_error(F.lit("the quantile bracket was missed")).cast(df.schema[value_col].dataType)
+    early = F.col("_early") & (F.lit(p) > 0)
+    return answers.select(*group_cols, F.when(F.col(out_col).isNull() | early, missed).otherwise(F.col(out_col)).alias(out_col)) \
+        if group_cols else answers.where(F.col("_early").isNotNull()).select(
+            F.when(F.col(out_col).isNull() | early, missed).otherwise(F.col(out_col)).alias(out_col))
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -455,30 +455,33 @@ def q_kde_curves(spark, sf_dir):
     return di.kde_curves(activity(spark, sf_dir), NUM, LAB)
 
 
-CHI_SQL = """
-WITH cells AS (SELECT o_orderstatus AS a, o_orderpriority AS b, count(*) AS o FROM orders
-               WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY ALL)
-, m AS (SELECT a, b, CAST(o AS DOUBLE) AS o, CAST(sum(o) OVER (PARTITION BY a) AS DOUBLE) AS ra,
-               CAST(sum(o) OVER (PARTITION BY b) AS DOUBLE) AS cb FROM cells)
-, t AS (SELECT sum(o) AS n, sum(o * o / (ra * cb)) AS q, count(DISTINCT a) AS ka, count(DISTINCT b) AS kb FROM m)
-SELECT CAST(n AS BIGINT) AS n, CAST(ka AS BIGINT) AS levels_a, CAST(kb AS BIGINT) AS levels_b,
-       CAST((ka - 1) * (kb - 1) AS BIGINT) AS dof, n * (q - 1.0) AS statistic FROM t
+def _chi_cte(table: str, a: str, b: str) -> str:
+    """Cells of the full table, unobserved ones included."""
+    return f"""
+WITH obs AS (SELECT {a} AS a, {b} AS b, CAST(count(*) AS DOUBLE) AS o FROM {table}
+             WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY ALL)
+, ra AS (SELECT a, sum(o) AS ra FROM obs GROUP BY a)
+, cb AS (SELECT b, sum(o) AS cb FROM obs GROUP BY b)
+, nn AS (SELECT sum(o) AS n FROM obs)
+, st AS (SELECT CAST(max(n) AS BIGINT) AS n, (SELECT count(*) FROM ra) AS levels_a, (SELECT count(*) FROM cb) AS levels_b,
+                CAST(((SELECT count(*) FROM ra) - 1) * ((SELECT count(*) FROM cb) - 1) AS BIGINT) AS dof,
+                sum((coalesce(o, 0) - ra * cb / n) * (coalesce(o, 0) - ra * cb / n) / (ra * cb / n)) AS statistic
+         FROM ra CROSS JOIN cb CROSS JOIN nn LEFT JOIN obs ON obs.a = ra.a AND obs.b = cb.b)
 """
 
 
-@register("chi_square_statistic", CHI_SQL)
+@register("chi_square_statistic", _chi_cte("orders", "o_orderstatus", "o_orderpriority") + "SELECT * FROM st")
 def q_chi_square_statistic(spark, sf_dir):
     return di.chi_square_statistic(read_table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
 
 
-CHI_TEST_SQL = """
-WITH cells AS (SELECT o_orderstatus AS a, o_orderpriority AS b, count(*) AS o FROM orders
-               WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY ALL)
-, m AS (SELECT a, b, CAST(o AS DOUBLE) AS o, CAST(sum(o) OVER (PARTITION BY a) AS DOUBLE) AS ra,
-               CAST(sum(o) OVER (PARTITION BY b) AS DOUBLE) AS cb FROM cells)
-, t AS (SELECT sum(o) AS n, sum(o * o / (ra * cb)) AS q, count(DISTINCT a) AS ka, count(DISTINCT b) AS kb FROM m)
-, st AS (SELECT CAST(n AS BIGINT) AS n, CAST(ka AS BIGINT) AS levels_a, CAST(kb AS BIGINT) AS levels_b,
-                CAST((ka - 1) * (kb - 1) AS BIGINT) AS dof, n * (q - 1.0) AS statistic FROM t)
+@register("chi_square_many_levels", _chi_cte("events", "user_id", "event_type") + "SELECT * FROM st")
+def q_chi_square_many_levels(spark, sf_dir):
+    """A user against an event type: as many levels as users."""
+    return di.chi_square_statistic(read_table(spark, sf_dir, "events"), "user_id", "event_type")
+
+
+CHI_TEST_SQL = _chi_cte("orders", "o_orderstatus", "o_orderpriority") + """
 , ser AS (SELECT sum(exp(-(statistic / 2.0) + (dof / 2.0 + r.k) * ln(statistic / 2.0) - lgamma(dof / 2.0 + r.k + 1)))
                  AS lower FROM st, (SELECT range AS k FROM range(0, 5000)) r WHERE statistic > 0)
 SELECT n, levels_a, levels_b, dof, statistic,
