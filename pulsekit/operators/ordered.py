@@ -110,9 +110,10 @@ def quantile_disc(df: DataFrame, group_cols: Sequence[str], value_col: str, prob
         return rows.join(F.broadcast(table) if known else table, group_cols, "inner")
 
     tagged = by_group(base, bracket)
-    lo, hi = F.col("_b")[0], F.col("_b")[1]
-    counts = tagged.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_v") < lo).alias("_below"))
-    inside = tagged.where((F.col("_v") >= lo) & (F.col("_v") <= hi)) \
+    # The sketch works on doubles; compared as doubles too, integers that round to a bracket's end are inside.
+    lo, hi, x = F.col("_b")[0].cast("double"), F.col("_b")[1].cast("double"), F.col("_v").cast("double")
+    counts = tagged.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), F.count_if(x < lo).alias("_below"))
+    inside = tagged.where((x >= lo) & (x <= hi)) \
         .select(*group_cols, "_v", F.lit(1).cast("long").alias("_w"))
     cum = by_group(cumulative_by_value(inside, group_cols, "_v", ["_w"], num_partitions), counts)
     rank = F.col("_below") + F.col("cum__w")

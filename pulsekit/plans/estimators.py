@@ -1,7 +1,7 @@
 """Estimator presets (J1-J10). All are stock ``pyspark.ml`` estimators; the presets hold the reference's settings.
 
-The large forests (v2: 200 x 15, v3: 300 x 20) are presets for real runs; tests and registered queries use the
-Spark defaults (20 trees, depth 5), which is also what the reference's simple notebook cells use.
+A training run uses the forest of its version (v1: 100 x 10, v2: 200 x 15, v3: 300 x 20); ``default`` is Spark's own
+(20 trees, depth 5), as in the reference's simple notebook cells.
 """
 
 from __future__ import annotations
@@ -46,6 +46,7 @@ def linear_regression(features_col: str = "features", label_col: str = "Calories
 def logistic_regression(preset: str = "default", features_col: str = "features", label_col: str = "label",
                         **overrides) -> LogisticRegression:
     """J1 (defaults) and J2 (``preset="v3"``: maxIter 100, regParam 0.01)."""
+    # The logistic regression settings of v3.
     params = {"v3": {"maxIter": 100, "regParam": 0.01}}.get(preset, {})
     return LogisticRegression(featuresCol=features_col, labelCol=label_col, **{**params, **overrides})
 

@@ -7,6 +7,7 @@ and the bench, and for the one cluster setting operators need, the checkpoint fo
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -78,7 +79,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif fallback is not None or sc.master.startswith("local"):
+    elif re.match(r"local(\[|$)", sc.master):  # one process; local-cluster and clusters need a shared folder
         base = fallback or tempfile.mkdtemp(prefix="pulsekit-ckpt-")
         os.makedirs(base, exist_ok=True)
         sc.setCheckpointDir(base)

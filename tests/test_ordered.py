@@ -17,6 +17,16 @@ def test_cumulative_matches_numpy_with_heavy_value(spark):
         assert list(sub.cum_w) == expected
 
 
+def test_quantile_disc_infinite_and_large_integers(spark):
+    inf = float("inf")
+    for rows in ([inf, inf, 1.0], [-inf, -inf, 1.0], [inf], [1.0, 2.0, inf, -inf, 3.0]):
+        df = spark.createDataFrame([(v,) for v in rows], "v double")
+        assert quantile_disc(df, [], "v", 0.5).first()["quantile"] == sorted(rows)[(len(rows) + 1) // 2 - 1]
+    big = spark.createDataFrame([(9007199254740993,), (9007199254740993,), (1,)], "v long")
+    assert quantile_disc(big, [], "v", 0.5).first()["quantile"] == 9007199254740993
+    assert quantile_disc(big.limit(0), [], "v", 0.5).count() == 0
+
+
 def test_quantile_disc_without_groups(spark):
     df = spark.createDataFrame([(None if x is None else float(x),) for x in [5, 1, 3, 2, 4, None]], "v double")
     assert quantile_disc(df, [], "v", 0.5).first()["quantile"] == 3.0

@@ -39,6 +39,18 @@ def test_oversample_expected_sizes(spark):
     assert out.where(F.col("copy_id") < 1).count() == 0
 
 
+def test_null_keys_stay_on_one_side(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "a"), (None, "b"), (2, "b")], "row_id long, Workout_Type string")
+    train, test = sa.train_test_split(df, "row_id")
+    assert train.count() + test.count() == 4
+    assert 0 in (train.where("row_id IS NULL").count(), test.where("row_id IS NULL").count())
+
+
+def test_balance_with_many_labels_and_odd_names(spark):
+    df = spark.range(50_000).select(F.col("id").alias("row_id"), F.concat(F.lit("c "), F.col("id") % 25_000).alias("a label"))
+    assert sa.undersample(df, "a label").count() == 50_000
+
+
 def test_balance_dispatch(spark):
     df = frame(spark, {"a": 3})
     assert sa.balance(df, "Workout_Type", "none").count() == 3

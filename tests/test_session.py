@@ -34,6 +34,8 @@ class _Session:
 def test_cluster_without_shared_folder_is_refused():
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_Session("spark://cluster:7077"))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Session("yarn"), fallback="/tmp/only-here")
 
 
 def test_configured_folder_wins_and_local_falls_back(tmp_path):

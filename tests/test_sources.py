@@ -15,6 +15,14 @@ def test_upsert_replaces_by_key(spark):
     assert out == {1: "a", 2: "B", 3: "c", 4: "D"}
 
 
+def test_upsert_refuses_duplicate_source_keys(spark):
+    import pytest
+    target = spark.createDataFrame([(1, "a")], "k long, v string")
+    source = spark.createDataFrame([(1, "b"), (1, "c")], "k long, v string")
+    with pytest.raises(Exception, match="several rows for one key"):
+        tables.upsert(target, source, ["k"]).collect()
+
+
 def test_describe_and_snapshot(spark, tmp_out):
     df = spark.createDataFrame([(1, 2.0)], "a long, b double")
     desc = {r["col_name"]: r["data_type"] for r in tables.describe_columns(df).collect()}

@@ -17,7 +17,7 @@ def test_tune_returns_grid_params_only(spark):
 
 
 def test_train_classifier_v3_comparison(spark):
-    cfg = tr.TrainConfig(version="v3", rules=dict(cl.STRICT_RULES), balance="undersample", compare=True)
+    cfg = tr.TrainConfig(version="v3", rules=dict(cl.STRICT_RULES), balance="undersample", compare=True, rf_preset="default")
     res = tr.train_classifier(activity(spark, SF_SMALL), cfg)
     rows = res.comparison.orderBy("position").collect()
     assert [r["model"] for r in rows] == ["Random Forest", "Decision Tree", "Logistic Regression", "Neural Network"]
@@ -28,7 +28,7 @@ def test_train_classifier_v3_comparison(spark):
 
 
 def test_train_classifier_v1_metrics_both_splits(spark):
-    res = tr.train_classifier(activity(spark, SF_SMALL), tr.TrainConfig(version="v1"))
+    res = tr.train_classifier(activity(spark, SF_SMALL), tr.TrainConfig(version="v1", rf_preset="default"))
     splits = {r["split"]: r for r in res.metrics.collect()}
     assert set(splits) == {"train", "test"} and all(0 <= r["accuracy"] <= 1 for r in splits.values())
 
@@ -39,12 +39,54 @@ def test_train_classifier_logs_and_saves(spark, tmp_out):
     from pulsekit.sources import runs
     log = runs.RunLog(spark, os.path.join(tmp_out, "runs"), run_id="t1")
     path = os.path.join(tmp_out, "model")
-    res = tr.train_classifier(activity(spark, SF_SMALL), tr.TrainConfig(version="v2"), run_log=log, model_path=path)
+    res = tr.train_classifier(activity(spark, SF_SMALL), tr.TrainConfig(version="v2", rf_preset="default"), run_log=log, model_path=path)
     keys = {r["key"] for r in log.read().collect()}
     assert {"version", "feature_columns", "class_labels", "test_accuracy", "train_f1_score"} <= keys
     model, sig = runs.load_model(spark, path)
-    assert "Workout_Type" in sig.fieldNames() and "calories_per_step" in sig.fieldNames()
+    assert {"num_classes", "train_samples", "test_samples", "rf_numTrees", "rf_maxDepth", "overfitting_gap"} <= keys
+    assert sig.fieldNames() == ["Steps", "Heart_Rate_avg", "Calories_Burned"]
+    unlabelled = cl.clean(activity(spark, SF_SMALL), cl.LOOSE_RULES).select("row_id", *sig.fieldNames())
+    scored = tr.score(unlabelled, path)
+    assert scored.columns == ["row_id", *sig.fieldNames(), "prediction", "predicted_label"]
+    assert scored.count() == unlabelled.count() and res.labels == list(model.stages[0].labels)
+
+
+def test_v3_model_scores_unlabelled_rows_as_in_training(spark, tmp_out):
+    path = f"{tmp_out}/v3"
+    cfg = tr.TrainConfig(version="v3", rules=dict(cl.STRICT_RULES), rf_preset="default")
+    res = tr.train_classifier(activity(spark, SF_SMALL), cfg, model_path=path)
+    data = cl.clean(activity(spark, SF_SMALL), cl.STRICT_RULES).drop("Workout_Type")
+    got = {r["row_id"]: (r["prediction"], r["predicted_label"]) for r in tr.score(data, path).collect()}
+    want = {r["row_id"]: (r["prediction"], r["predicted_label"]) for r in res.test_predictions.collect()}
+    assert want and all(got[k] == v for k, v in want.items())
+    res.unpersist()
+
+
+def test_failed_model_is_reported(spark):
     data = cl.clean(activity(spark, SF_SMALL), cl.LOOSE_RULES)
-    from pulsekit.operators import features as fe
-    scored = model.transform(runs.conform(fe.create_features(data, "v2"), sig))
-    assert scored.count() > 0 and res.labels == list(model.stages[0].labels)
+    stages = preprocessing_stages(["Steps", "Heart_Rate_avg", "Calories_Burned"], scaler=None)
+    fitted, failed = tr.train_multiple_models(data, stages, {"tree": es.decision_tree(maxDepth=2), "bad": es.mlp(7, 4, maxIter=1)})
+    rows = {r["model"]: r for r in tr.compare_models(fitted, data, failed).collect()}
+    assert rows["tree"]["status"] == "ok" and rows["bad"]["status"] == "failed" and rows["bad"]["error"]
+    one = fitted["tree"].transform(data)
+    assert rows["tree"]["accuracy"] == one.where("label = prediction").count() / one.count()
+
+
+def test_binary_model_has_an_auc(spark):
+    data = activity(spark, SF_SMALL).where(F.col("Workout_Type").isin("Cardio", "None"))
+    res = tr.train_classifier(data, tr.TrainConfig(rf_preset="default"))
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    want = BinaryClassificationEvaluator().evaluate(res.test_predictions)
+    assert abs(res.auc.first()["auc"] - want) < 0.02
+
+
+def test_balancing_after_the_split_has_the_right_rates(spark):
+    rows = [(k, "big" if k % 10 else "small") for k in range(20000)]
+    df = spark.createDataFrame(rows, "row_id long, Workout_Type string")
+    from pulsekit.operators import sample as sa
+    train, _ = sa.train_test_split(df, "row_id")
+    sizes = {r[0]: r[1] for r in train.groupBy("Workout_Type").count().collect()}
+    under = {r[0]: r[1] for r in sa.balance(train, "Workout_Type", "undersample").groupBy("Workout_Type").count().collect()}
+    assert under["small"] == sizes["small"] and abs(under["big"] - sizes["small"]) < 4 * sizes["small"] ** 0.5
+    over = {r[0]: r[1] for r in sa.balance(train, "Workout_Type", "oversample").groupBy("Workout_Type").count().collect()}
+    assert over["big"] == sizes["big"] and abs(over["small"] - sizes["big"]) < 4 * (sizes["small"] * 0.25) ** 0.5 + 1
