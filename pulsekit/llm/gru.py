@@ -48,23 +48,34 @@ class Gru:
         return self
 
     def forward(self, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool):
-        """States after each step (steps, lanes, hidden). inputs, fresh: (steps, lanes); fresh lanes start from zero."""
-        h3, p = self.h, self.p
+        """States after each step (steps, hidden, lanes). inputs, fresh: (steps, lanes); fresh lanes start from zero.
+
+        Lanes are the last axis, so that each gate is a contiguous block.
+        """
+        h3 = self.h
         steps, lanes = inputs.shape
-        out = np.empty((steps, lanes, h3), np.float32)
+        x = np.ascontiguousarray(self.p["wx"][inputs].transpose(0, 2, 1))
+        out = np.empty((steps, h3, lanes), np.float32)
         kept = [] if keep else None
-        table, wh, bh = p["wx"], p["wh"], p["bh"]
-        held = ~fresh
+        wh, bh = np.ascontiguousarray(self.p["wh"].T), self.p["bh"][:, None]
+        held = (~fresh).astype(np.float32)
         for t in range(steps):
-            prev = state * held[t][:, None]
-            x = table[inputs[t]]
-            g = prev @ wh
-            zr = 1 / (1 + np.exp(-(x[:, :2 * h3] + g[:, :2 * h3])))
-            z, r = zr[:, :h3], zr[:, h3:]
-            inner = g[:, 2 * h3:] + bh
-            n = np.tanh(x[:, 2 * h3:] + r * inner)
-            state = n + z * (prev - n)
-            out[t] = state
+            prev = state * held[t]
+            g = wh @ prev
+            zr = g[:2 * h3] + x[t, :2 * h3]
+            np.negative(zr, out=zr)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            z, r = zr[:h3], zr[h3:]
+            inner = g[2 * h3:]
+            inner += bh
+            n = r * inner
+            n += x[t, 2 * h3:]
+            np.tanh(n, out=n)
+            state = np.subtract(prev, n, out=out[t])
+            state *= z
+            state += n
             if keep:
                 kept.append((prev, z, r, n, inner))
         return out, state, kept
@@ -79,35 +90,46 @@ class Gru:
         logits += p["bc"]
         if not safe:
             logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
+        logp = logits[np.arange(n), klass]
+        e = np.exp(logits, out=logits)
         total = e.sum(axis=1)
-        logp = logits[np.arange(n), klass] - np.log(total)
+        logp -= np.log(total)
         dstates = None
         if grads is not None:
-            d = e * (-1 / total)[:, None]
-            d[np.arange(n), klass] += 1
-            grads["wc"] += states.T @ d
-            grads["bc"] += d.sum(axis=0)
-            dstates = d @ p["wc"].T
-        order = np.argsort(klass, kind="stable")
-        bounds = np.searchsorted(klass[order], np.arange(self.classes + 1))
-        for c in np.flatnonzero(np.diff(bounds)).tolist():
-            rows = order[bounds[c]:bounds[c + 1]]
-            s, w = states[rows], word[rows]
+            e *= (-1 / total)[:, None]
+            e[np.arange(n), klass] += 1
+            grads["wc"] += states.T @ e
+            grads["bc"] += e.sum(axis=0)
+            dstates = e @ p["wc"].T
+        # sorted by class, each class is a slice: gathered and scattered once for all classes
+        order = np.argsort(klass.astype(np.int16), kind="stable")
+        states, word = states[order], word[order]
+        bounds = np.searchsorted(klass[order], np.arange(self.classes + 1)).tolist()
+        within = np.empty(n, np.float32)
+        dwithin = np.empty_like(states) if grads is not None else None
+        rows = np.arange(n)
+        for c in range(self.classes):
+            lo, hi = bounds[c], bounds[c + 1]
+            if lo == hi:
+                continue
+            s, w, at = states[lo:hi], word[lo:hi], rows[:hi - lo]
             inner = s @ p["wo"][c]
             inner += p["bo"][c]
             if not safe:
                 inner -= inner.max(axis=1, keepdims=True)
-            e = np.exp(inner)
+            within[lo:hi] = inner[at, w]
+            e = np.exp(inner, out=inner)
             total = e.sum(axis=1)
-            at = np.arange(len(rows))
-            logp[rows] += inner[at, w] - np.log(total)
+            within[lo:hi] -= np.log(total)
             if grads is not None:
-                d = e * (-1 / total)[:, None]
-                d[at, w] += 1
-                grads["wo"][c] += s.T @ d
-                grads["bo"][c] += d.sum(axis=0)
-                dstates[rows] += d @ p["wo"][c].T
+                e *= (-1 / total)[:, None]
+                e[at, w] += 1
+                grads["wo"][c] += s.T @ e
+                grads["bo"][c] += e.sum(axis=0)
+                np.matmul(e, p["wo"][c].T, out=dwithin[lo:hi])
+        logp[order] += within
+        if grads is not None:
+            dstates[order] += dwithin
         return logp, dstates
 
     def backward(self, inputs, fresh, kept, dout: np.ndarray, grads: dict) -> None:
@@ -115,28 +137,35 @@ class Gru:
         h3 = self.h
         wh = self.p["wh"]
         steps, lanes = inputs.shape
-        dx = np.empty((steps, lanes, 3 * h3), np.float32)
+        dx = np.empty((steps, 3 * h3, lanes), np.float32)
         dg = np.empty_like(dx)
-        carry = np.zeros((lanes, h3), np.float32)
-        held = ~fresh
+        carry = np.zeros((h3, lanes), np.float32)
+        held = (~fresh).astype(np.float32)
         for t in range(steps - 1, -1, -1):
             prev, z, r, n, inner = kept[t]
             dh = dout[t] + carry
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (prev - n) * z * (1 - z)
-            dinner = dn * r
-            dr = dn * inner * r * (1 - r)
-            dx[t, :, :h3], dx[t, :, h3:2 * h3], dx[t, :, 2 * h3:] = dz, dr, dn
-            dg[t, :, :2 * h3], dg[t, :, 2 * h3:] = dx[t, :, :2 * h3], dinner
-            carry = (dh * z + dg[t] @ wh.T) * held[t][:, None]
-        prevs = np.stack([k[0] for k in kept]).reshape(-1, h3)
-        flat_g, flat_x, tokens = dg.reshape(-1, 3 * h3), dx.reshape(-1, 3 * h3), inputs.ravel()
-        grads["wh"] += prevs.T @ flat_g
-        grads["bh"] += flat_g[:, 2 * h3:].sum(axis=0)
-        order = np.argsort(tokens, kind="stable")
+            keep = dh * z
+            dn = np.subtract(dh, keep, out=dx[t, 2 * h3:])  # dh (1 - z)
+            dz, dr, dinner = dx[t, :h3], dx[t, h3:2 * h3], dg[t, 2 * h3:]
+            np.subtract(prev, n, out=dz)
+            dz *= dn
+            dz *= z
+            dn *= 1 - n * n
+            np.multiply(dn, r, out=dinner)
+            np.multiply(dinner, inner, out=dr)
+            dr *= 1 - r
+            dg[t, :2 * h3] = dx[t, :2 * h3]
+            carry = wh @ dg[t]
+            carry += keep
+            carry *= held[t]
+        grads["wh"] += np.matmul(np.stack([k[0] for k in kept]), dg.transpose(0, 2, 1)).sum(axis=0)
+        grads["bh"] += dg[:, 2 * h3:].sum(axis=(0, 2))
+        tokens = inputs.ravel()
+        order = np.argsort(tokens.astype(np.int32), kind="stable")
         ordered = tokens[order]
         starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-        grads["wx"][ordered[starts]] += np.add.reduceat(flat_x[order], starts, axis=0)
+        flat = dx.transpose(0, 2, 1).reshape(-1, 3 * h3)
+        grads["wx"][ordered[starts]] += np.add.reduceat(flat[order], starts, axis=0)
 
 
 class Adam:
@@ -148,7 +177,7 @@ class Adam:
     def step(self, grads: dict, n: int, share: float = 1.0) -> None:
         """Ascends the log-likelihood whose gradients over n tokens these are; a share of a full window is a smaller step."""
         self.t += 1
-        fix = share * np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
+        fix = share * (1 - 0.99**self.t) ** 0.5 / (1 - 0.9**self.t)
         for k, g in grads.items():
             g = g / n
             self.m[k] += 0.1 * (g - self.m[k])
@@ -202,9 +231,9 @@ def score(model: Gru, docs: list[np.ndarray], end_id: int, lanes: int = 512, ste
     sums = np.zeros(len(docs))
     state = None
     for inputs, targets, fresh, owner, filled in windows(docs, end_id, lanes, steps) if docs else ():
-        state = np.zeros((inputs.shape[1], model.h), np.float32) if state is None else state
-        out, state, _ = model.forward(inputs, fresh, state[:inputs.shape[1]], keep=False)
-        logp, _ = model.output(out[filled], targets[filled])
+        state = np.zeros((model.h, inputs.shape[1]), np.float32) if state is None else state
+        out, state, _ = model.forward(inputs, fresh, state[:, :inputs.shape[1]], keep=False)
+        logp, _ = model.output(out.transpose(0, 2, 1)[filled], targets[filled])
         sums += np.bincount(owner[filled], weights=logp, minlength=len(docs))
     return sums
 
@@ -213,12 +242,13 @@ def train(model: Gru, docs: list[np.ndarray], end_id: int, lanes: int, steps: in
     """One pass of truncated backpropagation over the documents; the number of tokens."""
     state, seen, full = None, 0, 0
     for inputs, targets, fresh, _, filled in windows(docs, end_id, lanes, steps) if docs else ():
-        state = np.zeros((inputs.shape[1], model.h), np.float32) if state is None else state
-        out, state, kept = model.forward(inputs, fresh, state[:inputs.shape[1]], keep=True)
+        state = np.zeros((model.h, inputs.shape[1]), np.float32) if state is None else state
+        out, state, kept = model.forward(inputs, fresh, state[:, :inputs.shape[1]], keep=True)
         grads = {k: np.zeros_like(x) for k, x in model.p.items()}
-        _, d = model.output(out[filled], targets[filled], grads)
-        dout = np.zeros_like(out)
+        _, d = model.output(out.transpose(0, 2, 1)[filled], targets[filled], grads)
+        dout = np.zeros((*filled.shape, model.h), np.float32)
         dout[filled] = d
+        dout = np.ascontiguousarray(dout.transpose(0, 2, 1))
         model.backward(inputs, fresh, kept, dout, grads)
         n = int(filled.sum())
         full = max(full, n)

@@ -132,11 +132,11 @@ def train_model(training: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     shared = spark.sparkContext.broadcast((vocabulary, model.flat()))
     schema = "part long, seen long, weights binary"
     results = materialize(training.select("text").mapInArrow(_trained(shared), schema))
-    parts = training.rdd.getNumPartitions()
-    while parts > FAN_IN:
-        parts = -(-parts // FAN_IN)
-        results = materialize(results.withColumn("part", F.pmod(F.xxhash64("part"), F.lit(parts)))
+    top = results.agg(F.max("part")).first()[0]
+    while top is not None and top >= FAN_IN:
+        results = materialize(results.withColumn("part", F.floor(F.col("part") / FAN_IN))
                               .groupBy("part").applyInArrow(_averaged, schema))
+        top //= FAN_IN
     rows = results.orderBy("part").collect()
     seen = sum(r["seen"] for r in rows)
     return sum(np.frombuffer(r["weights"], "<f4").astype(np.float64) * (r["seen"] / seen) for r in rows).astype(np.float32)
