@@ -217,10 +217,18 @@ def q_null_profile(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- B: features
+# The oracles state the rules themselves, not the library's tables, so that an error in these can't cancel out.
+_RATIO_SQL = {
+    "calories_per_step": "CAST(Calories_Burned AS DOUBLE) / NULLIF(CAST(Steps AS DOUBLE) + 1, 0)",
+    "intensity_score": "CAST(Heart_Rate_avg AS DOUBLE) * CAST(Calories_Burned AS DOUBLE) / NULLIF(CAST(Steps AS DOUBLE) + 1, 0)",
+    "calorie_efficiency": "CAST(Calories_Burned AS DOUBLE) / NULLIF(CAST(Heart_Rate_avg AS DOUBLE) + 1, 0)",
+    "steps_to_hr_ratio": "CAST(Steps AS DOUBLE) / NULLIF(CAST(Heart_Rate_avg AS DOUBLE) + 1, 0)",
+    "cal_to_steps_ratio": "CAST(Calories_Burned AS DOUBLE) / NULLIF(CAST(Steps AS DOUBLE) + 1, 0)",
+}
+
+
 def _ratio_sql(name: str) -> str:
-    nums, den = fe.RATIO_FEATURES[name]
-    num = " * ".join(d(c) for c in nums)
-    return f"({num}) / NULLIF({d(den)} + 1, 0) AS {name}"
+    return f"{_RATIO_SQL[name]} AS {name}"
 
 
 def _bucket_sql(col: str, bounds, labels, out: str) -> str:
@@ -229,12 +237,12 @@ def _bucket_sql(col: str, bounds, labels, out: str) -> str:
 
 
 def _pattern_case(rename: dict | None = None) -> str:
-    """The activity-pattern rule as SQL, from the same rule list the Spark expression uses."""
-    from ..functions import expressions as ex
+    """The activity-pattern rule as SQL; ``rename`` maps its labels to class names."""
     name = (lambda label: rename[label]) if rename else (lambda label: label)
-    whens = " ".join(f"WHEN Steps {so} {sb} AND Heart_Rate_avg {ho} {hb} THEN '{name(label)}'"
-                     for so, sb, ho, hb, label in ex.PATTERN_RULES)
-    return f"CASE {whens} ELSE '{name(ex.PATTERN_DEFAULT)}' END"
+    return (f"CASE WHEN Steps > 10000 AND Heart_Rate_avg > 140 THEN '{name('High_Intensity_Cardio')}'"
+            f" WHEN Steps < 5000 AND Heart_Rate_avg < 120 THEN '{name('Low_Intensity')}'"
+            f" WHEN Steps < 8000 AND Heart_Rate_avg > 130 THEN '{name('Strength_Like')}'"
+            f" ELSE '{name('Moderate_Activity')}' END")
 
 
 def _pattern_sql() -> str:
@@ -650,14 +658,41 @@ def q_label_index_roundtrip(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- A: table sources and sinks
-@register("describe_columns", CTE + """
-SELECT column_name AS col_name,
-       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
-            ELSE lower(column_type) END AS data_type
-FROM (DESCRIBE SELECT * FROM activity)""")
+_TYPES = {"row_id": "bigint", "Steps": "bigint", "Heart_Rate_avg": "double", "Calories_Burned": "double", LAB: "string"}
+
+
+@register("describe_columns", CTE + " UNION ALL ".join(
+    f"SELECT '{c}' AS col_name, '{t}' AS data_type, count(*) AS n_rows, count({c}) AS n_values FROM activity"
+    for c, t in _TYPES.items()))
 def q_describe_columns(spark, sf_dir):
+    """A3: columns with their types, joined to what a pass over the rows finds in them."""
+    from pyspark.sql import functions as F
+
     from ..sources.tables import describe_columns
-    return describe_columns(activity(spark, sf_dir)).select("col_name", "data_type")
+    data = activity(spark, sf_dir)
+    nulls = cl.null_profile(data).select(F.col("column").alias("col_name"), "null_count")
+    total = data.agg(F.count(F.lit(1)).alias("n_rows"))
+    return pr.with_scalars(describe_columns(data).join(nulls, "col_name"), total).select(
+        "col_name", "data_type", "n_rows", (F.col("n_rows") - F.col("null_count")).alias("n_values"))
+
+
+LINE_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey"]
+LINE_TEXT = ["l_returnflag", "l_linestatus"]
+
+
+@register("wide_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(count({c}) AS BIGINT) AS count, avg({d(c)}) AS mean, stddev_samp({d(c)}) AS stddev,"
+    f" min({d(c)}) AS min, max({d(c)}) AS max FROM lineitem" for c in LINE_NUM))
+def q_wide_profile(spark, sf_dir):
+    """C8 over a wider and larger table (FIXTURES F2)."""
+    return pr.describe_numeric(read_table(spark, sf_dir, "lineitem"), LINE_NUM)
+
+
+@register("describe_strings", " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(count({c}) AS BIGINT) AS count, min({c}) AS min, max({c}) AS max FROM lineitem"
+    for c in LINE_TEXT))
+def q_describe_strings(spark, sf_dir):
+    return pr.describe_strings(read_table(spark, sf_dir, "lineitem"), LINE_TEXT)
 
 
 UPSERT_SQL = CTE.rstrip() + f"""
@@ -752,13 +787,114 @@ def q_model_comparison_v3(spark, sf_dir):
     return train_classifier(activity(spark, sf_dir), cfg).comparison
 
 
+@register("tune_forest_grid")
+def q_tune_forest_grid(spark, sf_dir):
+    """The cross-validated grid (8 combinations, 3 folds) on the v1 training split; mean metric per combination."""
+    from .preprocessing import preprocessing_stages
+    from .training import RF_GRID, TrainConfig, prepare_splits, tune_random_forest
+    train, _ = prepare_splits(activity(spark, sf_dir), TrainConfig(version="v1"))
+    train = train.persist()
+    model, _ = tune_random_forest(train, preprocessing_stages(NUM, target_col=LAB), RF_GRID)
+    rows = [(*(m[p] for n in RF_GRID for p in m if p.name == n), float(v))
+            for m, v in zip(model.getEstimatorParamMaps(), model.avgMetrics, strict=True)]
+    return spark.createDataFrame(rows, "numTrees int, maxDepth int, subsamplingRate double, avg_f1 double")
+
+
+def _checks(name: str, df, **conditions):
+    """One row: the rows, and how many of them break each condition."""
+    from pyspark.sql import functions as F
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(~F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()])
+
+
+@register("rf_class_predictions_check", CLEAN_CTE + "SELECT count(*) AS n_rows, 0 AS bad_label, 0 AS bad_index FROM loose")
+def q_rf_class_predictions_check(spark, sf_dir):
+    """Every cleaned row is scored; its class name is that of its index in the labels by frequency."""
+    from pyspark.sql import functions as F
+    out = q_rf_class_predictions(spark, sf_dir)
+    counts = loose(spark, sf_dir).groupBy(LAB).agg(F.count(F.lit(1)).alias("n"))
+    order = counts.agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), LAB))), lambda x: x[LAB]).alias("names"))
+    named = pr.with_scalars(out, order)
+    return _checks("rf", named, bad_label=F.col("predicted_label") == F.get("names", F.col("prediction").cast("int")),
+                   bad_index=F.col("prediction").between(0, 3))
+
+
+@register("rf_regression_residuals_check", CLEAN_CTE + """
+SELECT count(*) AS n_rows, 0 AS bad_diff, 0 AS bad_range FROM loose""")
+def q_rf_regression_residuals_check(spark, sf_dir):
+    """Every cleaned row is scored; Diff is the residual, and a forest predicts within the range of its label."""
+    from pyspark.sql import functions as F
+    out = q_rf_regression_residuals(spark, sf_dir)
+    span = loose(spark, sf_dir).agg(F.min("Calories_Burned").alias("lo"), F.max("Calories_Burned").alias("hi"))
+    return _checks("rf", pr.with_scalars(out, span), bad_diff=F.abs(F.col("Calories_Burned") - F.col("prediction") - F.col("Diff")) < 1e-9,
+                   bad_range=F.col("prediction").between(F.col("lo") - 1e-9, F.col("hi") + 1e-9))
+
+
+@register("numeric_monitoring_approx_check", CTE + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count({c}) AS n, true AS within FROM activity" for c in NUM))
+def q_numeric_monitoring_approx_check(spark, sf_dir):
+    """The approximate median's rank differs from the exact one by no more than the sketch allows (n / accuracy)."""
+    from pyspark.sql import functions as F
+    data = activity(spark, sf_dir)
+    row = pr.with_scalars(data.select(*NUM), q_numeric_monitoring_approx(spark, sf_dir).select(*[f"{c}_Median" for c in NUM]))
+    aggs = [a for c in NUM for a in (F.count(c).alias(f"n_{c}"), F.count_if(F.col(c) < F.col(f"{c}_Median")).alias(f"b_{c}"),
+                                     F.count_if(F.col(c) <= F.col(f"{c}_Median")).alias(f"u_{c}"))]
+    slack = [F.col(f"n_{c}") / 10000 + 1 for c in NUM]
+    structs = [F.struct(F.lit(c).alias("column"), F.col(f"n_{c}").alias("n"),
+                        ((F.col(f"b_{c}") <= F.col(f"n_{c}") / 2 + s) & (F.col(f"u_{c}") >= F.col(f"n_{c}") / 2 - s)).alias("within"))
+               for c, s in zip(NUM, slack, strict=True)]
+    return row.agg(*aggs).select(F.inline(F.array(*structs)))
+
+
+@register("logistic_accuracy_check", CTE + f"""
+SELECT true AS same_as_evaluator, true AS beats_majority FROM (SELECT 1)""")
+def q_logistic_accuracy_check(spark, sf_dir):
+    """C17 against Spark's evaluator on the same test rows, and against predicting the most frequent class."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.sql import functions as F
+
+    from . import estimators as es
+    from .preprocessing import preprocessing_stages
+    data = cl.drop_nulls(activity(spark, sf_dir), [LAB, "Calories_Burned"])
+    train, test = sa.train_test_split(data, "row_id")
+    model = Pipeline(stages=[*preprocessing_stages(["Calories_Burned"], target_col=LAB, scaler=None),
+                             es.logistic_regression()]).fit(train)
+    scored = model.transform(test)
+    theirs = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(scored)
+    ours = pr.with_scalars(ev.accuracy_by_counting(scored), scored.agg(F.avg((F.col("label") == 0).cast("double")).alias("major")))
+    return ours.select((F.abs(F.col("accuracy") - F.lit(theirs)) < 1e-12).alias("same_as_evaluator"),
+                       (F.col("accuracy") >= F.col("major") - 0.02).alias("beats_majority"))
+
+
+# Normal equations of Calories on (1, Steps, Heart_Rate_avg, class index), solved by elimination on centred moments.
+_LR_SQL = CLEAN_CTE.rstrip() + f"""
+, t AS (SELECT CAST(Steps AS DOUBLE) AS a, CAST(Heart_Rate_avg AS DOUBLE) AS b, {LAB} AS c, CAST(Calories_Burned AS DOUBLE) AS y,
+               {HASH} < 0.8 AS train FROM loose)
+, k AS (SELECT c, CAST(row_number() OVER (ORDER BY count(*) DESC, c) - 1 AS DOUBLE) AS x FROM t WHERE train GROUP BY c)
+, r AS (SELECT a, b, x, y, train FROM t JOIN k USING (c))
+, m AS (SELECT avg(a) ma, avg(b) mb, avg(x) mx, avg(y) my, covar_pop(a, a) aa, covar_pop(a, b) ab, covar_pop(a, x) ax,
+               covar_pop(b, b) bb, covar_pop(b, x) bx, covar_pop(x, x) xx, covar_pop(a, y) ay, covar_pop(b, y) by_,
+               covar_pop(x, y) xy FROM r WHERE train)
+, det AS (SELECT *, aa * (bb * xx - bx * bx) - ab * (ab * xx - bx * ax) + ax * (ab * bx - bb * ax) AS dt FROM m)
+, w AS (SELECT *, (ay * (bb * xx - bx * bx) - ab * (by_ * xx - bx * xy) + ax * (by_ * bx - bb * xy)) / dt AS wa,
+               (aa * (by_ * xx - bx * xy) - ay * (ab * xx - bx * ax) + ax * (ab * xy - by_ * ax)) / dt AS wb,
+               (aa * (bb * xy - by_ * bx) - ab * (ab * xy - by_ * ax) + ay * (ab * bx - bb * ax)) / dt AS wx FROM det)
+, p AS (SELECT y, my + wa * (a - ma) + wb * (b - mb) + wx * (x - mx) AS yhat FROM r, w WHERE NOT train)
+SELECT sqrt(sum((y - yhat) * (y - yhat)) / count(*)) AS RMSE,
+       1.0 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)) AS R2, sum(abs(y - yhat)) / count(*) AS MAE FROM p"""
+ORACLES["linear_regression_metrics"] = _LR_SQL
+
+
 # ---------------------------------------------------------------- L5: Shapley values
 SHAP_BACKGROUND = 100
 
 
 def _shap_sql() -> str:
-    from ..operators.explain import coalition_coefficients
-    coefs = ", ".join(f"('{NUM[i]}', {mask}, {coef!r})" for i, mask, coef in coalition_coefficients(len(NUM)))
+    # Shapley weights of three features: |S|! (2 - |S|)! / 3! with the sign of the side that holds the feature.
+    weight = {0: "1.0/3", 1: "1.0/6", 2: "1.0/3"}
+    coefs = ", ".join(
+        f"('{NUM[i]}', {mask}, {weight[bin(mask & ~(1 << i)).count('1')] if mask >> i & 1 else '-' + weight[bin(mask).count('1')]})"
+        for i in range(3) for mask in range(8))
     picks = ",\n       ".join(
         f"CASE WHEN (m.mask & {1 << j}) <> 0 THEN {d('x.' + c)} ELSE {d('b.' + c)} END AS {c}"
         for j, c in enumerate(NUM))
