@@ -185,6 +185,11 @@ def q_clean_strict(spark, sf_dir):
     return strict(spark, sf_dir)
 
 
+@register("class_filter", CTE + f"SELECT * FROM activity WHERE {LAB} = 'Yoga'")
+def q_class_filter(spark, sf_dir):
+    return cl.filter_class(activity(spark, sf_dir), LAB, "Yoga")
+
+
 def _report_sql(where: str, relative_to: str) -> str:
     complete = " AND ".join(f"{c} IS NOT NULL" for c in ACTIVITY_COLS)
     den2 = "after_dropna" if relative_to == "step" else "initial_count"

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 
 
@@ -50,7 +49,3 @@ def preprocessing_stages(base: Sequence[str], engineered: Sequence[str] = (), ca
         raise ValueError(f"unknown scaler {scaler!r}")
     return stages
 
-
-def fit_pipeline(stages: Sequence, df) -> PipelineModel:
-    """I7."""
-    return Pipeline(stages=list(stages)).fit(df)
