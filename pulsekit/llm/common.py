@@ -25,6 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_WRITTEN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which driver and executors share.
 
@@ -42,10 +45,20 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Writes ``df`` as a table in the shared folder and reads it back: cuts lineage, survives a lost executor."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_materialized(spark: SparkSession) -> int:
+    """Removes the tables that ``materialize`` wrote for this driver, once no result needs them any more."""
+    dropped = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        dropped += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return dropped
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices the batches so that a slice holds at most ``max_bytes`` of ``column`` (or one longer row)."""
     for batch in batches:

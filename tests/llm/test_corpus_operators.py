@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pulsekit.llm import near_dup
+from pulsekit.llm.common import drop_materialized, materialize
 from pulsekit.llm.components import connected_components
 from pulsekit.llm.decontaminate import benchmark_hits, drop_contaminated
 from pulsekit.llm.gru import Adam, Gru, score, train
@@ -87,6 +88,12 @@ def test_near_duplicates(spark, monkeypatch, block_bytes):
     assert sum(r.doc_id is None for r in kept) == 1 and kept[0].asDict().keys() == frame.first().asDict().keys()
 
 
+def test_materialized_tables_can_be_dropped(spark):
+    drop_materialized(spark)
+    kept = materialize(spark.range(5))
+    assert kept.count() == 5 and drop_materialized(spark) == 1 and drop_materialized(spark) == 0
+
+
 def test_near_duplicates_of_nothing(spark):
     frame = spark.createDataFrame([], DOCS)
     assert near_duplicates(frame).count() == drop_near_duplicates(frame).count() == 0
