@@ -22,8 +22,8 @@ from pulsekit.llm.common import blocks, fresh, materialize
 
 WINDOW = 13
 #: Bytes of normalised benchmark text per automaton. A text of n words of c characters has (n - 12) keys of about
-#: 13 (c + 1) characters with shared prefixes, some 25 bytes a node: 1 MB of text takes 300 MB at most.
-AUTOMATON_BYTES = 1 << 20
+#: 13 (c + 1) characters with shared prefixes, some 25 bytes a node: 256 KB of text take less than 100 MB.
+AUTOMATON_BYTES = 256 << 10
 
 # Words are runs of 0-9, A-Z, a-z and non-ASCII characters; A-Z count as a-z. On UTF-8 bytes that is a table.
 _TABLE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()

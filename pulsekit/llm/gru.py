@@ -196,6 +196,10 @@ def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
     return out
 
 
+#: Steps for which all lanes are laid out at once.
+STRETCH = 1024
+
+
 def windows(docs: list[np.ndarray], end_id: int, lanes: int, steps: int):
     """(inputs, targets, fresh, document numbers, whether filled) of each window over all lanes, all (steps, lanes).
 
@@ -205,25 +209,30 @@ def windows(docs: list[np.ndarray], end_id: int, lanes: int, steps: int):
     lengths = np.array([len(d) for d in docs], np.int64)
     plan = sorted(lanes_of(lengths, lanes), key=lambda lane: -int(lengths[lane].sum()))
     ends = np.array([int(lengths[lane].sum()) for lane in plan])
-    width = int(ends[0])
-    n = len(plan)
-    target = np.full((width, n), -1, np.int32)
-    inputs = np.full((width, n), end_id, np.int32)
-    fresh = np.zeros((width, n), bool)
-    owner = np.zeros((width, n), np.int32)
-    for k, lane in enumerate(plan):
-        if lane:
-            stream = np.concatenate([docs[d] for d in lane])
-            sizes = lengths[lane]
-            begins = np.cumsum(sizes) - sizes
-            target[:len(stream), k] = stream
-            inputs[1:len(stream), k] = stream[:-1]
-            fresh[begins, k] = True
-            inputs[begins, k] = end_id
-            owner[:len(stream), k] = np.repeat(lane, sizes)
-    for at in range(0, width, steps):
-        part = slice(at, at + steps), slice(0, int((ends > at).sum()))
-        yield inputs[part], target[part], fresh[part], owner[part], target[part] >= 0
+    streams = []
+    for lane in plan:
+        target = np.concatenate([docs[d] for d in lane]).astype(np.int32)
+        sizes = lengths[lane]
+        begins = np.cumsum(sizes) - sizes
+        inputs = np.concatenate([[end_id], target[:-1]]).astype(np.int32)
+        inputs[begins] = end_id
+        fresh = np.zeros(len(target), bool)
+        fresh[begins] = True
+        streams.append((inputs, target, fresh, np.repeat(lane, sizes).astype(np.int32)))
+    # Lanes are laid side by side for a stretch of steps at a time, so that a long document costs its own length only.
+    stretch = steps * max(1, STRETCH // steps)
+    for start in range(0, int(ends[0]), stretch):
+        live = int((ends > start).sum())
+        width = min(stretch, int(ends[0]) - start)
+        side = [np.full((width, live), fill, kind) for fill, kind in ((end_id, np.int32), (-1, np.int32), (False, bool), (0, np.int32))]
+        for k in range(live):
+            n = min(width, int(ends[k]) - start)
+            for out, stream in zip(side, streams[k], strict=True):
+                out[:n, k] = stream[start:start + n]
+        for at in range(0, width, steps):
+            part = slice(at, at + steps), slice(0, int((ends > start + at).sum()))
+            inputs, target, fresh, owner = (x[part] for x in side)
+            yield inputs, target, fresh, owner, target >= 0
 
 
 def score(model: Gru, docs: list[np.ndarray], end_id: int, lanes: int = 512, steps: int = 32) -> np.ndarray:
