@@ -799,7 +799,7 @@ def q_tune_forest_grid(spark, sf_dir):
     from .training import RF_GRID, TrainConfig, prepare_splits, tune_random_forest
     train, _ = prepare_splits(activity(spark, sf_dir), TrainConfig(version="v1"))
     train = train.persist()
-    model, _ = tune_random_forest(train, preprocessing_stages(NUM, target_col=LAB), RF_GRID, parallelism=8)
+    model, _ = tune_random_forest(train, preprocessing_stages(NUM, target_col=LAB), RF_GRID, parallelism=2)
     rows = [(*(m[p] for n in RF_GRID for p in m if p.name == n), float(v))
             for m, v in zip(model.getEstimatorParamMaps(), model.avgMetrics, strict=True)]
     return spark.createDataFrame(rows, "numTrees int, maxDepth int, subsamplingRate double, avg_f1 double")
