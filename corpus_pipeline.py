@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import materialize, table
+from pulsekit.llm.common import bounded_batches, materialize, table
 from pulsekit.llm.decontaminate import drop_contaminated
 from pulsekit.llm.near_dup import drop_near_duplicates
 from pulsekit.llm.packing import pack_documents
@@ -25,6 +25,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
+    bounded_batches(spark)
     return keep_quality(docs)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -13,15 +16,34 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Text bytes that one step of a Python task works on at a time. A single longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+#: Text bytes that one step of a Python task works on at a time. A single longer text is a block of its own. Steps that
+#: look up distinct words in a table take larger blocks, in which a word repeats more often.
+BLOCK_BYTES = 4 << 20
+LOOKUP_BLOCK_BYTES = 8 << 20
+#: Rows and bytes of an Arrow batch between the executor and its Python workers.
+BATCH_ROWS, BATCH_BYTES = 4096, "16m"
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Sets the session's Arrow batches to sizes of which an executor can hold one per core twice over."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def release_memory() -> None:
+    """Gives what Arrow and the allocator hold but don't use back, since Python workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not a GNU C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table. Only Spark opens the path, so any store that Spark reads will do."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -60,7 +82,11 @@ def drop_materialized(spark: SparkSession) -> int:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices the batches so that a slice holds at most ``max_bytes`` of ``column`` (or one longer row)."""
+    """Slices the batches so that a slice holds at most ``max_bytes`` of ``column`` (or one longer row).
+
+    Memory that earlier tasks left in this worker is released first.
+    """
+    release_memory()
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths, dtype=np.int64)

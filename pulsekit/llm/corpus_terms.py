@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import blocks, coded, texts_of
+from pulsekit.llm.common import LOOKUP_BLOCK_BYTES, blocks, coded, texts_of
 
 HEAD_TERMS = 1 << 17
 HEAD_TERM_BYTES = 64
@@ -40,7 +40,7 @@ def term_counts(docs: DataFrame, split: Splitter) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(terms[at:at + (1 << 16)], pa.string()),
                                                   pa.array(counts[at:at + (1 << 16)], pa.int64())], names=["term", "n"])
 
-        for part in blocks(batches, "text"):
+        for part in blocks(batches, "text", LOOKUP_BLOCK_BYTES):
             distinct, codes = coded(split(texts_of(part))[0])
             for term, n in zip(distinct.to_pylist(), np.bincount(codes, minlength=len(distinct)).tolist(), strict=True):
                 held[term] = held.get(term, 0) + n

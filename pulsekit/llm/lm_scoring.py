@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import blocks, materialize, texts_of, words_of
+from pulsekit.llm.common import LOOKUP_BLOCK_BYTES, blocks, materialize, texts_of, words_of
 from pulsekit.llm.corpus_terms import HEAD_TERMS, document_terms, head_floor, is_head, pairs, term_counts
 from pulsekit.llm.gru import Adam, Gru, score, train
 
@@ -88,7 +88,7 @@ def _trained(shared):
         vocabulary, start = shared.value
         model = Gru(vocabulary.counts, HIDDEN).load(start)
         optimizer, seen, held, size = Adam(model, 0.005), 0, [], 0
-        for part in blocks(batches, "text"):
+        for part in blocks(batches, "text", LOOKUP_BLOCK_BYTES):
             distinct, codes, _, lengths = document_terms(part, lowered_words)
             held += _documents(vocabulary.numbers(distinct.to_pylist()), codes, lengths, vocabulary.end)
             size += int(lengths.sum()) + len(lengths)
@@ -163,7 +163,7 @@ def _scored(shared, head):
                     pa.array(rows[4][part]), pa.array(np.array(rows[5][part]) + logs[part]),
                 ], names=["rid", "term", "freq", "doc_id", "n_tokens", "n_known", "base", "score"])
 
-        for part in blocks(batches, "text"):
+        for part in blocks(batches, "text", LOOKUP_BLOCK_BYTES):
             distinct, codes, docs, lengths = document_terms(part, lowered_words)
             words = distinct.to_pylist()
             n = part.num_rows

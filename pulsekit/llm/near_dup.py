@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import blocks, fresh, materialize, texts_of
+from pulsekit.llm.common import blocks, fresh, materialize, release_memory, texts_of
 from pulsekit.llm.components import connected_components
 from pulsekit.llm.shingles import M, joint_estimate, registers, shingle_sets
 
@@ -117,6 +117,7 @@ def _links_of_unit(ids, sides, sets, regs, percent: int) -> list[tuple[int, int]
 def _confirm(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by unit; a unit is complete when the next one begins."""
+        release_memory()
         held: list[pa.RecordBatch] = []
         unit = None
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import BLOCK_BYTES, blocks, texts_of
+from pulsekit.llm.common import blocks, texts_of
 from pulsekit.llm.tokens import ChunkEncoder
 
 #: Ids that a task holds before it packs a window (4 bytes each).
@@ -112,7 +112,7 @@ def _pack(path: str, ranks: tuple[str, str] | None, capacity: int, end_id: int,
                     place([waiting[i] for i in b])
             waiting, held = rest, sum(len(p[3]) for p in rest)
 
-        for part in blocks(batches, "text", 2 * BLOCK_BYTES):
+        for part in blocks(batches, "text"):
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts_of(part)), strict=True):
                 ids = np.append(ids, np.uint32(end_id))
                 n_pieces = -(-len(ids) // capacity)

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import blocks, drop_empty, materialize
+from pulsekit.llm.common import LOOKUP_BLOCK_BYTES, blocks, drop_empty, materialize
 from pulsekit.llm.corpus_terms import HEAD_TERMS, document_terms, head_floor, is_head, pairs, term_counts
 from pulsekit.llm.tokens import piece_counts
 
@@ -36,7 +36,7 @@ def _counted(path: str):
 def _document_rows(head):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = head.value
-        for part in blocks(batches, "text"):
+        for part in blocks(batches, "text", LOOKUP_BLOCK_BYTES):
             distinct, codes, docs, _ = document_terms(part, pre_tokens)
             values = np.fromiter((known.get(t, -1) for t in distinct.to_pylist()), np.int64, len(distinct))
             of = values[codes]
