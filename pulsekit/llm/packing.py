@@ -22,7 +22,9 @@ from pulsekit.llm.common import blocks, texts_of
 from pulsekit.llm.tokens import ChunkEncoder
 
 #: Ids that a task holds before it packs a window (4 bytes each).
-WINDOW_IDS = 8 << 20
+WINDOW_IDS = 4 << 20
+#: Pieces in a batch of the result.
+EMIT_ROWS = 1024
 #: A sequence that is at least this full leaves the window; others are packed again with the next one.
 FULL_ENOUGH = 0.99
 
@@ -128,13 +130,13 @@ def _pack(path: str, ranks: tuple[str, str] | None, capacity: int, end_id: int,
                     start = stop
             if held > window_ids:
                 flush(last=False)
-            while len(out) >= 4096:
-                rest, out = out[4096:], out[:4096]
+            while len(out) >= EMIT_ROWS:
+                rest, out = out[EMIT_ROWS:], out[:EMIT_ROWS]
                 yield emit()
                 out = rest
         flush(last=True)
         while out:
-            rest, out = out[4096:], out[:4096]
+            rest, out = out[EMIT_ROWS:], out[:EMIT_ROWS]
             yield emit()
             out = rest
 

@@ -23,7 +23,7 @@ _NO_CUT_BEFORE = (r"^$|^[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{
                   r"\x{3000}]")
 
 #: Entries and ids that a task's cache holds at most; beyond, it starts anew.
-CACHE_CHUNKS, CACHE_IDS = 1 << 19, 1 << 22
+CACHE_CHUNKS, CACHE_IDS = 1 << 18, 1 << 21
 
 _LOADED: dict[str, object] = {}
 
