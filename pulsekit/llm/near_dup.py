@@ -175,7 +175,9 @@ def _numbered_components(docs: DataFrame, percent: int) -> DataFrame:
 
     # Full sets of the members only, from their texts, then units of two bounded blocks.
     members = classes.select("set_key", "rep").join(families, "rep")
-    texts = source.select("doc_id", "text").join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # As a table the ids have a known size: few of them are broadcast by Spark's own threshold, and no text is shuffled.
+    wanted = materialize(members.select(F.col("rep").alias("doc_id")).distinct())
+    texts = source.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
     sets = texts.mapInArrow(_full_sets, _SETS).dropDuplicates(["doc_id", "set_key"])
     sets = materialize(members.withColumnRenamed("rep", "doc_id").join(sets, ["doc_id", "set_key"])
                        .select(F.col("doc_id").alias("rep"), "family", "regs", "hashes"))
