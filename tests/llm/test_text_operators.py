@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from pulsekit.llm.html_extract import extract_main_text, main_text
-from pulsekit.llm.packing import best_two_fit, pack_documents
+from pulsekit.llm.packing import best_two_fit, pack_documents, patterns
 from pulsekit.llm.quality import BASE_RULES, RULES, Measures, cascade_order, keep_quality, quality_measures, run_cascade
 from pulsekit.llm.token_counts import count_tokens
 from pulsekit.llm.tokens import ChunkEncoder
@@ -104,6 +105,35 @@ def test_packing(docs, window):
         assert list(pieces.start) == [0, *pieces.length.cumsum().iloc[:-1]]
 
 
+def test_patterns_pack_any_number_of_pieces():
+    r = np.random.default_rng(5)
+    count = np.concatenate([[0], r.integers(0, 10**9, 2048)])
+    found = list(patterns(count, 2048))
+    total = sum(n * int(count[n]) for n in range(2049))
+    packed = Counter()
+    for held, times in found:
+        assert sum(held) <= 2048
+        for n in held:
+            packed[n] += times
+    assert packed == +Counter(dict(enumerate(count.tolist())))
+    assert len(found) < 30000 and sum(times for _, times in found) <= -(-total // 2048) * 1.01
+
+
+def test_packing_does_not_depend_on_partitions(spark):
+    r = random.Random(6)
+    rows = [(k, " ".join(["word"] * r.choice([r.randint(1, 60), r.randint(60, 150), r.randint(1, 700)])), "x", 1, "y") for k in range(600)]
+    n_sequences = {}
+    for name, data, parts in (("one", rows, 1), ("few", rows, 13), ("many", rows, 400),
+                              ("by length", sorted(rows, key=lambda x: len(x[1])), 13)):
+        frame = spark.createDataFrame(spark.sparkContext.parallelize(data, parts), DOCS)
+        got = pack_documents(frame, BYTE_BPE, capacity=256, ranks=RANKS).toPandas()
+        assert got.groupby("sequence_id").length.sum().max() <= 256
+        assert not got.duplicated(["sequence_id", "offset"]).any() and got.doc_id.nunique() == 600
+        n_sequences[name] = got.sequence_id.nunique()
+        bound = -(-int(got.length.sum()) // 256)
+    assert len(set(n_sequences.values())) == 1 and n_sequences["one"] <= bound * 1.02 + 1
+
+
 def test_packing_of_nothing(docs):
     assert pack_documents(docs.limit(0), BYTE_BPE).count() == 0
 
