@@ -68,6 +68,12 @@ def head_floor(terms: DataFrame, size: int = HEAD_TERMS) -> float:
     return floor
 
 
+def most_frequent(terms: DataFrame, size: int) -> dict[str, int]:
+    """The ``size`` most frequent terms that may be in a head, with their counts: by count, then by term."""
+    rows = terms.where(F.octet_length("term") <= HEAD_TERM_BYTES).orderBy(F.desc("n"), "term").limit(size).collect()
+    return {r["term"]: r["n"] for r in rows}
+
+
 def is_head(floor: float):
     return (F.octet_length("term") <= HEAD_TERM_BYTES) & (F.col("n") >= F.lit(floor))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.llm.common import LOOKUP_BLOCK_BYTES, blocks, materialize, texts_of, words_of
-from pulsekit.llm.corpus_terms import HEAD_TERMS, document_terms, head_floor, is_head, pairs, term_counts
+from pulsekit.llm.corpus_terms import HEAD_TERMS, document_terms, head_floor, is_head, most_frequent, pairs, term_counts
 from pulsekit.llm.gru import Adam, Gru, score, train
 
 VOCABULARY = 960
@@ -214,8 +214,7 @@ def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, head_te
     sums = terms.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_tokens, v = (sums["n"] or 0) + n_docs, sums["v"] + (n_docs > 0)
 
-    small = head_floor(terms, VOCABULARY)
-    words = {r["term"]: r["n"] for r in terms.where(is_head(small)).orderBy(F.desc("n"), "term").collect()}
+    words = most_frequent(terms, VOCABULARY)
     by_type = (terms.mapInArrow(_typed(set(words)), "type int, tokens long, shares long")
                .groupBy("type").agg(F.sum("tokens").alias("tokens"), F.sum("shares").alias("shares")).collect())
     tokens, shares = np.zeros(WORD_TYPES), np.ones(WORD_TYPES)
@@ -226,10 +225,12 @@ def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, head_te
 
     floor = head_floor(terms, max(head_terms, VOCABULARY))
     head = {r["term"]: r["n"] for r in terms.where(is_head(floor)).toLocalIterator()}
+    missed = [w for w in words if w not in head]  # the head takes whole classes of counts, the model single words
+    head |= words
     rows = source.mapInArrow(
         _scored(spark.sparkContext.broadcast((vocabulary, weights, shares)), spark.sparkContext.broadcast(head)),
         "rid long, term string, freq long, doc_id long, n_tokens long, n_known long, base double, score double")
-    tail = terms.where(~is_head(floor)).select("term", F.col("n").alias("c"))
+    tail = terms.where(~is_head(floor) & ~F.col("term").isin(missed)).select("term", F.col("n").alias("c"))
     is_tail = F.col("n_tokens").isNull()
     weight = F.when(is_tail, F.col("freq") * F.log10(F.coalesce("c", F.lit(0)) + 1))
     # the end is a token of every document; a type's share was taken off where the text is, but for tail words

@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pulsekit.llm import near_dup
+from pulsekit.llm import lm_scoring, near_dup
 from pulsekit.llm.common import drop_materialized, materialize
 from pulsekit.llm.components import connected_components
 from pulsekit.llm.decontaminate import benchmark_hits, drop_contaminated
@@ -237,6 +237,23 @@ def test_scores(spark, head):
     assert score_documents(frame.limit(0)).count() == 0
 
 
+def test_vocabulary_is_the_most_frequent_words(spark, monkeypatch):
+    seen, init = [], lm_scoring.Vocabulary.__init__
+    monkeypatch.setattr(lm_scoring.Vocabulary, "__init__", lambda self, words, *rest: seen.append(words) or init(self, words, *rest))
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    equal = " ".join(f"w{k:04}" for k in range(1100))  # more words than the model's share one class of counts
+    docs = [(d, t, "x", 1) for d, t in enumerate([equal, equal, "w1099 w1099", "w1099 w0003 rare"]) if not held(d)]
+    counts = Counter(w for _, t, _, _ in docs for w in words(t))
+    rows = score_documents(spark.createDataFrame(docs, DOCS), head_terms=1).collect()
+    want = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:lm_scoring.VOCABULARY]
+    assert list(seen[0].items()) == want and len(want) == lm_scoring.VOCABULARY
+    n, v = sum(counts.values()) + len(docs), len(counts) + 1
+    for row in rows:
+        text = words(docs[[d for d, *_ in docs].index(row.doc_id)][1])
+        base = sum(np.log10((c + 1) / (n + v + 1)) for c in [*(counts[w] for w in text), len(docs)])
+        assert row.n_known == row.n_tokens and row.base_score == pytest.approx(base) and np.isfinite(row.score)
+
+
 def test_model_is_a_distribution_and_lanes_do_not_matter():
     r = np.random.default_rng(2)
     model = Gru(np.arange(11, 0, -1).astype(float), hidden=4)
