@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from pulsekit.llm.common import table
 from pulsekit.llm.decontaminate import benchmark_hits
+from pulsekit.llm.fim import fill_in_middle, restored
 from pulsekit.llm.html_extract import extract_main_text
+from pulsekit.llm.license_scan import MIN_PERCENT, NOTICES, phrase_templates, scan_licences, template_words
 from pulsekit.llm.lm_scoring import score_documents
 from pulsekit.llm.near_dup import near_duplicates
 from pulsekit.llm.packing import pack_documents
 from pulsekit.llm.pii import KINDS, find_pii, joined_spans
+from pulsekit.llm.prefix_trie import prefix_trie
 from pulsekit.llm.quality import quality_measures
 from pulsekit.llm.sharding import shard_documents
 from pulsekit.llm.token_counts import count_tokens
@@ -30,6 +33,14 @@ URL_RULES = [
     ("block", "com", "/de/"),
 ]
 
+#: The licence phrases of the query and their labels.
+LICENCE_PHRASES = [
+    ("gnu general public license", "gpl"),
+    ("apache license", "apache"),
+    ("cc by", "cc-by"),
+    ("mit license", "mit"),
+]
+
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
@@ -81,6 +92,22 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licences(table(spark, sf_dir, "documents"), LICENCE_PHRASES)
+    joined = [F.concat_ws(",", c).alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf_dir, "documents"), seed=42, percent=50, spm_percent=80)
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"), family=5, most_shared=8)
+
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_best_two_fit_packing": op2_best_two_fit_packing,
@@ -92,9 +119,13 @@ QUERIES = {
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_rules": op10_url_rules,
+    "op11_license_scan": op11_license_scan,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TEMPLATES = [*phrase_templates(LICENCE_PHRASES), *NOTICES]
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
@@ -224,5 +255,97 @@ best AS (
   FROM sets JOIN mined USING (x) WHERE given IS NULL)
 SELECT page_id, host, path, rule, coalesce(given, learned, 'allow') AS verdict
 FROM judged j LEFT JOIN best b ON b.rid = j.rid AND b.k = 1
+""",
+    "op11_license_scan": rf"""
+WITH template_words(t, k, w, is_key) AS (
+  VALUES {', '.join(str((t, k, w, is_key)) for t, x in enumerate(_TEMPLATES) for k, (w, is_key) in enumerate(template_words(x)))}),
+named(t, label) AS (VALUES {', '.join(str((t, x.label)) for t, x in enumerate(_TEMPLATES))}),
+worded AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER.format('text')}, {_ALNUM}) AS ws FROM documents),
+places AS (
+  SELECT rid, i - 1 AS i, ws[i] AS w FROM worded, unnest(range(1, len(ws) + 1)) AS u(i)
+  WHERE ws[i] IN (SELECT w FROM template_words)),
+uses AS (SELECT w, count(DISTINCT rid) AS n FROM places GROUP BY w),
+weighted AS (
+  SELECT t, k, x.w, is_key, 1 + CAST(round(1000 * ln((d.n + 1) / (coalesce(u.n, 0) + 1))) AS BIGINT) AS weight
+  FROM template_words x LEFT JOIN uses u USING (w), (SELECT count(*) AS n FROM documents) d),
+sizes AS (SELECT t, sum(weight) AS total, count(*) FILTER (is_key) AS n_keys FROM weighted GROUP BY t),
+ranked AS (SELECT *, rank() OVER (PARTITION BY t ORDER BY weight DESC, w) AS r FROM weighted WHERE is_key),
+starts AS (SELECT DISTINCT p.rid, a.t, p.i - a.k AS s FROM ranked a JOIN places p USING (w) WHERE r = 1),
+found AS (
+  SELECT s.rid, s.t, s.s, sum(x.weight) AS weight, count(*) FILTER (x.is_key) AS n_keys
+  FROM starts s JOIN weighted x USING (t) JOIN places p ON p.rid = s.rid AND p.i = s.s + x.k AND p.w = x.w GROUP BY ALL),
+judged AS (
+  SELECT rid, f.t, s, label, f.weight / total AS share, f.n_keys = z.n_keys AS whole, f.t < {len(LICENCE_PHRASES)} AS is_base,
+    100 * f.weight >= {MIN_PERCENT} * total AS enough
+  FROM found f JOIN sizes z USING (t) JOIN named USING (t)),
+summed AS (
+  SELECT rid, count(*) FILTER (whole AND is_base) AS n_base, min(s) FILTER (whole AND is_base) AS first_word,
+    max(s) FILTER (whole AND is_base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (whole AND is_base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (whole AND (is_base OR enough)) AS labels, max(share) AS score
+  FROM judged GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM worded LEFT JOIN summed USING (rid)
+""",
+    "op12_fill_in_middle": rf"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex,
+    regexp_extract_all(coalesce(text, ''), '[ 	-
+]*[^ 	-
+]+|[ 	-
+]+') AS u FROM documents),
+hashed AS (
+  SELECT doc_id, text, u, len(u) AS n, CAST(concat('0x', substr(hex, 1, 8)) AS BIGINT) AS h1,
+    CAST(concat('0x', substr(hex, 9, 8)) AS BIGINT) AS h2, CAST(concat('0x', substr(hex, 17, 8)) AS BIGINT) AS h3,
+    CAST(concat('0x', substr(hex, 25, 8)) AS BIGINT) AS h4 FROM cut),
+formed AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM hashed),
+parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+    array_to_string(u[b + 1:], '') AS suffix FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+""",
+    "op13_prefix_trie": """
+WITH RECURSIVE tagged AS (
+  SELECT conv_id AS c, turn, strlen(coalesce(text, '')) AS b,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS tid
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, tid, b, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, substr(tid, 1, 32)) - 1 AS pos FROM tagged),
+bits(c, s, k, v) AS (
+  SELECT c, CAST(c AS VARCHAR), 0, 4294967295::BIGINT FROM (SELECT DISTINCT c FROM own)
+  UNION ALL
+  SELECT c, s, k + 1, CASE WHEN w % 2 = 1 THEN xor(w >> 1, 3988292384::BIGINT) ELSE w >> 1 END
+  FROM (SELECT c, s, k, CASE WHEN k % 8 = 0 THEN xor(v, ascii(substr(s, k // 8 + 1, 1))::BIGINT) ELSE v END AS w
+        FROM bits WHERE k < 8 * length(s))),
+convs AS (SELECT c, c - c % 5 AS base, xor(v, 4294967295::BIGINT) % 9 AS h FROM bits WHERE k = 8 * length(s)),
+lent AS (SELECT v.c, o.tid, o.b, o.pos FROM convs v JOIN own o ON o.c = v.base AND o.pos < v.h),
+rebuilt AS (
+  SELECT c, tid, b, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d FROM (
+    SELECT c, tid, b, 0 AS part, pos FROM lent
+    UNION ALL SELECT o.c, o.tid, o.b, 1, o.pos FROM own o JOIN convs v ON v.c = o.c AND o.pos >= v.h)),
+paths AS (
+  SELECT c, d, b, string_agg(tid, ',') OVER (PARTITION BY c ORDER BY d) AS path FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+ways AS (
+  SELECT *, lag(path) OVER (PARTITION BY c ORDER BY d) AS above, lead(d) OVER (PARTITION BY c ORDER BY d) IS NULL AS is_end FROM paths),
+nodes AS (
+  SELECT path, d, min(c) AS c, any_value(above) AS above, count(*) AS n, any_value(b) AS b, bool_and(is_end) AS is_leaf,
+    string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (is_end) AS ends FROM ways GROUP BY path, d),
+subtree AS (
+  SELECT w.path, sum((n.n - 1) * n.b) AS saved, count(*) FILTER (n.is_leaf) AS n_leaves
+  FROM nodes n JOIN ways w ON w.c = n.c AND w.d <= n.d GROUP BY w.path),
+children AS (SELECT above AS path, count(*) AS k FROM nodes WHERE above IS NOT NULL GROUP BY above)
+SELECT n.c AS conv_id, CAST(n.d AS BIGINT) AS depth, p.c AS parent_conv_id, n.n AS n_convs, coalesce(k, 0) AS n_children,
+  n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN subtree USING (path) LEFT JOIN children USING (path) LEFT JOIN nodes p ON p.path = n.above
 """,
 }
