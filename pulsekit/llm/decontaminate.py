@@ -1,15 +1,14 @@
-"""Benchmark decontamination with one Aho-Corasick automaton over normalised benchmark windows.
+"""Benchmark decontamination with an Aho-Corasick automaton over normalised benchmark windows.
 
-The benchmark's windows of 13 words become keys of an automaton. A document is normalised in the same way, scanned
-once, and each match is mapped back to word numbers and to offsets in the original text. The automaton lives in every
-Python worker, so its size is bounded: a benchmark whose windows exceed ``AUTOMATON_BYTES`` is cut into parts by item,
-each an automaton of its own, and the parts' hits are united per document.
+Benchmark words are numbered; its windows of 13 words become keys of an automaton over these numbers (13 nodes a window
+at most). A document is normalised in the same way and scanned once; matches are word places, which are mapped back to
+offsets in the original text. The text is read once whatever the benchmark's size. A benchmark whose automaton would
+outgrow a Python worker is one automaton after the other over each held block of documents.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import ahocorasick
@@ -17,63 +16,69 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from pulsekit.llm.common import blocks, fresh, materialize
+from pulsekit.llm.common import blocks, bounded_batches
 
 WINDOW = 13
-#: Bytes of normalised benchmark text per automaton. A text of n words of c characters has (n - 12) keys of about
-#: 13 (c + 1) characters with shared prefixes, some 25 bytes a node: 256 KB of text take less than 100 MB.
-AUTOMATON_BYTES = 256 << 10
+#: Bytes of benchmark text in one automaton: about 90 thousand words, at most 13 nodes each, some 60 bytes a node.
+AUTOMATON_BYTES = 512 << 10
+#: Bytes of documents that are held when one automaton follows another.
+HELD_BYTES = 64 << 20
 
 # Words are runs of 0-9, A-Z, a-z and non-ASCII characters; A-Z count as a-z. On UTF-8 bytes that is a table.
 _TABLE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
 _WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")  # of a text as it was
 
-_AUTOMATA: dict[int, object] = {}
+#: Numbers and automaton of the only part of a benchmark, kept by the worker.
+_KEPT: dict[str, tuple] = {}
 
 
-def normalise(text: str | None) -> tuple[str, int]:
-    """Lower-cased words, each after one space, with a space at the end; and their number."""
-    words = (text or "").encode().translate(_TABLE).split(b" ")
-    words = [w for w in words if w]
-    return (b" " + b" ".join(words) + b" ").decode() if words else "", len(words)
+def normal_words(text: str | None) -> list[bytes]:
+    """Lower-cased words as UTF-8."""
+    return [w for w in (text or "").encode().translate(_TABLE).split(b" ") if w]
 
 
-def build_automaton(items: list[tuple[str, str]]):
-    """Automaton of the windows of (item id, text); a key's value is its number of words and the ids of its items."""
-    keys: dict[str, tuple[int, set[str]]] = {}
+def build_automaton(items: list[tuple[str, str]]) -> tuple[dict[bytes, int], object]:
+    """Numbers of the words of (item id, text), from 1, and the automaton of the windows over them.
+
+    A key's value is its number of words and the ids of its items. No windows: no automaton.
+    """
+    numbers: dict[bytes, int] = {}
+    keys: dict[tuple, set[str]] = {}
     for item_id, text in items:
-        words = normalise(text)[0].split()
+        words = tuple(numbers.setdefault(w, len(numbers) + 1) for w in normal_words(text))
         for k in range(max(len(words) - WINDOW, 0) + 1 if words else 0):
-            window = words[k:k + WINDOW]
-            keys.setdefault(" " + " ".join(window) + " ", (len(window), set()))[1].add(item_id)
-    automaton = ahocorasick.Automaton()
-    for key, (n, ids) in keys.items():
-        automaton.add_word(key, (n, tuple(sorted(ids))))
-    if keys:
-        automaton.make_automaton()
-    return automaton
-
-
-def find_hits(automaton, normal: str) -> tuple[list[tuple[int, int]], set[str]]:
-    """Hit word ranges (first, end), united and in order, and the items whose windows occur."""
-    if not normal or not len(automaton):
-        return [], set()
-    found = [(end, n, ids) for end, (n, ids) in automaton.iter(normal)]
-    if not found:
+            keys.setdefault(words[k:k + WINDOW], set()).add(item_id)
+    if not keys:
+        return numbers, None
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for key, ids in keys.items():
+        automaton.add_word(key, (len(key), tuple(sorted(ids))))
+    automaton.make_automaton()
+    return numbers, automaton
+
+
+def find_hits(numbers: dict[bytes, int], automaton, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+    """Hit word ranges (first, end) in order of their ends, and the items whose windows occur."""
+    if automaton is None or not words:
         return [], set()
-    spaces = np.flatnonzero(np.frombuffer(normal.encode("utf-32-le"), np.uint32) == 32)
     ranges, items = [], set()
-    for (_, n, ids), stop in zip(found, np.searchsorted(spaces, [f[0] for f in found]).tolist(), strict=True):
+    for last, (n, ids) in automaton.iter(tuple([numbers.get(w, 0) for w in words])):
+        ranges.append((last + 1 - n, last + 1))
         items.update(ids)
-        ranges.append((stop - n, stop))
-    united: list[list[int]] = []
+    return ranges, items
+
+
+def united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges in order, those that meet as one."""
+    out: list[list[int]] = []
     for first, stop in sorted(ranges):
-        if united and first <= united[-1][1]:
-            united[-1][1] = max(united[-1][1], stop)
+        if out and first <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], stop)
         else:
-            united.append([first, stop])
-    return [tuple(r) for r in united], items
+            out.append([first, stop])
+    return [tuple(r) for r in out]
 
 
 def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -84,58 +89,110 @@ def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int,
     return [(words[first][0], words[stop - 1][1]) for first, stop in ranges]
 
 
-_HITS = "rid long, doc_id long, n_words long, first array<int>, stop array<int>, items array<string>, span_start array<int>, span_end array<int>"
+_FOUND = StructType([StructField(n, t) for n, t in (
+    ("n_words", LongType()), ("n_hit", LongType()), ("items", ArrayType(StringType())),
+    ("span_start", ArrayType(IntegerType())), ("span_end", ArrayType(IntegerType())))])
 
 
-def _scan(shared):
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if shared.id not in _AUTOMATA:  # noqa: SIM401
-            _AUTOMATA.clear()
-            _AUTOMATA[shared.id] = build_automaton(shared.items.value)
-        automaton = _AUTOMATA[shared.id]
-        for part in blocks(batches, "text"):
-            columns = defaultdict(list)
-            for text in part.column("text").to_pylist():
-                normal, n = normalise(text)
-                ranges, items = find_hits(automaton, normal)
-                spans = original_spans(text, ranges)
-                for name, value in (("n_words", n), ("first", [r[0] for r in ranges]), ("stop", [r[1] for r in ranges]),
-                                    ("items", sorted(items)), ("span_start", [s[0] for s in spans]),
-                                    ("span_end", [s[1] for s in spans])):
-                    columns[name].append(value)
-            ints, strings = pa.list_(pa.int32()), pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("rid"), part.column("doc_id"), pa.array(columns["n_words"], pa.int64()),
-                 pa.array(columns["first"], ints), pa.array(columns["stop"], ints), pa.array(columns["items"], strings),
-                 pa.array(columns["span_start"], ints), pa.array(columns["span_end"], ints)],
-                names=["rid", "doc_id", "n_words", "first", "stop", "items", "span_start", "span_end"])
+class _Benchmark:
+    """The benchmark's parts, broadcast; the id tells the automata apart that a worker keeps."""
 
-    return scan
+    def __init__(self, spark, parts: list[list[tuple[str, str]]]):
+        self.parts = spark.sparkContext.broadcast(parts)
+        self.id = f"{spark.sparkContext.applicationId}-{self.parts._jbroadcast.id()}"
 
+    def __getstate__(self):
+        return {"parts": self.parts, "id": self.id}
+
+    def automata(self) -> Iterator[tuple]:
+        """One after the other; the only one stays with the worker."""
+        parts = self.parts.value
+        if len(parts) > 1:
+            yield from map(build_automaton, parts)
+            return
+        if self.id not in _KEPT:
+            _KEPT.clear()
+            _KEPT[self.id] = build_automaton(parts[0])
+        yield _KEPT[self.id]
+
+
+def _scan(benchmark: _Benchmark, text: str, names: list[str], only_clean: bool):
+    """Appends the findings to the rows, or keeps the rows that aren't contaminated (without findings)."""
+
+    def judged(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranges: list[list] = [[] for b in held for _ in range(b.num_rows)]
+        items: list[set] = [set() for _ in ranges]
+        sizes = [0] * len(ranges)
+        for numbers, automaton in benchmark.automata():
+            k = 0
+            for batch in held:
+                for value in batch.column(text):
+                    words = normal_words(value.as_py())
+                    sizes[k] = len(words)
+                    hit, ids = find_hits(numbers, automaton, words)
+                    if hit:
+                        ranges[k] = united(ranges[k] + hit)
+                        items[k] |= ids
+                    k += 1
+        k = 0
+        for batch in held:
+            rows = []
+            for value in batch.column(text):
+                spans = original_spans(value.as_py(), ranges[k]) if ranges[k] else []
+                rows.append((sizes[k], sum(b - a for a, b in ranges[k]), sorted(items[k]),
+                             [a for a, _ in spans], [b for _, b in spans]))
+                k += 1
+            n_words, n_hit = (np.array([r[c] for r in rows], np.int64) for c in (0, 1))
+            if only_clean:
+                yield batch.filter(pa.array(~((n_hit > 0) & (20 * n_hit >= n_words))))
+                continue
+            ints = pa.list_(pa.int32())
+            columns = [pa.array(n_words), pa.array(n_hit), pa.array([r[2] for r in rows], pa.list_(pa.string())),
+                       pa.array([r[3] for r in rows], ints), pa.array([r[4] for r in rows], ints)]
+            yield pa.RecordBatch.from_arrays([*(c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != text), *columns],
+                                             [*(n for n in batch.schema.names if n != text), *names])
 
-class _Shared:
-    """Broadcast items of one automaton; the id tells the workers' kept automata apart."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        several = len(benchmark.parts.value) > 1
+        held, size = [], 0
+        for part in blocks(batches, text):
+            held.append(part)
+            size += part.nbytes
+            if not several or size > HELD_BYTES:
+                yield from judged(held)
+                held, size = [], 0
+        if held:
+            yield from judged(held)
 
-    def __init__(self, spark, items):
-        self.items = spark.sparkContext.broadcast(items)
-        self.id = f"{spark.sparkContext.applicationId}-{self.items._jbroadcast.id()}"
+    return scan
 
-    def __getstate__(self):
-        return {"items": self.items, "id": self.id}
 
+def _benchmark(benchmark: DataFrame, max_bytes: int) -> _Benchmark:
+    """The benchmark in parts of at most ``max_bytes`` of text; a longer item goes over several parts.
 
-def _parts(benchmark: DataFrame, max_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The benchmark in parts of at most ``max_bytes`` of text (one longer item is a part), read row by row."""
+    The pieces of such an item overlap by a window less one word, so that every window is in one of them.
+    """
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    part: list[tuple[str, str]] = []
+    parts: list[list[tuple[str, str]]] = [[]]
     size = 0
     for row in rows.where("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
-        if part and size + len(row["text"].encode()) > max_bytes:
-            yield part
-            part, size = [], 0
-        part.append((row["item_id"], row["text"]))
-        size += len(row["text"].encode())
-    yield part
+        words, at = normal_words(row["text"]), 0
+        while words:
+            room, taken = max_bytes - size, 0
+            lengths = np.cumsum([len(w) + 1 for w in words[at:]])
+            taken = int(np.searchsorted(lengths, room, side="right"))
+            if taken < len(lengths) and (size or taken < WINDOW):
+                if size:  # a new part first
+                    parts.append([])
+                    size = 0
+                    continue
+                taken = min(WINDOW, len(lengths))
+            parts[-1].append((row["item_id"], b" ".join(words[at:at + taken]).decode()))
+            size += int(lengths[taken - 1])
+            if at + taken == len(words):
+                break
+            at += taken - WINDOW + 1
+    return _Benchmark(benchmark.sparkSession, parts)
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, max_bytes: int = AUTOMATON_BYTES) -> DataFrame:
@@ -147,41 +204,17 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, max_bytes: int = AUTOM
     empty text has no words; repeated rows are judged each; a null doc_id stays null; null items or item texts count
     for nothing, and an empty benchmark hits nothing.
     """
-    return _numbered_hits(docs, benchmark, max_bytes).drop("rid")
-
-
-def _numbered_hits(docs: DataFrame, benchmark: DataFrame, max_bytes: int) -> DataFrame:
-    spark = docs.sparkSession
-    source = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
-                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    scans = [source.mapInArrow(_scan(_Shared(spark, part)), _HITS) for part in _parts(benchmark, max_bytes)]
-    if len(scans) == 1:
-        found = scans[0].withColumn("n_hit", F.expr("aggregate(zip_with(first, stop, (a, b) -> b - a), 0, (s, x) -> s + x)"))
-    else:
-        hits = scans[0].select("rid", "doc_id", "n_words", "first", "stop", "items", "span_start", "span_end")
-        for scan in scans[1:]:
-            hits = hits.union(scan.where("size(items) > 0"))
-        merged = hits.groupBy("rid").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-            F.flatten(F.collect_list("first")).alias("first"), F.flatten(F.collect_list("stop")).alias("stop"),
-            F.flatten(F.collect_list("span_start")).alias("span_start"), F.flatten(F.collect_list("span_end")).alias("span_end"))
-        found = merged.withColumn("n_hit", F.size(F.array_distinct(F.flatten(
-            F.expr("zip_with(first, stop, (a, b) -> sequence(a, b - 1))")))))
-    n_hit = F.col("n_hit").cast("long")
-    return found.select(
-        "rid", "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.array_sort("items").alias("items"), "span_start", "span_end",
-        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    schema = StructType([source.schema["doc_id"], *_FOUND.fields])
+    found = source.mapInArrow(_scan(_benchmark(benchmark, max_bytes), "text", _FOUND.names, False), schema)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "span_start", "span_end",
+                        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_bytes: int = AUTOMATON_BYTES) -> DataFrame:
-    """docs without the contaminated rows; all columns unchanged.
+    """docs without the contaminated rows; all columns unchanged, in one pass in which rows meet their own verdict.
 
-    Rows are found again by their number, so docs must be a table or another input that Spark reads in the same
-    partitions each time.
+    Null and empty texts stay; an empty table gives an empty table and an empty benchmark drops nothing.
     """
-    rid, gone = fresh(docs, "rid"), fresh(docs, "contaminated")
-    found = _numbered_hits(docs, benchmark, max_bytes).where("contaminated").select(F.col("rid").alias(gone))
-    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
-    return numbered.join(materialize(found), F.col(rid) == F.col(gone), "left_anti").drop(rid)
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(_scan(_benchmark(benchmark, max_bytes), "text", [], True), docs.schema)

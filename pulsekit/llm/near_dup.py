@@ -12,8 +12,9 @@ The steps, each a Spark job over tables:
    links that join two so far unconnected members are returned, so that the links grow with members, not with pairs.
 4. The components of the links give component_id.
 
-Recall: with 32 bands of 4 registers a pair at similarity 0.85 shares a band but for 5e-11. The estimate's standard
-error is at most 0.032 there; pairs are confirmed from 0.16 (five standard errors) below the threshold.
+Recall: with 32 bands of 4 registers a pair at similarity 0.80 shares no band with a probability of 5e-8, at 0.85 of
+5e-11. The estimate's standard error is at most 0.036 there; pairs are confirmed from 0.18 (five standard errors) below
+the threshold.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.llm.common import blocks, fresh, materialize, release_memory, texts_of
@@ -33,7 +34,7 @@ from pulsekit.llm.shingles import M, joint_estimate, registers, shingle_sets
 BAND_REGISTERS = 4
 #: A block of a family holds about this many bytes of shingle hashes and registers; a unit of work holds two blocks.
 BLOCK_SET_BYTES = 2 << 20
-ESTIMATE_MARGIN = 0.16
+ESTIMATE_MARGIN = 0.18
 
 _SKETCH = "rid long, doc_id long, n_shingles long, set_key binary, regs binary"
 _SETS = "doc_id long, set_key binary, regs binary, hashes binary"
@@ -155,11 +156,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     text are one document (all are returned and share its verdict). A row without doc_id has component_id null and is
     kept, since no other row can name it. Other columns are ignored.
     """
-    return _numbered_components(docs, percent).drop("rid")
+    return _numbered_components(docs, F.monotonically_increasing_id(), percent).drop("rid")
 
 
-def _numbered_components(docs: DataFrame, percent: int) -> DataFrame:
-    source = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _numbered_components(docs: DataFrame, rid: Column, percent: int) -> DataFrame:
+    """The components with a row number, which is read from ``docs`` in the first pass only."""
+    source = docs.select(rid.alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = materialize(source.mapInArrow(_sketches, _SKETCH))
     classes = materialize(sketched.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
                           .agg(F.min("doc_id").alias("rep"), F.first("regs").alias("regs")))
@@ -200,16 +202,16 @@ def _numbered_components(docs: DataFrame, percent: int) -> DataFrame:
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One row of each near-duplicate group of docs, all columns unchanged: of the rows of the kept doc_id the first.
 
-    Rows without doc_id stay. Rows are found again by their number, so docs must be a table or another input that
-    Spark reads in the same partitions each time.
+    Rows without doc_id and rows without words stay, an empty table gives an empty table. The numbered rows are written
+    once and verdict and result read that table, since two reads of ``docs`` may number its rows differently.
     """
-    verdict = materialize(_numbered_components(docs, percent))
     rid, gone = fresh(docs, "rid"), fresh(docs, "dropped")
+    numbered = materialize(docs.withColumn(rid, F.monotonically_increasing_id()))
+    verdict = materialize(_numbered_components(numbered, F.col(rid), percent))
     first = verdict.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rid").alias("first"))
     dropped = (verdict.where("doc_id IS NOT NULL").join(first, "doc_id", "left")
                .where("NOT kept OR rid <> first").select(F.col("rid").alias(gone)))
-    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
     return numbered.join(materialize(dropped), F.col(rid) == F.col(gone), "left_anti").drop(rid)

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -169,8 +169,11 @@ def find_pii(docs: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_
     (arrays of kind, start, end in code points, by start and then kind as listed). An added span meets no base span.
     A null or empty text has none; repeated rows are searched each; a null doc_id stays null.
     """
-    source = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
-                         F.col("text").cast("string").alias("text"))
+    return _numbered_pii(docs, F.monotonically_increasing_id(), rounds, min_confidence, min_instances)
+
+
+def _numbered_pii(docs: DataFrame, rid: Column, rounds: int, min_confidence: float, min_instances: int) -> DataFrame:
+    source = docs.select(rid.alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = materialize(source.mapInArrow(_find, _FOUND))
     each = found.where("size(occurrences) > 0").select("rid", F.explode("occurrences").alias("o")).select("rid", "o.*")
     edges = materialize(each.select(F.explode("patterns").alias("pattern"), "value").distinct())
@@ -219,16 +222,19 @@ def _redact(column: str, result: str):
     return redact
 
 
-def redact_pii(docs: DataFrame, **settings) -> DataFrame:
+def redact_pii(docs: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
+               min_instances: int = MIN_INSTANCES) -> DataFrame:
     """docs with every span of find_pii replaced by its kind in angle brackets; n_chars, if there, is the new length.
 
-    Every other column and every row stay. Rows are found again by their number, so docs must be a table or another
-    input that Spark reads in the same partitions each time.
+    Every other column and every row stay; null and empty texts stay as they are, an empty table gives an empty table.
+    The numbered rows are written once and spans and result read that table, since two reads of ``docs`` may number its
+    rows differently.
     """
-    spans = find_pii(docs, **settings).select("rid", F.concat("base", "added").alias("spans")).where("size(spans) > 0")
     rid, found, result = fresh(docs, "rid"), fresh(docs, "spans"), fresh(docs, "redacted")
+    numbered = materialize(docs.withColumn(rid, F.monotonically_increasing_id()))
+    spans = (_numbered_pii(numbered, F.col(rid), rounds, min_confidence, min_instances)
+             .select("rid", F.concat("base", "added").alias("spans")).where("size(spans) > 0"))
     spans = materialize(spans.select(F.col("rid").alias(rid), F.col("spans").alias(found)))
-    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
     schema = StructType([*numbered.schema.fields, spans.schema[found], StructField(result, StringType())])
     out = (numbered.join(spans, rid, "left").select(*numbered.columns, found)
            .mapInArrow(_redact(found, result), schema))
