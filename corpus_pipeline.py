@@ -30,8 +30,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
-    return drop_near_duplicates(docs, percent=85)
+    """One document of each near-duplicate group stays: shingles of five words, similarity 0.8 or more."""
+    return drop_near_duplicates(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
