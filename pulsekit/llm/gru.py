@@ -13,9 +13,9 @@ import numpy as np
 
 
 class Gru:
-    """Parameters by name, all float32: input table, recurrent matrix, class and word outputs with biases."""
+    """Parameters by name, all float32: word vectors, input and recurrent matrices, class and word outputs with biases."""
 
-    NAMES = ("wx", "wh", "bh", "wc", "bc", "wo", "bo")
+    NAMES = ("we", "wi", "wh", "bh", "wc", "bc", "wo", "bo")
 
     def __init__(self, counts: np.ndarray, hidden: int = 16, seed: int = 1):
         """``counts`` of the tokens in training, the most frequent first: biases start as the unigram model."""
@@ -30,7 +30,8 @@ class Gru:
         with np.errstate(divide="ignore"):
             bo = np.maximum(np.log(p / p.sum(axis=1, keepdims=True)), -1e9)  # places beyond the vocabulary: probability 0
         self.p = {
-            "wx": rng.normal(0, 0.1, (v, 3 * hidden)), "wh": rng.normal(0, hidden ** -0.5, (hidden, 3 * hidden)),
+            "we": rng.normal(0, 0.3, (v, hidden)), "wi": rng.normal(0, hidden ** -0.5, (hidden, 3 * hidden)),
+            "wh": rng.normal(0, hidden ** -0.5, (hidden, 3 * hidden)),
             "bh": np.zeros(hidden), "wc": np.zeros((hidden, self.classes)), "bc": np.log(p.sum(axis=1)),
             "wo": np.zeros((self.classes, hidden, self.size)), "bo": bo,
         }
@@ -54,7 +55,8 @@ class Gru:
         """
         h3 = self.h
         steps, lanes = inputs.shape
-        x = np.ascontiguousarray(self.p["wx"][inputs].transpose(0, 2, 1))
+        vectors = self.p["we"].take(inputs.ravel(), axis=0).reshape(steps, lanes, h3)
+        x = self.p["wi"].T @ np.ascontiguousarray(vectors.transpose(0, 2, 1))
         out = np.empty((steps, h3, lanes), np.float32)
         kept = [] if keep else None
         wh, bh = np.ascontiguousarray(self.p["wh"].T), self.p["bh"][:, None]
@@ -161,11 +163,13 @@ class Gru:
         grads["wh"] += np.matmul(np.stack([k[0] for k in kept]), dg.transpose(0, 2, 1)).sum(axis=0)
         grads["bh"] += dg[:, 2 * h3:].sum(axis=(0, 2))
         tokens = inputs.ravel()
+        vectors = self.p["we"].take(tokens, axis=0).reshape(steps, lanes, h3)
+        grads["wi"] += np.matmul(vectors.transpose(0, 2, 1), dx.transpose(0, 2, 1)).sum(axis=0)
+        dvectors = (self.p["wi"] @ dx).transpose(0, 2, 1).reshape(-1, h3)
         order = np.argsort(tokens.astype(np.int32), kind="stable")
         ordered = tokens[order]
         starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-        flat = dx.transpose(0, 2, 1).reshape(-1, 3 * h3)
-        grads["wx"][ordered[starts]] += np.add.reduceat(flat[order], starts, axis=0)
+        grads["we"][ordered[starts]] += np.add.reduceat(dvectors.take(order, axis=0), starts, axis=0)
 
 
 class Adam:

@@ -291,6 +291,105 @@ def test_model_is_a_distribution_and_lanes_do_not_matter():
     assert score(model, docs, 0, 7, 5) == pytest.approx(alone, abs=1e-3)
 
 
+def naive_logs(model, doc, end):
+    """Natural log-probability of each token, step by step in float64, with the softmax written out."""
+    p, h, before, out = {k: x.astype(np.float64) for k, x in model.p.items()}, np.zeros(model.h), end, []
+    for token in doc:
+        x, g = p["we"][before] @ p["wi"], h @ p["wh"]
+        z, r = (1 / (1 + np.exp(-(x[k * model.h:(k + 1) * model.h] + g[k * model.h:(k + 1) * model.h]))) for k in (0, 1))
+        n = np.tanh(x[2 * model.h:] + r * (g[2 * model.h:] + p["bh"]))
+        h = z * h + (1 - z) * n
+        classes, c = np.exp(h @ p["wc"] + p["bc"]), token // model.size
+        words_ = np.exp(h @ p["wo"][c] + p["bo"][c])
+        out.append(np.log(classes[c] / classes.sum() * words_[token % model.size] / words_.sum()))
+        before = token
+    return np.array(out)
+
+
+def test_model_against_naive_recurrence_and_numerical_gradient():
+    r = np.random.default_rng(4)
+    model = Gru(np.arange(14, 0, -1).astype(float), hidden=5)
+    for k, x in model.p.items():  # away from the start, where much is zero
+        model.p[k] = np.where(x > -1e8, x + r.normal(0, 0.3, x.shape), x).astype(np.float32)
+    docs = [np.append(r.integers(1, 14, n), 0).astype(np.int32) for n in (0, 1, 7, 90)]
+    want = [naive_logs(model, d, 0).sum() for d in docs]
+    assert score(model, docs, 0, 3, 4) == pytest.approx(want, rel=1e-4)
+
+    class Kept:
+        def step(self, grads, n, share=1.0):
+            self.grads = grads
+
+    kept, doc = Kept(), docs[2]
+    train(model, [doc], 0, 1, 32, kept)  # one window: nothing is cut off
+    for name, x in model.p.items():
+        for at in r.permutation(x.size)[:12]:
+            place = np.unravel_index(at, x.shape)
+            if x[place] < -1e8:
+                continue
+            sides = []
+            for step in (1e-2, -1e-2):
+                old = x[place]
+                x[place] = old + step
+                sides.append(naive_logs(model, doc, 0).sum())
+                x[place] = old
+            assert kept.grads[name][place] == pytest.approx((sides[0] - sides[1]) / 2e-2, rel=0.02, abs=2e-3), name
+
+
+def scored_frame(spark, copies=1):
+    r = random.Random(12)
+    texts = [" ".join(r.choice(["aa", "Ab", "bc", "cd", "é"]) + r.choice("xyz") for _ in range(r.randint(0, 60))) for _ in range(150)]
+    texts += ["long " * 20000, None, "", "same text", "same text"]
+    return spark.createDataFrame([(d, t, "x", 1) for d, t in enumerate(texts)], DOCS), texts
+
+
+def test_scores_against_naive_recomputation(spark, monkeypatch):
+    frame, texts = scored_frame(spark)
+    seen = []
+
+    def random_weights(training, vocabulary, n_tokens):
+        model = Gru(vocabulary.counts, lm_scoring.HIDDEN)
+        flat = model.flat()
+        flat = np.where(flat > -1e8, flat + np.random.default_rng(1).normal(0, 0.1, flat.shape), flat).astype(np.float32)
+        seen.append((vocabulary, model.load(flat)))
+        return flat
+
+    monkeypatch.setattr(lm_scoring, "train_model", random_weights)
+    monkeypatch.setattr(lm_scoring, "VOCABULARY", 6)
+    rows = score_documents(frame, head_terms=4).collect()
+    (vocabulary, model), = seen
+    counts = Counter(w for d, t in enumerate(texts) if zlib.crc32(str(d).encode()) % 7 != 2 for w in words(t))
+    top = dict(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:6])
+    kind = lambda w: zlib.crc32(w[-2:].encode()) % lm_scoring.WORD_TYPES
+    shares = Counter()
+    for w, c in counts.items():
+        if w not in top:
+            shares[kind(w)] += c + 1
+    numbers = dict(zip(top, vocabulary.known.values[:6].tolist(), strict=True))
+    for row in rows:
+        text = words(texts[row.doc_id])[:400] if row.doc_id == 150 else words(texts[row.doc_id])
+        doc = [numbers.get(w, vocabulary.types[kind(w)]) for w in text] + [vocabulary.end]
+        below = sum(np.log10((counts[w] + 1) / (shares[kind(w)] + 1)) for w in text if w not in top)
+        want = naive_logs(model, doc, vocabulary.end).sum() / np.log(10) + below
+        if row.doc_id == 150:
+            assert row.n_tokens == 20001 and row.score < want
+        else:
+            assert row.score == pytest.approx(want, rel=1e-4), row.doc_id
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "TASK_TOKENS", 3000)
+    monkeypatch.setattr(lm_scoring, "FAN_IN", 2)  # the averages of eight tasks in three levels
+    frame, _ = scored_frame(spark)
+    one, many = ({r.doc_id: r.score for r in score_documents(frame.repartition(n)).collect()} for n in (1, 7))
+    assert one == pytest.approx(many, rel=1e-5)
+
+
+def test_scores_without_training_documents(spark):
+    held = [d for d in range(60) if zlib.crc32(str(d).encode()) % 7 == 2]
+    rows = score_documents(spark.createDataFrame([(d, "a b c", "x", 1) for d in held], DOCS)).collect()
+    assert len(rows) == len(held) and all(r.held_out and np.isfinite(r.score) and (r.n_known, r.train_tokens) == (0, 0) for r in rows)
+
+
 # Shards
 
 def test_shards(spark):
