@@ -792,17 +792,17 @@ def q_model_comparison_v3(spark, sf_dir):
     return train_classifier(activity(spark, sf_dir), cfg).comparison
 
 
+def _tuned(spark, sf_dir):
+    from .preprocessing import preprocessing_stages
+    from .training import RF_GRID, TrainConfig, cross_validate, prepare_splits
+    train, _ = prepare_splits(activity(spark, sf_dir), TrainConfig(version="v1"))
+    return cross_validate(train, preprocessing_stages(NUM, target_col=LAB), RF_GRID)
+
+
 @register("tune_forest_grid")
 def q_tune_forest_grid(spark, sf_dir):
     """The cross-validated grid (8 combinations, 3 folds) on the v1 training split; mean metric per combination."""
-    from .preprocessing import preprocessing_stages
-    from .training import RF_GRID, TrainConfig, prepare_splits, tune_random_forest
-    train, _ = prepare_splits(activity(spark, sf_dir), TrainConfig(version="v1"))
-    train = train.persist()
-    model, _ = tune_random_forest(train, preprocessing_stages(NUM, target_col=LAB), RF_GRID, parallelism=2)
-    rows = [(*(m[p] for n in RF_GRID for p in m if p.name == n), float(v))
-            for m, v in zip(model.getEstimatorParamMaps(), model.avgMetrics, strict=True)]
-    return spark.createDataFrame(rows, "numTrees int, maxDepth int, subsamplingRate double, avg_f1 double")
+    return _tuned(spark, sf_dir).means()
 
 
 def _checks(name: str, df, **conditions):

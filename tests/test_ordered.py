@@ -45,3 +45,27 @@ def test_quantile_disc_bracket_matches_full_ranking(spark):
         for g in range(3):
             s = np.sort(vals[grp == g])
             assert br[g] == s[max(int(np.ceil(p * len(s))) - 1, 0)]
+
+
+def test_quantile_by_radix_equals_duckdb(spark):
+    import duckdb
+    import pyarrow as pa
+    rng = np.random.default_rng(8)
+    doubles = np.concatenate([rng.normal(0, 1e6, 400), rng.normal(0, 1e-300, 50), [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308],
+                              [np.inf] * 40, [-np.inf] * 40, np.repeat(rng.normal(0, 1, 5), 60)])
+    longs = np.concatenate([rng.integers(-2**63, 2**63 - 1, 300), [2**63 - 1, -2**63, 0, -1], 2**53 + np.arange(9)])
+    for values, kind in ((doubles, "double"), (longs, "long")):
+        groups = [None if k % 4 == 3 else int(k % 4) for k in range(len(values))]
+        rows = list(zip(groups, values.tolist(), strict=True)) + [(0, None), (9, None)]
+        df = spark.createDataFrame(rows, f"g int, v {kind}")
+        t = pa.table({"g": pa.array([r[0] for r in rows]), "v": pa.array([r[1] for r in rows])})  # noqa: F841
+        for p in (0.0, 0.25, 0.5, 1.0):
+            want = dict(duckdb.sql(f"SELECT g, quantile_disc(v, {p}) FROM t WHERE v IS NOT NULL GROUP BY g").fetchall())
+            for bound in (None, 5):
+                assert dict(quantile_disc(df, ["g"], "v", p, max_groups=bound).collect()) == want, (kind, p)
+
+
+def test_quantile_of_nan_is_above_infinity(spark):
+    df = spark.createDataFrame([(x,) for x in (float("nan"), float("inf"), 1.0)], "v double")
+    assert quantile_disc(df, [], "v", 0.5).first()[0] == float("inf")
+    assert np.isnan(quantile_disc(df, [], "v", 1.0).first()[0])

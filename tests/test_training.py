@@ -90,3 +90,41 @@ def test_balancing_after_the_split_has_the_right_rates(spark):
     assert under["small"] == sizes["small"] and abs(under["big"] - sizes["small"]) < 4 * sizes["small"] ** 0.5
     over = {r[0]: r[1] for r in sa.balance(train, "Workout_Type", "oversample").groupBy("Workout_Type").count().collect()}
     assert over["big"] == sizes["big"] and abs(over["small"] - sizes["big"]) < 4 * (sizes["small"] * 0.25) ** 0.5 + 1
+
+
+def test_weighted_scores_equal_the_evaluator(spark):
+    import random
+    from collections import Counter
+
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    r = random.Random(3)
+    rows = [(float(r.randint(0, 3)), float(r.choice([0, 0, 1, 2, 4]))) for _ in range(300)]
+    df = spark.createDataFrame(rows, "label double, prediction double")
+    names = ("accuracy", "weightedPrecision", "weightedRecall", "f1")
+    want = [MulticlassClassificationEvaluator(metricName=n).evaluate(df) for n in names]
+    assert all(abs(a - b) < 1e-12 for a, b in zip(tr.weighted_scores(Counter(rows)), want, strict=True))
+
+
+def test_cross_validation_against_single_fits(spark):
+    """Every fold and combination once; a fold's metric equals Spark's evaluator on the same fit done alone."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    from pulsekit.functions.hashing import hash01
+    data = cl.clean(activity(spark, SF_SMALL), cl.LOOSE_RULES)
+    stages = preprocessing_stages(["Steps", "Heart_Rate_avg", "Calories_Burned"])
+    grid = {"numTrees": [2, 4], "maxDepth": [3], "subsamplingRate": [0.8, 0.9]}
+    result = tr.cross_validate(data, stages, grid, folds=2)
+    rows = result.folds.collect()
+    assert sorted((x["fold"], x["position"]) for x in rows) == [(k, p) for k in range(2) for p in range(4)]
+    fold = F.floor(hash01("row_id", 42, purpose="fold") * 2)
+    train, valid = (data.where(fold == k) for k in (1, 0))
+    prep = Pipeline(stages=stages).fit(train)
+    fitted = es.rf_classifier(numTrees=4, maxDepth=3, subsamplingRate=0.9, cacheNodeIds=True) \
+        .fit(prep.transform(train).select("label", "features").coalesce(1))
+    alone = MulticlassClassificationEvaluator(metricName="f1").evaluate(fitted.transform(prep.transform(valid)))
+    (same,) = [x["f1"] for x in rows if (x["fold"], x["position"]) == (0, 3)]
+    assert abs(same - alone) < 1e-12
+    means = result.means().collect()
+    best = result.best()
+    assert max(means, key=lambda m: m["avg_f1"])["avg_f1"] == [m["avg_f1"] for m in means if all(m[k] == v for k, v in best.items())][0]
