@@ -47,6 +47,11 @@ MARKS = frozenset((
     "menubar modal nav navbar navigation newsletter notice notices overlay pager pagination paging popup promo promoted "
     "promotion recommended related replies respond share sharing sidebar sidenav signin signup skip social sponsor "
     "sponsored subscribe subscription toolbar topbar widget widgets").split())
+#: Words that say nothing about what a box holds: inside of an article a class or id marks only if all of its other
+#: words do.
+PLAIN = frozenset((
+    "area bar block body box btn button buttons card cards container content group holder inline inner item items link "
+    "links list panel post posts section slot small top unit wrap wrapper").split())
 COMMENT_MARKS = frozenset(("comment", "comments", "commentlist", "disqus", "respond", "replies"))
 _PROTECTED = frozenset(("html", "body", "article", "main"))
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -134,7 +139,10 @@ class _Tree:
             return tag == "article" and bool(words & COMMENT_MARKS)
         if tag in _HEADINGS:
             return bool(words & COMMENT_MARKS)
-        return bool(words & MARKS) or "header" in words and not inside
+        if inside:
+            parts = (set(re.split(r"[^a-z0-9]+", _CAMEL.sub(" ", n).lower())) - {""} - PLAIN for n in named.split())
+            return any(p and p <= MARKS for p in parts)
+        return bool(words & MARKS) or "header" in words
 
     def start(self, tag: str, attrs: str) -> None:
         if tag in ENDS_P and self.open["p"]:
@@ -295,12 +303,24 @@ def _container(tree: _Tree) -> list[_Node]:
 
 
 def _is_link_list(node: _Node) -> bool:
+    if node.tag in ("div", "section") and any(isinstance(c, _Node) and c.tag == "p" for c in node.children):
+        return False  # linked paragraphs
     return (node.tag in ("ul", "ol", "dl", "div", "section", "table") and node.links >= 2
             and node.link_share() > LIST_LINK_SHARE)
 
 
+def _in_article(node: _Node) -> bool:
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
 def blocks_of(tops: list[_Node]) -> list[str]:
-    """Texts of the blocks in page order, white space turned to single spaces."""
+    """Texts of the blocks in page order, white space turned to single spaces.
+
+    Lists of links go where no article or main element tells the article from what is around it; in one, they are the
+    article's own. The tops themselves always stay.
+    """
     out: list[str] = []
     held: list[str] = []
 
@@ -311,13 +331,15 @@ def blocks_of(tops: list[_Node]) -> list[str]:
         held.clear()
 
     todo: list = list(reversed(tops))
+    kept = {id(n) for n in tops}
+    marked = bool(tops) and all(map(_in_article, tops))
     while todo:
         item = todo.pop()
         if item is None:
             flush()
         elif isinstance(item, str):
             held.append(item)
-        elif not (item.skip or _is_link_list(item)):
+        elif not (item.skip or not marked and id(item) not in kept and _is_link_list(item)):
             if item.tag in BLOCK:
                 flush()
                 todo.append(None)

@@ -38,6 +38,18 @@ def docs(spark):
 
 # HTML
 
+def test_article_keeps_its_own_links_and_named_parts():
+    body = "<p>" + "A sentence, with commas, and words. " * 6 + "</p>"
+    page = f"""<body><nav><a href=x>Home</a> <a href=y>News</a></nav><article><h1>T</h1>{body}<div class="related-work"><p>Earlier
+    work.</p></div><p class="ad">Buy</p><div class="share-buttons">Tweet</div><h2>Sources</h2><ul><li><a href=1>First</a></li>
+    <li><a href=2>Second</a></li></ul></article></body>"""
+    text = main_text(page)
+    assert text.endswith("Sources\n\nFirst\n\nSecond") and "Earlier work." in text
+    assert not any(x in text for x in ("Home", "Buy", "Tweet"))
+    links = "<div>" + "".join(f"<p><a href={k}>A paragraph, linked, {k} and long enough to count as one.</a></p>" for k in range(2)) + "</div>"
+    assert main_text(f"<body>{links}</body>")
+
+
 @pytest.mark.parametrize(("html", "text"), [
     (None, ""), ("", ""), ("<p>", ""), ("<!-- x", ""), ("<script>var a = '<p>x</p>';", ""), ("a < b <b>c</b>", "a < b c"),
     ("<div><p>one<p>two</div>", "one\n\ntwo"), ("<p>a &amp; b&nbsp;&#233;\n c</p>", "a & b é c"), ("<p>abc <di", "abc"),
