@@ -21,8 +21,8 @@ from pulsekit.llm.sharding import shard_documents
 from pulsekit.llm.token_counts import count_tokens
 from pulsekit.llm.url_rules import MIN_CONFIDENCE, MIN_SUPPORT, filter_urls
 
-#: Byte limit of a shard: some shards from the smallest tables on, 256 MB on a cluster would be usual.
-SHARD_BYTES = 256 << 10
+#: Byte limit of a shard.
+SHARD_BYTES = 256 << 20
 
 #: The URL rules of the query (verdict, host, path).
 URL_RULES = [
@@ -217,7 +217,7 @@ SELECT doc_id, n_bytes, bucket AS shard, depth, CAST(bytes AS BIGINT) AS shard_b
 FROM chosen WHERE k = 1
 """,
     "op10_url_rules": rf"""
-WITH rules(verdict, rhost, rpath) AS (VALUES {', '.join(map(str, URL_RULES))}),
+WITH RECURSIVE rules(verdict, rhost, rpath) AS (VALUES {', '.join(map(str, URL_RULES))}),
 rests AS (
   SELECT row_number() OVER () AS rid, page_id, coalesce(url, '') AS url,
     CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -240,9 +240,7 @@ tokens AS (
 total AS (SELECT count(*) AS n FROM judged WHERE given IS NOT NULL),
 sets AS (
   SELECT rid, given, [token] AS x FROM tokens
-  UNION ALL SELECT a.rid, a.given, [a.token, b.token] FROM tokens a JOIN tokens b ON a.rid = b.rid AND a.token < b.token
-  UNION ALL SELECT a.rid, a.given, [a.token, b.token, c.token]
-    FROM tokens a JOIN tokens b ON a.rid = b.rid AND a.token < b.token JOIN tokens c ON b.rid = c.rid AND b.token < c.token),
+  UNION ALL SELECT s.rid, s.given, list_append(s.x, t.token) FROM sets s JOIN tokens t ON t.rid = s.rid AND t.token > s.x[-1]),
 counts AS (
   SELECT x, count(*) AS n, count(*) FILTER (given = 'allow') AS n_allow, count(*) FILTER (given = 'block') AS n_block
   FROM sets WHERE given IS NOT NULL GROUP BY x),

@@ -7,10 +7,10 @@ of the key and of the row's content, and rows that are the same throughout get n
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import materialize
+from pulsekit.llm.common import fresh, materialize
 
 #: Bits that one step of the directory looks at; a bucket that still doesn't fit takes part in the next step.
 STEP_BITS = 8
@@ -30,16 +30,35 @@ def shard_documents(docs: DataFrame, max_bytes: int) -> DataFrame:
     splitting can shrink). A null text has 0 bytes. Rows that repeat a doc_id are hashed with their text and, where that repeats
     too, with their number, so that they spread; a null doc_id is a key like any other.
     """
+    return _numbered_shards(docs, F.monotonically_increasing_id(), max_bytes).drop("rid")
+
+
+def write_shards(docs: DataFrame, path: str, max_bytes: int) -> DataFrame:
+    """Writes docs, all columns, as Parquet below ``path`` with a folder ``shard=<bits>`` for each shard (the column gets
+    another name if docs has one of this), and returns the assignment as ``shard_documents`` does.
+
+    A shard is written by one task, which its limit bounds; only a document over the limit makes a larger one. The
+    numbered rows are written once before, so that rows and assignment are of one read.
+    """
+    rid, shard = fresh(docs, "rid"), fresh(docs, "shard")
+    numbered = materialize(docs.withColumn(rid, F.monotonically_increasing_id()))
+    assigned = materialize(_numbered_shards(numbered, F.col(rid), max_bytes))
+    placed = assigned.select(F.col("rid").alias(rid), F.concat(F.lit("b"), "shard").alias(shard))  # the root's bits are empty
+    numbered.join(placed, rid).drop(rid).repartition(shard).write.partitionBy(shard).parquet(path)
+    return assigned.drop("rid")
+
+
+def _numbered_shards(docs: DataFrame, rid: Column, max_bytes: int) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     rows = materialize(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
-                    F.md5(key).alias("key"), F.md5(text).alias("content"), F.monotonically_increasing_id().alias("rid")))
+                    F.md5(key).alias("key"), F.md5(text).alias("content"), rid.alias("rid")))
     # Keys that occur once, nearly all, are hashed by key alone; the others are salted.
     repeated = rows.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1").select("key", F.lit(True).alias("again"))
     salted = F.md5(F.concat("key", "content", F.col("rid").cast("string")))
     placed = materialize(rows.join(repeated, "key", "left").select(
-        "doc_id", "n_bytes", _bits(F.when(F.col("again"), salted).otherwise(F.col("key"))).alias("bits")))
+        "rid", "doc_id", "n_bytes", _bits(F.when(F.col("again"), salted).otherwise(F.col("key"))).alias("bits")))
 
     directory, open_buckets, depth = None, None, 0
     while depth < MAX_BITS:
@@ -69,5 +88,5 @@ def shard_documents(docs: DataFrame, max_bytes: int) -> DataFrame:
     prefixes = [F.substring("bits", 1, d) for d in depths] or [F.lit("")]  # no depth: no rows
     tried = placed.withColumn("bucket", F.explode(F.array(*prefixes)))
     return tried.join(directory, "bucket").select(
-        "doc_id", "n_bytes", F.col("bucket").alias("shard"), "depth", F.col("bytes").alias("shard_bytes"),
+        "rid", "doc_id", "n_bytes", F.col("bucket").alias("shard"), "depth", F.col("bytes").alias("shard_bytes"),
         (F.col("bytes") > max_bytes).alias("over_limit"))

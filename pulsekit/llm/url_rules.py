@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from pulsekit.llm.common import ascii_lower, materialize
 
-#: Thresholds of the mined rules: share of labelled URLs that hold antecedent and verdict, share of the antecedent's
-#: URLs that have the verdict, and tokens in an antecedent.
+#: Thresholds of the mined rules: share of labelled URLs that hold antecedent and verdict, and share of the antecedent's
+#: URLs that have the verdict.
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.8
-MAX_TOKENS = 3
 
 Rule = tuple[str, str, str]  # verdict, host, path
 
@@ -62,8 +61,7 @@ def given_rule(rules: Sequence[Rule], host: Column, path: Column) -> tuple[Colum
     return text, verdict
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-               max_tokens: int = MAX_TOKENS) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Association rules from labelled (tokens, verdict): antecedent, verdict, confidence, support.
 
     FP-growth runs over the tokens of each URL with its verdict as one more item. Rules with a verdict as consequent
@@ -76,22 +74,26 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
         return labelled.selectExpr("items AS antecedent", "'' AS verdict", "0D AS confidence", "0D AS support").limit(0)
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(labelled)
     found = materialize(
-        model.associationRules.where((F.size("antecedent") <= max_tokens) & F.col("consequent")[0].startswith("=")
-                                     & ~F.exists("antecedent", lambda x: x.startswith("=")))
+        model.associationRules.where(F.col("consequent")[0].startswith("=") & ~F.exists("antecedent", lambda x: x.startswith("=")))
         .select(F.array_sort("antecedent").alias("antecedent"), F.expr("substring(consequent[0], 2)").alias("verdict"),
                 "confidence", "support"))
-    # Subsets of an antecedent are enumerated (at most 2**max_tokens) and looked up, so rules aren't paired.
+    shorter = found.select(F.col("antecedent").alias("part"), "verdict", F.col("confidence").alias("had"))
+    # Nearly all redundant rules are so by a subset of one token less.
+    less = found.where("size(antecedent) > 1").select("antecedent", "verdict", "confidence", F.explode(F.expr(
+        "transform(sequence(0, size(antecedent) - 1), k -> filter(antecedent, (x, i) -> i <> k))")).alias("part"))
+    found = found.join(less.join(shorter, ["part", "verdict"]).where("had >= confidence").select("antecedent", "verdict"),
+                       ["antecedent", "verdict"], "left_anti")
+    # For the few that are left all subsets are looked up (the mining itself went through as many); rules aren't paired.
     parts = found.select("antecedent", "verdict", "confidence", F.explode(F.expr(
         "filter(transform(sequence(1, cast(power(2, size(antecedent)) as int) - 2), m -> "
         "filter(antecedent, (x, i) -> (shiftright(m, i) & 1) = 1)), s -> size(s) > 0 AND size(s) < size(antecedent))")
     ).alias("part")).where("size(antecedent) > 1")
-    shorter = found.select(F.col("antecedent").alias("part"), "verdict", F.col("confidence").alias("had"))
     redundant = parts.join(shorter, ["part", "verdict"]).where("had >= confidence").select("antecedent", "verdict")
     return found.join(redundant, ["antecedent", "verdict"], "left_anti")
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow", min_support: float = MIN_SUPPORT,
-                min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+                min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Judges every page (page_id, url; other columns are ignored).
 
     Pages that a given rule fits have its verdict, and label the URLs from which further rules are mined. Any other
@@ -110,7 +112,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow",
               .select("rid", "page_id", "host", "path", text.alias("rule"), verdict.alias("given"),
                       url_tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens")))
     labelled = judged.where("given IS NOT NULL").select("tokens", F.col("given").alias("verdict"))
-    mined = materialize(mine_rules(labelled, min_support, min_confidence, max_tokens))
+    mined = materialize(mine_rules(labelled, min_support, min_confidence))
 
     listed = mined.select("antecedent", F.explode("antecedent").alias("token"))
     uses = listed.groupBy("token").agg(F.count("*").alias("uses"))

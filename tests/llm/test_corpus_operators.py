@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -19,9 +20,9 @@ from pulsekit.llm.decontaminate import benchmark_hits, drop_contaminated
 from pulsekit.llm.gru import Adam, Gru, score, train
 from pulsekit.llm.lm_scoring import score_documents
 from pulsekit.llm.near_dup import drop_near_duplicates, near_duplicates
-from pulsekit.llm.pii import base_spans, find_pii, joined_spans, redact_pii
+from pulsekit.llm.pii import _Words, base_spans, candidates, contexts, find_pii, joined_spans, redact_pii
 from pulsekit.llm.shingles import joint_estimate, registers
-from pulsekit.llm.sharding import shard_documents
+from pulsekit.llm.sharding import shard_documents, write_shards
 from pulsekit.llm.url_rules import filter_urls, mine_rules, url_parts
 
 DOCS = "doc_id long, text string, rid string, n_chars int"
@@ -415,6 +416,18 @@ def test_shards(spark):
     assert shard_documents(spark.createDataFrame([], DOCS), 1000).count() == 0
 
 
+def test_shards_are_written(spark, tmp_path):
+    r = random.Random(2)
+    docs = [(k, "é" * r.randint(0, 60), "x", k) for k in range(200)] + [(5, "same", "x", 1)] * 20 + [(None, None, "x", 2)]
+    assigned = write_shards(spark.createDataFrame(docs, DOCS), f"{tmp_path}/out", 1000)
+    written = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert Counter((x.doc_id, x.text, x.rid, x.n_chars) for x in written) == Counter(docs)
+    sizes = Counter()
+    for x in written:
+        sizes[x.shard[1:]] += len((x.text or "").encode())
+    assert dict(sizes) == {x.shard: x.shard_bytes for x in assigned.collect()} and max(sizes.values()) <= 1000
+
+
 # URL rules
 
 def test_url_parts(spark):
@@ -456,6 +469,14 @@ def test_mined_rules_have_their_confidence(spark):
     assert not any(a < b and sets[a].verdict == sets[b].verdict and sets[a].confidence >= sets[b].confidence for a in sets for b in sets)
 
 
+def test_rules_of_many_tokens(spark):
+    """Only all five tokens together tell a blocked page: no shorter antecedent reaches the confidence."""
+    baskets = [(["a", "b", "c", "d", "e"], "block")] * 6
+    baskets += [([t for t in "abcde" if t != left], "allow") for left in "abcde"] * 6
+    found = mine_rules(spark.createDataFrame(baskets, "tokens array<string>, verdict string"), 0.02, 0.8).collect()
+    assert ["a", "b", "c", "d", "e"] in [x.antecedent for x in found if x.verdict == "block"]
+
+
 # Pipeline
 
 def test_pipeline(spark, tmp_path):
@@ -501,6 +522,41 @@ def _quality(text):
     return len(w), None, len(re.findall(r"[#*$%&|<>]", text)), None, len(repeated)
 
 
+def test_identifiers_side_by_side():
+    text = "card 7536784127813050 4845168114407329 and +1 (826) 555-4081 190.137.223.204"
+    base = base_spans(text)
+    assert [k for _, k, _ in base] == ["ip"]
+    strings = {(text[s:e], tuple(kinds)) for s, e, kinds in candidates(text, base)}
+    assert {("7536784127813050", ("card",)), ("4845168114407329", ("card",)), ("+1 (826) 555-4081", ("phone",))} <= strings
+    assert not any(s < b and a < e for s, e, _ in candidates(text, base) for a, _, b in base)
+    long = "7 " * 3000
+    assert len(candidates(long, [])) < 3000 * 19 and candidates("", []) == []
+
+
+def test_contexts_take_whole_words():
+    words_ = "x" * 90 + "1 " + "y" * 90 + "2"
+    for text in (f"{words_} 5551234567 {'z' * 70}1", f"{words_} 5551234567 {'z' * 70}2"):
+        start = text.index("555")
+        seen = contexts(_Words(text), start, start + 10)
+        assert len(set(seen)) == 2
+    other = contexts(_Words(text.replace("2 555", "3 555")), start, start + 10)
+    assert other[0] != seen[0] and other[1] != seen[1]
+    assert contexts(_Words("tel:555 x"), 4, 7) == ["^ tel: _", "tel: _ x"] and contexts(_Words("555"), 0, 3) == ["^ ^ _", "^ _ $"]
+
+
+def test_patterns_spread_until_nothing_grows(spark):
+    """A chain of four contexts, each known only through instances that it shares with the one before."""
+    sizes = [27, 9, 3, 1]
+    groups = [[f"{k + 1}{n:09}" for n in range(size)] for k, size in enumerate(sizes)]
+    around = ["in ma {} qa", "in mb {} qb", "in mc {} qc", "in md {} qd"]
+    docs = [around[0].format(f"+1202555{k:04}") for k in range(81)]
+    for k, group in enumerate(groups):
+        docs += [a.format(v) for v in group for a in around[k:k + 2]]
+    frame = spark.createDataFrame([(k, t, "x", 1) for k, t in enumerate(docs)], DOCS)
+    got = [find_pii(frame, rounds=n, min_confidence=0.3, min_instances=1).select(F.sum(F.size("added"))).first()[0] for n in (1, 3, None)]
+    assert got == [27, 27 + 36 + 12, 27 + 36 + 12 + 4]
+
+
 def test_items_digest_is_of_sorted_strings(spark):
     docs = spark.createDataFrame([(1, "q w e", "x", 1)], DOCS)
     benchmark = spark.createDataFrame([(10, "q"), (9, "w e"), (2, "e")], "item_id long, text string")
