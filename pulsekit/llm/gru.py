@@ -204,10 +204,10 @@ def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
 STRETCH = 1024
 
 
-def windows(docs: list[np.ndarray], end_id: int, lanes: int, steps: int):
+def windows(docs: list[np.ndarray], end_id: int, lanes: int, steps: int, before: np.ndarray | None = None):
     """(inputs, targets, fresh, document numbers, whether filled) of each window over all lanes, all (steps, lanes).
 
-    Every document ends with its end token, which is also the input before its first token. Lanes are in order of
+    Every document ends with its end token, which is also the input before its first token unless ``before`` has others. Lanes are in order of
     length; those that are through leave, so that a long document isn't accompanied by empty lanes.
     """
     lengths = np.array([len(d) for d in docs], np.int64)
@@ -219,7 +219,7 @@ def windows(docs: list[np.ndarray], end_id: int, lanes: int, steps: int):
         sizes = lengths[lane]
         begins = np.cumsum(sizes) - sizes
         inputs = np.concatenate([[end_id], target[:-1]]).astype(np.int32)
-        inputs[begins] = end_id
+        inputs[begins] = end_id if before is None else before[lane]
         fresh = np.zeros(len(target), bool)
         fresh[begins] = True
         streams.append((inputs, target, fresh, np.repeat(lane, sizes).astype(np.int32)))
@@ -251,10 +251,19 @@ def score(model: Gru, docs: list[np.ndarray], end_id: int, lanes: int = 512, ste
     return sums
 
 
+#: Tokens after which training starts a document's state anew, so that long documents go on several lanes.
+TRAINED_STRETCH = 2048
+
+
 def train(model: Gru, docs: list[np.ndarray], end_id: int, lanes: int, steps: int, optimizer: Adam) -> int:
-    """One pass of truncated backpropagation over the documents; the number of tokens."""
+    """One pass of truncated backpropagation over the documents; the number of tokens.
+
+    Gradients are cut off at windows, the state goes on from window to window for ``TRAINED_STRETCH`` tokens.
+    """
     state, seen, full = None, 0, 0
-    for inputs, targets, fresh, _, filled in windows(docs, end_id, lanes, steps) if docs else ():
+    parts = [(d[k:k + TRAINED_STRETCH], d[k - 1] if k else end_id) for d in docs for k in range(0, len(d), TRAINED_STRETCH)]
+    before = np.array([b for _, b in parts], np.int32)
+    for inputs, targets, fresh, _, filled in windows([d for d, _ in parts], end_id, lanes, steps, before) if parts else ():
         state = np.zeros((model.h, inputs.shape[1]), np.float32) if state is None else state
         out, state, kept = model.forward(inputs, fresh, state[:, :inputs.shape[1]], keep=True)
         grads = {k: np.zeros_like(x) for k, x in model.p.items()}

@@ -31,7 +31,7 @@ HIDDEN = 16
 #: Documents of the warm start; only whole documents of at most so many code points are taken.
 WARM_DOCS, WARM_CHARS = 400, 4000
 #: Training tokens of a task, and how many tasks there are at most.
-TASK_TOKENS, MOST_TASKS = 2 << 20, 20000
+TASK_TOKENS, MOST_TASKS = 4 << 20, 20000
 #: Tokens that a task holds at a time, and how many results one task averages.
 HELD_TOKENS = 4 << 20
 FAN_IN = 32
