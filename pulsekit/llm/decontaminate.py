@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -36,7 +37,7 @@ _KEPT: dict[str, tuple] = {}
 
 def normal_words(text: str | None) -> list[bytes]:
     """Lower-cased words as UTF-8."""
-    return [w for w in (text or "").encode().translate(_TABLE).split(b" ") if w]
+    return (text or "").encode().translate(_TABLE).split()
 
 
 def build_automaton(items: list[tuple[str, str]]) -> tuple[dict[bytes, int], object]:
@@ -64,7 +65,7 @@ def find_hits(numbers: dict[bytes, int], automaton, words: list[bytes]) -> tuple
     if automaton is None or not words:
         return [], set()
     ranges, items = [], set()
-    for last, (n, ids) in automaton.iter(tuple([numbers.get(w, 0) for w in words])):
+    for last, (n, ids) in automaton.iter(tuple(map(numbers.get, words, repeat(0)))):
         ranges.append((last + 1 - n, last + 1))
         items.update(ids)
     return ranges, items
