@@ -445,6 +445,61 @@ def q_jensen_shannon(spark, sf_dir):
     return di.jensen_shannon(activity(spark, sf_dir), NUM, LAB, REF_CLASSES)
 
 
+# Pairwise tests over every pair of some thousand classes: parts by the quantities of their line items.
+def _many_sql(tail: str) -> str:
+    return f"""
+WITH q AS (SELECT l_partkey AS cls, l_quantity AS v, count(*) AS w FROM lineitem
+           WHERE l_partkey IS NOT NULL AND l_quantity IS NOT NULL GROUP BY ALL)
+, k AS (SELECT cls, min(v) AS lo, max(v) AS hi, sum(w) AS n FROM q GROUP BY cls)
+{tail}
+, either AS (SELECT a AS cls, x, p FROM pairs UNION ALL SELECT b, x, p FROM pairs)
+"""
+
+
+KS_MANY_SQL = _many_sql("""
+, cdf AS (SELECT k.cls, x.v, k.n, CAST(sum(coalesce(q.w, 0)) OVER (PARTITION BY k.cls ORDER BY x.v) AS DOUBLE) / CAST(k.n AS DOUBLE) AS f
+         FROM k CROSS JOIN (SELECT DISTINCT v FROM q) x LEFT JOIN q ON q.cls = k.cls AND q.v = x.v)
+, gaps AS (SELECT l.cls AS a, r.cls AS b, max(abs(l.f - r.f)) AS x, CAST(any_value(l.n) AS DOUBLE) * CAST(any_value(r.n) AS DOUBLE)
+                  / CAST(any_value(l.n) + any_value(r.n) AS DOUBLE) AS e
+           FROM cdf l JOIN cdf r ON l.v = r.v AND l.cls < r.cls GROUP BY ALL)
+, lam AS (SELECT *, (sqrt(e) + 0.12 + 0.11 / sqrt(e)) * x AS lam FROM gaps)
+, pairs AS (SELECT a, b, x, CASE WHEN lam < 0.2 THEN 1.0 ELSE 2.0 * (""" + " ".join(
+    f"{'+' if k % 2 else '-'} exp({-2.0 * k * k} * lam * lam)" for k in range(1, 21)) + """) END AS p FROM lam)""") + """
+SELECT 'l_quantity' AS "Column", cls AS "class", CAST(count(*) AS BIGINT) AS n_pairs,
+       CAST(count(*) FILTER (WHERE p < 0.05) AS BIGINT) AS n_different, max(x) AS max_ks FROM either GROUP BY cls"""
+
+
+@register("ks_many_classes", KS_MANY_SQL)
+def q_ks_many_classes(spark, sf_dir):
+    return di.ks_by_class(read_table(spark, sf_dir, "lineitem"), ["l_quantity"], "l_partkey")
+
+
+JSD_MANY_SQL = _many_sql("""
+, ab AS (SELECT l.cls AS a, r.cls AS b, least(l.lo, r.lo) AS lo, greatest(l.hi, r.hi) AS hi, l.n AS n1, r.n AS n2,
+                (greatest(l.hi, r.hi) - least(l.lo, r.lo)) / 30.0 AS step FROM k l JOIN k r ON l.cls < r.cls)
+, tagged AS (SELECT a, b, lo, hi, n1, n2, step, v, w, 0 AS z FROM ab JOIN q ON q.cls = a WHERE step > 0
+             UNION ALL SELECT a, b, lo, hi, n1, n2, step, v, 0, w FROM ab JOIN q ON q.cls = b WHERE step > 0)
+, g AS (SELECT *, CAST(least(greatest(floor((v - lo) / step), 0), 29) AS INTEGER) AS g FROM tagged)
+, bins AS (SELECT a, b, lo, hi, n1, n2, step, CASE WHEN v < CAST(g AS DOUBLE) * step + lo THEN g - 1
+                  WHEN g < 29 AND v >= CAST(g + 1 AS DOUBLE) * step + lo THEN g + 1 ELSE g END AS bin, sum(w) AS c1, sum(z) AS c2
+           FROM g GROUP BY ALL)
+, d AS (SELECT a, b, c1 / (CASE WHEN bin = 29 THEN hi ELSE CAST(bin + 1 AS DOUBLE) * step + lo END - (CAST(bin AS DOUBLE) * step + lo))
+               / CAST(n1 AS DOUBLE) + 1e-12 AS d1,
+               c2 / (CASE WHEN bin = 29 THEN hi ELSE CAST(bin + 1 AS DOUBLE) * step + lo END - (CAST(bin AS DOUBLE) * step + lo))
+               / CAST(n2 AS DOUBLE) + 1e-12 AS d2 FROM bins)
+, s AS (SELECT a, b, sum(d1) + (30 - count(*)) * 1e-12 AS s1, sum(d2) + (30 - count(*)) * 1e-12 AS s2 FROM d GROUP BY ALL)
+, pq AS (SELECT d.a, d.b, d1 / s1 AS p, d2 / s2 AS q FROM d JOIN s ON d.a = s.a AND d.b = s.b)
+, j AS (SELECT a, b, sum(p * ln(p / ((p + q) / 2)) + q * ln(q / ((p + q) / 2))) / (2.0 * ln(2.0)) AS x FROM pq GROUP BY ALL)
+, pairs AS (SELECT ab.a, ab.b, CASE WHEN step = 0 THEN 0.0 ELSE j.x END AS x, 0 AS p FROM ab LEFT JOIN j ON j.a = ab.a AND j.b = ab.b)""") + """
+SELECT 'l_quantity' AS "Column", cls AS "class", CAST(count(*) AS BIGINT) AS n_pairs,
+       CAST(count(*) FILTER (WHERE x >= 0.2) AS BIGINT) AS n_noticeable, CAST(max(x) AS DOUBLE) AS max_jsd FROM either GROUP BY cls"""
+
+
+@register("jensen_shannon_many_classes", JSD_MANY_SQL)
+def q_jensen_shannon_many_classes(spark, sf_dir):
+    return di.jensen_shannon_by_class(read_table(spark, sf_dir, "lineitem"), ["l_quantity"], "l_partkey")
+
+
 KDE_SQL = LONG_CTE + """
 , stats AS (SELECT "Column", cls, count(*) AS n, stddev_samp(v) AS sd, min(v) AS vmin, max(v) AS vmax FROM long
             GROUP BY ALL HAVING count(*) >= 2 AND stddev_samp(v) > 0)
