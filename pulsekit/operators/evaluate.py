@@ -14,11 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import accuracy_verdict, index_to_label, overfitting_flag, safe_div
+from ..session import ensure_checkpoint_dir
 from .ordered import cumulative_by_value
-
-
-#: Classes of a dense confusion matrix (its square is the number of rows).
-MAX_DENSE_CLASSES = 1000
+from .pairwise import classes_of
 
 
 def confusion_counts(pred: DataFrame, label_col: str = "label", prediction_col: str = "prediction",
@@ -88,30 +86,21 @@ def confusion_matrix(pred: DataFrame, label_col: str = "label", prediction_col:
                      classes: Sequence[str] | None = None) -> DataFrame:
     """K5: dense ``actual, predicted, count`` over classes x classes, keyed by class (not by axis position).
 
-    The observed cells (at most classes^2, the size of the answer) are gathered into one map together with the
-    class list (the union of labels and predictions unless given); the dense grid is that list exploded twice and
-    looked up in the map. The predictions are read once and nothing is collected to the driver. More than
-    ``MAX_DENSE_CLASSES`` classes raise an error: use ``confusion_counts``, the observed cells only, which has no bound.
+    The classes (the union of labels and predictions unless given) are a table; its blocks are joined into the grid, which
+    is joined to the observed cells. Neither classes nor cells pass through the driver or one task, so the number of
+    classes has no bound but that of the answer. The predictions are read once.
     """
     counts = confusion_counts(pred, label_col, prediction_col)
-    cells = F.map_from_entries(F.collect_list(F.struct(F.struct("actual", "predicted"), F.col("count"))))
+    kind = counts.schema["actual"].dataType
+    counts = counts.withColumn("predicted", F.col("predicted").cast(kind))
     if classes is None:
-        cls = F.array_sort(F.array_union(F.collect_set("actual"), F.collect_set("predicted")))
+        ensure_checkpoint_dir(pred.sparkSession)
+        counts = counts.checkpoint(eager=True)  # the observed cells
+        table = classes_of(counts.select(F.explode(F.array("actual", "predicted")).alias("cls")), "cls", None)
     else:
-        dtype = counts.schema["actual"].dataType
-        cls = F.array(*[F.lit(c).cast(dtype) for c in classes])
-    if classes is None:
-        too_many = F.raise_error(F.lit(f"more than {MAX_DENSE_CLASSES} classes: use confusion_counts")).cast(
-            f"array<{counts.schema['actual'].dataType.simpleString()}>")
-        seen = F.greatest(F.approx_count_distinct("actual", 0.01), F.approx_count_distinct("predicted", 0.01))
-        cls = F.when(seen > MAX_DENSE_CLASSES, too_many).otherwise(cls)
-    elif len(classes) > MAX_DENSE_CLASSES:
-        raise ValueError(f"more than {MAX_DENSE_CLASSES} classes: use confusion_counts")
-    table = counts.agg(cells.alias("m"), cls.alias("c"))
-    grid = table.select(F.explode("c").alias("actual"), "c", "m") \
-        .select("actual", F.explode("c").alias("predicted"), "m")
-    hit = F.element_at(F.col("m"), F.struct(F.col("actual").alias("actual"), F.col("predicted").alias("predicted")))
-    return grid.select("actual", "predicted", F.coalesce(hit, F.lit(0)).cast("long").alias("count"))
+        table = classes_of(counts, "actual", classes)
+    grid = table.ordered_pairs("actual", "predicted").join(counts, ["actual", "predicted"], "left")
+    return grid.select("actual", "predicted", F.coalesce("count", F.lit(0)).cast("long").alias("count"))
 
 
 def overfitting_gap(pred: DataFrame, split_col: str = "split", label_col: str = "label",

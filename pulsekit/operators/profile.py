@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import imbalance_flag, safe_div
+from .gram import pair_moments
 from .ordered import quantile_disc, with_scalars
 
 
@@ -129,26 +130,14 @@ def per_class_describe(df: DataFrame, numeric_cols: Sequence[str], label_col: st
 def correlation_matrix(df: DataFrame, numeric_cols: Sequence[str]) -> DataFrame:
     """Pearson correlation, long form ``col_a, col_b, corr``, every ordered pair including the diagonal.
 
-    Pairwise-complete like pandas: each pair uses the rows where both values are present. A constant column gives
-    NULL (pandas NaN) instead of an ANSI division error.
+    Pairwise-complete like pandas: each pair uses the rows where both values are present. A constant column and a pair
+    without common rows give NULL, a pair whose common rows have an infinity or NaN gives NaN. Computed from Gram blocks
+    (``gram.pair_moments``): one pass whatever the number of columns, no expression per pair.
     """
-    cols = list(numeric_cols)
-    aggs = []
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    for i, j in pairs:
-        a, b = _d(cols[i]), _d(cols[j])
-        both = a.isNotNull() & b.isNotNull()
-        aggs.append(safe_div(F.covar_pop(a, b),
-                             F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b))).alias(f"r_{i}_{j}"))
-    row = df.agg(*aggs)
-    structs = []
-    for i, j in pairs:
-        structs.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
-                                F.col(f"r_{i}_{j}").alias("corr")))
-        if i != j:
-            structs.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"),
-                                    F.col(f"r_{i}_{j}").alias("corr")))
-    return row.select(F.inline(F.array(*structs)))
+    m = pair_moments(df, list(numeric_cols))
+    spread = F.sqrt(F.col("qa") / F.col("n")) * F.sqrt(F.col("qb") / F.col("n"))
+    r = F.when((F.col("n") > 0) & (spread > 0), F.col("c") / F.col("n") / spread)
+    return m.select("col_a", "col_b", F.when(F.col("bad") > 0, F.lit(float("nan"))).otherwise(r).alias("corr"))
 
 
 def outlier_report(df: DataFrame, numeric_cols: Sequence[str], k: float = 3.0) -> DataFrame:

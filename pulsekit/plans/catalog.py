@@ -992,3 +992,172 @@ def q_shap_random_forest(spark, sf_dir):
     indexed = label_indexer(LAB).fit(data).transform(data)
     model = Pipeline(stages=[VectorAssembler(inputCols=NUM, outputCol="features"), es.rf_classifier()]).fit(indexed)
     return xp.shapley_values(data, data, NUM, xp.model_output(model, 0), "row_id", background_size=SHAP_BACKGROUND)
+
+
+# ---------------------------------------------------------------- evidence for trained models and many classes
+def _v3_explained(spark, sf_dir):
+    """A forest (100 trees of depth 10) over the 18 features of v3, the test split, and the values of its first class."""
+    from pyspark.ml import Pipeline
+
+    from ..operators import tree_explain as te
+    from . import estimators as es
+    from .preprocessing import preprocessing_stages
+    from .training import TrainConfig, prepare_splits
+    train, test = prepare_splits(activity(spark, sf_dir), TrainConfig(version="v3", rules=cl.STRICT_RULES))
+    base, engineered, categorical = fe.FEATURE_SETS["v3"]
+    model = Pipeline(stages=[*preprocessing_stages(base, engineered, categorical, LAB, "minmax", label_invalid="skip"),
+                             es.rf_classifier("v1")]).fit(train)
+    names = fe.feature_columns("v3")
+    values = te.tree_shapley_values(test, train, model, names, class_index=0, background_size=SHAP_BACKGROUND)
+    return model, train, test, values
+
+
+@register("shap_v3_forest")
+def q_shap_v3_forest(spark, sf_dir):
+    """L5 for v3: exact values of all 18 features for every row of the test split."""
+    return _v3_explained(spark, sf_dir)[3]
+
+
+@register("shap_v3_forest_check", CLEAN_CTE + f"""
+SELECT count(*) AS n_rows, 18 * count(*) AS n_values, 0 AS bad_sum FROM strict WHERE {HASH} >= 0.8""")
+def q_shap_v3_forest_check(spark, sf_dir):
+    """Every test row has 18 values, which add up to the model's output less its mean over the background."""
+    from pyspark.sql import functions as F
+
+    from ..operators import explain as xp
+    model, train, test, values = _v3_explained(spark, sf_dir)
+    score = xp.model_output(model, 0)
+    base = score(xp.background_sample(train, "row_id", SHAP_BACKGROUND)).agg(F.avg("_f").alias("base"))
+    sums = values.groupBy("row_id").agg(F.sum("shap_value").alias("s"), F.count(F.lit(1)).alias("k"))
+    both = pr.with_scalars(score(test).select("row_id", "_f").join(sums, "row_id"), base)
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("k").alias("n_values"),
+                    F.count_if(F.abs(F.col("s") - (F.col("_f") - F.col("base"))) > 1e-9).cast("int").alias("bad_sum"))
+
+
+_TREE_FEATURES = {"hr": "Heart_Rate_avg", "steps": "floor(Steps / 500.0)", "calories": "floor(Calories_Burned / 50.0)"}
+_TREE_CTE = CLEAN_CTE + f"""
+, y AS (SELECT {LAB}, row_number() OVER (ORDER BY count(*) DESC, {LAB}) - 1 AS y FROM loose GROUP BY {LAB})
+, long AS ({" UNION ALL ".join(f"SELECT '{k}' AS feature, CAST({e} AS DOUBLE) AS value, y FROM loose JOIN y USING ({LAB})" for k, e in _TREE_FEATURES.items())})
+, cells AS (SELECT feature, value, {", ".join(f"CAST(count(*) FILTER (WHERE y = {c}) AS DOUBLE) AS w{c}" for c in range(4))} FROM long GROUP BY ALL)
+, cum AS (SELECT feature, value, lead(value) OVER (PARTITION BY feature ORDER BY value) AS following,
+                 {", ".join(f"sum(w{c}) OVER (PARTITION BY feature ORDER BY value) AS l{c}, sum(w{c}) OVER (PARTITION BY feature) AS t{c}" for c in range(4))}
+          FROM cells)
+, sized AS (SELECT *, l0 + l1 + l2 + l3 AS left_n, t0 + t1 + t2 + t3 AS n FROM cum)
+, gains AS (SELECT feature, value, (value + following) / 2 AS threshold, left_n, n - left_n AS right_n,
+                   (1 - ({" + ".join(f"(t{c} / n) ** 2" for c in range(4))}))
+                   - left_n / n * (1 - ({" + ".join(f"(l{c} / left_n) ** 2" for c in range(4))}))
+                   - (n - left_n) / n * (1 - ({" + ".join(f"((t{c} - l{c}) / (n - left_n)) ** 2" for c in range(4))})) AS gain
+            FROM sized WHERE n > left_n)
+"""
+
+
+def _tree_input(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from .preprocessing import label_indexer
+    data = loose(spark, sf_dir).select(LAB, *[F.expr(e).cast("double").alias(k) for k, e in _TREE_FEATURES.items()])
+    return label_indexer(LAB).fit(data).transform(data)
+
+
+@register("tree_split_gains", _TREE_CTE + "SELECT feature, value, gain, left_n, right_n FROM gains")
+def q_tree_split_gains(spark, sf_dir):
+    """The Gini gain of every candidate of a tree's first split."""
+    from ..operators import tree_explain as te
+    return te.split_gains(_tree_input(spark, sf_dir), list(_TREE_FEATURES), "label", 4)
+
+
+@register("tree_root_split", _TREE_CTE + "SELECT 0 AS tree, feature, threshold, gain, left_n, right_n FROM gains ORDER BY gain DESC LIMIT 1")
+def q_tree_root_split(spark, sf_dir):
+    """The first split of a fitted decision tree is the candidate with the largest gain (bins for every distinct value)."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from ..operators import tree_explain as te
+    from . import estimators as es
+    data = VectorAssembler(inputCols=list(_TREE_FEATURES), outputCol="features").transform(_tree_input(spark, sf_dir))
+    model = es.decision_tree(maxDepth=3, maxBins=1024).fit(data)
+    return te.root_splits(model, list(_TREE_FEATURES))
+
+
+# Newton's method on two coefficients; the fitted model must end where it does.
+@register("logistic_coefficients", CLEAN_CTE.replace("WITH", "WITH RECURSIVE", 1) + f"""
+, xy AS (SELECT (Heart_Rate_avg - 100) / 50 AS x, CASE WHEN {LAB} = 'Cardio' THEN 1.0 ELSE 0.0 END AS y FROM loose)
+, newton(i, b0, b1) AS (
+    SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+    UNION ALL
+    SELECT i + 1, b0 + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), b1 + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01)
+    FROM (SELECT i, b0, b1, sum(y - p) AS g0, sum((y - p) * x) AS g1, sum(p * (1 - p)) AS h00, sum(p * (1 - p) * x) AS h01,
+                 sum(p * (1 - p) * x * x) AS h11
+          FROM (SELECT i, b0, b1, x, y, 1 / (1 + exp(-(b0 + b1 * x))) AS p FROM newton, xy WHERE i < 12) GROUP BY i, b0, b1))
+, best AS (SELECT b0, b1 FROM newton WHERE i = 12)
+SELECT round(any_value(b0), 4) AS intercept, round(any_value(b1), 4) AS coefficient,
+       round(avg(CASE WHEN y = 1 THEN -ln(1 + exp(-(b0 + b1 * x))) ELSE -ln(1 + exp(b0 + b1 * x)) END), 6) AS log_likelihood
+FROM xy, best""")
+def q_logistic_coefficients(spark, sf_dir):
+    """One-feature logistic regression of Cardio on the scaled heart rate: its optimum and log-likelihood a row."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+
+    from . import estimators as es
+    data = loose(spark, sf_dir).select(((F.col("Heart_Rate_avg") - 100) / 50).alias("x"),
+                                       (F.col(LAB) == "Cardio").cast("double").alias("label"))
+    model = es.logistic_regression(tol=1e-12, maxIter=200).fit(VectorAssembler(inputCols=["x"], outputCol="features").transform(data))
+    b0, b1 = float(model.intercept), float(model.coefficients[0])
+    z = F.lit(b0) + F.lit(b1) * F.col("x")
+    ll = F.when(F.col("label") == 1, -F.log1p(F.exp(-z))).otherwise(-F.log1p(F.exp(z)))
+    return data.agg(F.round(F.lit(b0), 4).alias("intercept"), F.round(F.lit(b1), 4).alias("coefficient"),
+                    F.round(F.avg(ll), 6).alias("log_likelihood"))
+
+
+_SCALED_SQL = CLEAN_CTE + f"""
+, y AS (SELECT {LAB}, CAST(row_number() OVER (ORDER BY count(*) DESC, {LAB}) - 1 AS DOUBLE) AS label FROM loose GROUP BY {LAB})
+, st AS (SELECT {", ".join(f"avg({d(c)}) AS m{i}, stddev_samp({d(c)}) AS s{i}, min({d(c)}) AS lo{i}, max({d(c)}) AS hi{i}" for i, c in enumerate(NUM))} FROM loose)
+SELECT row_id, label, {", ".join(f"({d(c)} - m{i}) / s{i} AS std_{c}, ({d(c)} - lo{i}) / (hi{i} - lo{i}) AS minmax_{c}" for i, c in enumerate(NUM))},
+       CAST(label AS INTEGER) AS hot_slot, CAST((SELECT count(*) FROM y) AS INTEGER) AS hot_size
+FROM loose JOIN y USING ({LAB}), st"""
+
+
+@register("scaled_and_encoded", _SCALED_SQL)
+def q_scaled_and_encoded(spark, sf_dir):
+    """Label index, standard and min-max scaled numbers and the one-hot slot of every cleaned row."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from .preprocessing import preprocessing_stages
+    data = loose(spark, sf_dir)
+    out = data
+    for kind in ("standard", "minmax"):
+        stages = preprocessing_stages(NUM, target_col=LAB if kind == "standard" else None, scaler=kind)
+        made = Pipeline(stages=stages).fit(out).transform(out)
+        short = "std" if kind == "standard" else "minmax"
+        values = vector_to_array("features")
+        out = made.withColumns({f"{short}_{c}": values[i] for i, c in enumerate(NUM)}).drop("raw_features", "features")
+    stages = preprocessing_stages([], categorical=[LAB], target_col=None, scaler=None, one_hot=True)
+    hot = vector_to_array("features")
+    out = Pipeline(stages=stages).fit(out).transform(out)
+    return out.select("row_id", "label", *[f"{k}_{c}" for c in NUM for k in ("std", "minmax")],
+                      (F.array_position(hot, 1.0) - 1).cast("int").alias("hot_slot"), F.size(hot).alias("hot_size"))
+
+
+_WIDE_CORR = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey", "l_suppkey", "l_orderkey"]
+
+
+@register("wide_correlation", " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, covar_pop({d(a)}, {d(b)}) / (stddev_pop({d(a)}) * stddev_pop({d(b)})) AS corr FROM lineitem"
+    for a in _WIDE_CORR for b in _WIDE_CORR))
+def q_wide_correlation(spark, sf_dir):
+    """C13 over the eight numbers of the largest table."""
+    return pr.correlation_matrix(read_table(spark, sf_dir, "lineitem"), _WIDE_CORR)
+
+
+@register("confusion_many_classes", """
+WITH p AS (SELECT l_suppkey AS a, l_partkey % 97 + 1 AS b FROM lineitem WHERE l_suppkey IS NOT NULL AND l_partkey IS NOT NULL)
+, cls AS (SELECT a AS c FROM p UNION SELECT b FROM p)
+, k AS (SELECT a, b, count(*) AS n FROM p GROUP BY ALL)
+SELECT x.c AS actual, y.c AS predicted, CAST(coalesce(k.n, 0) AS BIGINT) AS count
+FROM cls x CROSS JOIN cls y LEFT JOIN k ON k.a = x.c AND k.b = y.c""")
+def q_confusion_many_classes(spark, sf_dir):
+    """K5 with as many classes as there are suppliers."""
+    from pyspark.sql import functions as F
+    pred = read_table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("label"), (F.col("l_partkey") % 97 + 1).alias("prediction"))
+    return ev.confusion_matrix(pred)

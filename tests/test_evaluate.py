@@ -74,3 +74,17 @@ def test_overfitting_gap(spark):
                                "split string, label double, prediction double")
     row = ev.overfitting_gap(df).first()
     assert row["gap"] == 0.5 and row["overfitting"] and row["verdict"] == "MODERATE"
+
+
+def test_confusion_matrix_of_many_classes_and_given_classes(spark):
+    df = spark.range(6000).select((F.col("id") % 1500).cast("double").alias("label"), (F.col("id") * 7 % 1501).cast("double").alias("prediction"))
+    dense = ev.confusion_matrix(df)
+    one = dense.agg(F.count(F.lit(1)).alias("cells"), F.sum("count").alias("n"), F.count_if(F.col("count") > 0).alias("seen"),
+                    F.count_distinct("actual").alias("k")).first()
+    assert (one["cells"], one["n"], one["k"]) == (1501 * 1501, 6000, 1501)
+    assert one["seen"] == ev.confusion_counts(df).count()
+    given = {(r["actual"], r["predicted"]): r["count"] for r in ev.confusion_matrix(df, classes=[0, 7, 9999]).collect()}
+    assert len(given) == 9 and given[0.0, 0.0] == 1 and given[9999.0, 7.0] == 0
+    assert ev.confusion_matrix(df.limit(0)).count() == 0
+    many = spark.range(50_000).select(F.col("id").cast("string").alias("label"), F.col("id").cast("string").alias("prediction"))
+    assert ev.confusion_counts(many).count() == 50_000

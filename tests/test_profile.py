@@ -1,5 +1,9 @@
 import math
 
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
 from pulsekit.operators import clean as cl
 from pulsekit.operators import profile as pr
 
@@ -101,3 +105,38 @@ def test_numeric_monitoring_bracket_and_full_agree(make):
     a = pr.numeric_monitoring(make(rows), NUM).first().asDict()
     b = pr.numeric_monitoring(make(rows), NUM, bracket=False).first().asDict()
     assert a == b
+
+
+def test_correlation_of_many_columns_matches_pandas(spark):
+    rng = np.random.default_rng(31)
+    base = rng.normal(1e6, 1, (400, 60))
+    base[:, 1:] += base[:, :1]
+    base[rng.random(base.shape) < 0.2] = np.nan
+    base[:, 7] = 0.1
+    names = [f"c{i}" for i in range(60)]
+    pdf = pd.DataFrame(base, columns=names)
+    df = spark.createDataFrame([tuple(None if math.isnan(v) else float(v) for v in r) for r in base],
+                               ", ".join(f"{n} double" for n in names)).repartition(7)
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in pr.correlation_matrix(df, names).collect()}
+    want = pdf.corr()
+    assert len(got) == 3600
+    for (a, b), r in got.items():
+        if "c7" in (a, b):
+            assert r is None
+        else:
+            assert abs(r - want.loc[a, b]) < 1e-9
+
+
+def test_correlation_of_no_rows_disjoint_columns_and_infinities(spark):
+    empty = spark.createDataFrame([], "a double, b double")
+    assert [r["corr"] for r in pr.correlation_matrix(empty, ["a", "b"]).collect()] == [None] * 4
+    df = spark.createDataFrame([(1.0, None, 1.0), (2.0, None, 5.0), (None, 3.0, math.inf), (None, 5.0, 2.0)], "a double, b double, c double")
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in pr.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    assert got["a", "b"] is None and got["a", "c"] == got["c", "a"] and abs(got["a", "c"] - 1) < 1e-12
+    assert math.isnan(got["b", "c"]) and math.isnan(got["c", "c"]) and abs(got["b", "b"] - 1) < 1e-12
+
+
+def test_correlation_of_200_columns_runs(spark):
+    names = [f"c{i}" for i in range(200)]
+    df = spark.range(300).select(*[F.hash("id", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)])
+    assert pr.correlation_matrix(df, names).where("corr is not null").count() == 40_000
