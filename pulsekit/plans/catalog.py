@@ -775,6 +775,22 @@ def q_upsert(spark, sf_dir):
     return upsert(target, source, ["row_id"]).select(*[F.col(c) for c in data.columns])
 
 
+@register("upsert_in_place", UPSERT_SQL)
+def q_upsert_in_place(spark, sf_dir):
+    """A9 on a stored table: its rows after the upsert has rewritten the buckets of the source's keys."""
+    import uuid
+
+    from ..functions.hashing import hash01
+    from ..session import ensure_checkpoint_dir
+    from ..sources import tables as ta
+    from pyspark.sql import functions as F
+    data = activity(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-{uuid.uuid4().hex}"
+    ta.create_keyed_table(data.where(hash01("row_id") < 0.7), path, ["row_id"], buckets=16)
+    ta.upsert_table(spark, path, ta.with_changed(data.where(hash01("row_id") >= 0.5), "Calories_Burned", 1.0))
+    return ta.read_keyed_table(spark, path).select(*data.columns)
+
+
 # ---------------------------------------------------------------- J: trained models (no SQL form: rows-only checks)
 def _ml_input(spark, sf_dir):
     return activity(spark, sf_dir)

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -16,7 +17,6 @@ def test_upsert_replaces_by_key(spark):
 
 
 def test_upsert_refuses_duplicate_source_keys(spark):
-    import pytest
     target = spark.createDataFrame([(1, "a")], "k long, v string")
     source = spark.createDataFrame([(1, "b"), (1, "c")], "k long, v string")
     with pytest.raises(Exception, match="several rows for one key"):
@@ -81,3 +81,41 @@ def test_snapshot_as_catalog_table_and_describe(spark):
         assert info["a"] == "bigint" and "Type" in info  # extended section present
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _files(path):
+    return {os.path.join(root, f): os.stat(os.path.join(root, f)).st_mtime_ns
+            for root, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_upsert_table_rewrites_only_touched_buckets(spark, tmp_out):
+    path = f"{tmp_out}/table"
+    target = spark.range(1000).select((F.col("id") % 500).alias("k"), (F.col("id") >= 500).alias("half"), F.lit("old").alias("v"))
+    tables.create_keyed_table(target, path, ["k", "half"], buckets=16)
+    before = _files(path)
+    source = spark.createDataFrame([("new", True, 3, 9), ("new", False, 7777, 9)], "v string, half boolean, k int, other int")
+    touched = tables.upsert_table(spark, path, source)
+    after = _files(path)
+    assert 1 <= len(touched) <= 2
+    for name, written in before.items():
+        if not any(f"{tables.BUCKET}={t}/" in name for t in touched):
+            assert after[name] == written
+    got = {(r["k"], r["half"]): r["v"] for r in tables.read_keyed_table(spark, path).collect()}
+    assert len(got) == 1001 and got[3, True] == got[7777, False] == "new"
+    assert sum(v == "new" for v in got.values()) == 2
+    tables.upsert_table(spark, path, source)  # again: no change
+    assert {(r["k"], r["half"]): r["v"] for r in tables.read_keyed_table(spark, path).collect()} == got
+
+
+def test_upsert_table_refuses_repeated_keys_and_takes_empty_and_null(spark, tmp_out):
+    path = f"{tmp_out}/table"
+    schema = "k long, v string"
+    tables.create_keyed_table(spark.createDataFrame([(1, "a"), (None, "b")], schema), path, ["k"], buckets=4)
+    before = _files(path)
+    assert tables.upsert_table(spark, path, spark.createDataFrame([], schema)) == []
+    with pytest.raises(Exception, match="several rows for one key"):
+        tables.upsert_table(spark, path, spark.createDataFrame([(1, "x"), (1, "y")], schema))
+    assert _files(path) == before
+    tables.upsert_table(spark, path, spark.createDataFrame([(None, "c")], schema))
+    rows = sorted((r["k"] is None, r["v"]) for r in tables.read_keyed_table(spark, path).collect())
+    assert rows == [(False, "a"), (True, "b"), (True, "c")]
