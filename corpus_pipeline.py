@@ -24,28 +24,49 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a quality rule rejects go."""
+    """Documents that a quality rule rejects go.
+
+    Every row is judged by itself, repeated rows and rows without doc_id too; null and empty texts have too few words and
+    go. All columns stay, whatever their names; an empty table gives an empty table.
+    """
     bounded_batches(spark)
     return keep_quality(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: shingles of five words, similarity 0.8 or more."""
+    """One document of each near-duplicate group stays, that of the smallest doc_id: shingles of five words, similarity
+    0.8 or more.
+
+    Rows that repeat a doc_id are one document, of which one row stays; rows without doc_id or without words all stay.
+    All columns stay, whatever their names; an empty table gives an empty table.
+    """
     return drop_near_duplicates(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go that hold benchmark passages in a twentieth of their words or more."""
+    """Documents go that hold benchmark passages in a twentieth of their words or more.
+
+    Every row is judged by itself; null and empty texts stay. All columns stay, whatever their names; an empty table
+    gives an empty table.
+    """
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind; n_chars follows the text."""
+    """Personal data is replaced by its kind; n_chars follows the text.
+
+    Every row stays, null and empty texts as they are. All columns stay, whatever their names; an empty table gives an
+    empty table.
+    """
     return redact_pii(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens: one row per piece of a document, with its ids."""
+    """Sequences of at most 2048 tokens: one row per piece of a document, with its ids.
+
+    Repeated rows are packed each, a null doc_id stays null, a null or empty text is its end token alone. Other columns
+    than doc_id and text are ignored; an empty table gives no rows.
+    """
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048,
                           ranks=(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
 
