@@ -1116,7 +1116,7 @@ def q_logistic_coefficients(spark, sf_dir):
     from . import estimators as es
     data = loose(spark, sf_dir).select(((F.col("Heart_Rate_avg") - 100) / 50).alias("x"),
                                        (F.col(LAB) == "Cardio").cast("double").alias("label"))
-    model = es.logistic_regression(tol=1e-12, maxIter=200).fit(VectorAssembler(inputCols=["x"], outputCol="features").transform(data))
+    model = es.logistic_regression(tol=1e-9, maxIter=200).fit(VectorAssembler(inputCols=["x"], outputCol="features").transform(data))
     b0, b1 = float(model.intercept), float(model.coefficients[0])
     z = F.lit(b0) + F.lit(b1) * F.col("x")
     ll = F.when(F.col("label") == 1, -F.log1p(F.exp(-z))).otherwise(-F.log1p(F.exp(z)))
