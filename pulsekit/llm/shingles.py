@@ -12,7 +12,7 @@ SHINGLE_WORDS = 5
 
 # SetSketch parameters: M registers with base B, rate A and truncation at 0 and Q + 1. With this B two registers are
 # equal with a probability that is close to the Jaccard similarity.
-M = 128
+M = 256
 B = 1.001
 A = 20.0
 Q = 65534
