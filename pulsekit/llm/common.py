@@ -47,7 +47,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_WRITTEN: list[str] = []
+#: Tables that this driver has written, with their folders.
+_WRITTEN: dict[DataFrame, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -67,17 +68,28 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Writes ``df`` as a table in the shared folder and reads it back: cuts lineage, survives a lost executor."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
-    _WRITTEN.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[table] = path
+    return table
+
+
+def _remove(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes materialized tables that no result reads any more: what was made of them has been written itself."""
+    for table in tables:
+        _remove(table.sparkSession, _WRITTEN.pop(table))
 
 
 def drop_materialized(spark: SparkSession) -> int:
     """Removes the tables that ``materialize`` wrote for this driver, once no result needs them any more."""
     dropped = 0
     while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        dropped += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+        dropped += _remove(spark, _WRITTEN.popitem()[1])
     return dropped
 
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import blocks, fresh, materialize, release_memory, texts_of
+from pulsekit.llm.common import blocks, fresh, materialize, release, release_memory, texts_of
 from pulsekit.llm.components import connected_components
 from pulsekit.llm.shingles import M, joint_estimate, registers, shingle_sets
 
@@ -168,8 +168,10 @@ def _blocks(classes: DataFrame, families: DataFrame, shared: DataFrame) -> DataF
               .select("anchor", "family", "bins", "cuts"))
     own = F.xxhash64("anchor", F.pmod(F.xxhash64("rep", F.lit("block")), F.col("cuts")), F.lit("cut"))
     common = F.xxhash64("family", F.pmod(F.xxhash64("anchor", F.lit("bin")), F.col("bins")), F.lit("bin"))
-    return materialize(members.drop("family").join(places, "anchor")
-                       .select("set_key", "rep", "regs", "bins", F.when(F.col("cuts") > 1, own).otherwise(common).alias("block")))
+    placed = materialize(members.drop("family").join(places, "anchor")
+                         .select("set_key", "rep", "regs", "bins", F.when(F.col("cuts") > 1, own).otherwise(common).alias("block")))
+    release(cells)
+    return placed
 
 
 def _units(members: DataFrame, shared: DataFrame) -> DataFrame:
@@ -180,8 +182,10 @@ def _units(members: DataFrame, shared: DataFrame) -> DataFrame:
                 .where("x < y").select("x", "y").distinct())
     pairs = members.select(F.col("block").alias("x"), F.col("block").alias("y")).distinct().unionByName(crossing)
     left, right = F.struct(F.col("x").alias("block"), F.lit(0).alias("side")), F.struct(F.col("y").alias("block"), F.lit(1).alias("side"))
-    return materialize(pairs.select("x", "y", F.explode(F.when(F.col("x") == F.col("y"), F.array(left))
+    ends = materialize(pairs.select("x", "y", F.explode(F.when(F.col("x") == F.col("y"), F.array(left))
                                                         .otherwise(F.array(left, right))).alias("e")).select("x", "y", "e.*"))
+    release(touched)
+    return ends
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -192,11 +196,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     text are one document (all are returned and share its verdict). A row without doc_id has component_id null and is
     kept, since no other row can name it. Other columns are ignored.
     """
-    return _numbered_components(docs, F.monotonically_increasing_id(), percent).drop("rid")
+    return _numbered_components(docs, F.monotonically_increasing_id(), percent)[0].drop("rid")
 
 
-def _numbered_components(docs: DataFrame, rid: Column, percent: int) -> DataFrame:
-    """The components with a row number, which is read from ``docs`` in the first pass only."""
+def _numbered_components(docs: DataFrame, rid: Column, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The components with a row number, which is read from ``docs`` in the first pass only, and the tables they read."""
     source = docs.select(rid.alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = materialize(source.mapInArrow(_sketches, _SKETCH))
     classes = materialize(sketched.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
@@ -226,12 +230,14 @@ def _numbered_components(docs: DataFrame, rid: Column, percent: int) -> DataFram
     links = (units.repartition(n, "x", "y").sortWithinPartitions("x", "y")
              .mapInArrow(_confirm(percent), "a long, b long"))
     components = connected_components(links).withColumnsRenamed({"node": "rep"})
+    release(sets, wanted, ends, members, shared)
 
-    resolved = classes.join(components, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("found"))
-    return (sketched.select("rid", "doc_id", "n_shingles", "set_key").join(resolved, "set_key", "left")
-            .select("rid", "doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    resolved = classes.select("set_key", "rep").join(components, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("found"))
+    found = (sketched.select("rid", "doc_id", "n_shingles", "set_key").join(resolved, "set_key", "left")
+             .select("rid", "doc_id", "n_shingles",
+                     F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
+             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return found, [sketched, classes]
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -242,7 +248,9 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """
     rid, gone = fresh(docs, "rid"), fresh(docs, "dropped")
     numbered = materialize(docs.withColumn(rid, F.monotonically_increasing_id()))
-    verdict = materialize(_numbered_components(numbered, F.col(rid), percent))
+    found, read = _numbered_components(numbered, F.col(rid), percent)
+    verdict = materialize(found)
+    release(*read)
     first = verdict.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rid").alias("first"))
     dropped = (verdict.where("doc_id IS NOT NULL").join(first, "doc_id", "left")
                .where("NOT kept OR rid <> first").select(F.col("rid").alias(gone)))
