@@ -1124,6 +1124,49 @@ def q_logistic_coefficients(spark, sf_dir):
                     F.round(F.avg(ll), 6).alias("log_likelihood"))
 
 
+# The regularised multinomial log-likelihood is concave, so ascent by its gradient ends where the fitted model must.
+_CLASSES = ("Cardio", "None", "Strength", "Yoga")
+_ASCENT = [(k, j) for k in range(len(_CLASSES)) for j in range(len(NUM) + 1)]
+_LOGIT_SQL = CLEAN_CTE.replace("WITH", "WITH RECURSIVE", 1) + f"""
+, st AS (SELECT {", ".join(f"avg({d(c)}) AS m{j}, stddev_samp({d(c)}) AS s{j}" for j, c in enumerate(NUM, 1))} FROM loose)
+, xy AS (SELECT {LAB} AS c, CAST(1 AS DOUBLE) AS x0, {", ".join(f"({d(c)} - m{j}) / s{j} AS x{j}" for j, c in enumerate(NUM, 1))} FROM loose, st)
+, ascent(i, {", ".join(f"b{k}_{j}" for k, j in _ASCENT)}) AS (
+    SELECT 0, {", ".join("CAST(0 AS DOUBLE)" for _ in _ASCENT)}
+    UNION ALL
+    SELECT i + 1, {", ".join(
+        f"any_value(b{k}_{j}) + 1.2 * (avg((CASE WHEN c = '{_CLASSES[k]}' THEN 1 ELSE 0 END - e{k} / s) * x{j})"
+        + (f" - 0.01 * any_value(b{k}_{j}))" if j else ")") for k, j in _ASCENT)}
+    FROM (SELECT *, {" + ".join(f"e{k}" for k in range(len(_CLASSES)))} AS s
+          FROM (SELECT *, {", ".join(
+              f"exp({' + '.join(f'b{k}_{j} * x{j}' for j in range(len(NUM) + 1))}) AS e{k}" for k in range(len(_CLASSES)))}
+                FROM ascent, xy WHERE i < 400)) GROUP BY i)
+, best AS (SELECT * FROM ascent WHERE i = 400)
+, n AS (SELECT c, count(*) AS n_rows FROM xy GROUP BY c)
+""" + " UNION ALL ".join(
+    f"SELECT c AS class, n_rows, round(b{k}_0 - ({' + '.join(f'b{q}_0' for q in range(len(_CLASSES)))}) / {len(_CLASSES)}, 4) AS intercept, "
+    + ", ".join(f"round(b{k}_{j}, 4) AS w_{c}" for j, c in enumerate(NUM, 1)) + f" FROM n, best WHERE c = '{name}'"
+    for k, name in enumerate(_CLASSES))
+
+
+@register("multinomial_coefficients", _LOGIT_SQL)
+def q_multinomial_coefficients(spark, sf_dir):
+    """The v3 logistic regression (L2, 0.01) of the class on the standardised numbers, run to its optimum: a row a class."""
+    from pyspark.ml import Pipeline
+    from pyspark.sql import functions as F
+
+    from . import estimators as es
+    from .preprocessing import preprocessing_stages
+    data = loose(spark, sf_dir)
+    stages = [*preprocessing_stages(NUM, target_col=LAB, scaler="standard"), es.logistic_regression("v3", tol=1e-8, maxIter=500)]
+    fitted = Pipeline(stages=stages).fit(data)
+    labels, model = fitted.stages[0].labels, fitted.stages[-1]
+    weights = [[float(model.interceptVector[k]), *map(float, model.coefficientMatrix.toArray()[k])] for k in range(len(labels))]
+    of = F.create_map(*[F.lit(x) for k, name in enumerate(labels) for x in (name, weights[k])])[F.col(LAB)]
+    names = ["intercept", *[f"w_{c}" for c in NUM]]
+    return (data.groupBy(LAB).agg(F.count(F.lit(1)).alias("n_rows"))
+            .select(F.col(LAB).alias("class"), "n_rows", *[F.round(of[j], 4).alias(name) for j, name in enumerate(names)]))
+
+
 _SCALED_SQL = CLEAN_CTE + f"""
 , y AS (SELECT {LAB}, CAST(row_number() OVER (ORDER BY count(*) DESC, {LAB}) - 1 AS DOUBLE) AS label FROM loose GROUP BY {LAB})
 , st AS (SELECT {", ".join(f"avg({d(c)}) AS m{i}, stddev_samp({d(c)}) AS s{i}, min({d(c)}) AS lo{i}, max({d(c)}) AS hi{i}" for i, c in enumerate(NUM))} FROM loose)
