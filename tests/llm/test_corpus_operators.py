@@ -416,6 +416,14 @@ def test_shards(spark):
     assert shard_documents(spark.createDataFrame([], DOCS), 1000).count() == 0
 
 
+def test_the_shard_query_splits_buckets(spark, tmp_path):
+    from pulsekit.llm.queries import op8_extendible_sharding
+    docs = [(k, "x" * 100_000, "x", 1) for k in range(20)]
+    spark.createDataFrame(docs, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op8_extendible_sharding(spark, str(tmp_path)).collect()
+    assert len(rows) == 20 and min(x.depth for x in rows) > 0 and max(x.shard_bytes for x in rows) <= 256 << 10
+
+
 def test_shards_are_written(spark, tmp_path):
     r = random.Random(2)
     docs = [(k, "é" * r.randint(0, 60), "x", k) for k in range(200)] + [(5, "same", "x", 1)] * 20 + [(None, None, "x", 2)]
