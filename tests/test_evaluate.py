@@ -88,3 +88,17 @@ def test_confusion_matrix_of_many_classes_and_given_classes(spark):
     assert ev.confusion_matrix(df.limit(0)).count() == 0
     many = spark.range(50_000).select(F.col("id").cast("string").alias("label"), F.col("id").cast("string").alias("prediction"))
     assert ev.confusion_counts(many).count() == 50_000
+
+
+def test_confusion_grid_is_not_shuffled(spark, monkeypatch):
+    """The grid's rows are made by the last step of the plan; what is shuffled before is a row per two blocks."""
+    monkeypatch.setattr(ev, "GRID_CLASSES", 10)
+    df = spark.createDataFrame([(f"c{k % 45}", f"c{k * k % 61}") for k in range(400)] + [("c1", None), (None, "c1")], "label string, prediction string")
+    dense = ev.confusion_matrix(df)
+    assert dense._jdf.queryExecution().optimizedPlan().toString().startswith("MapInArrow")
+    got = {(r["actual"], r["predicted"]): r["count"] for r in dense.collect()}
+    want = {}
+    for k in range(400):
+        want[f"c{k % 45}", f"c{k * k % 61}"] = want.get((f"c{k % 45}", f"c{k * k % 61}"), 0) + 1
+    names = {c for pair in want for c in pair}
+    assert got == {(a, b): want.get((a, b), 0) for a in names for b in names} and dense.count() == len(names) ** 2
