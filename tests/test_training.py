@@ -128,3 +128,47 @@ def test_cross_validation_against_single_fits(spark):
     means = result.means().collect()
     best = result.best()
     assert max(means, key=lambda m: m["avg_f1"])["avg_f1"] == [m["avg_f1"] for m in means if all(m[k] == v for k, v in best.items())][0]
+
+
+def test_versions_forests_keep_node_ids_and_the_same_trees(spark):
+    """A version's forest caches node ids; its trees are those of a fit that walks every tree from its root."""
+    from pyspark.ml import Pipeline
+    data = cl.clean(activity(spark, SF_SMALL), cl.LOOSE_RULES)
+    feats = Pipeline(stages=preprocessing_stages(["Steps", "Heart_Rate_avg", "Calories_Burned"])).fit(data).transform(data)
+    for preset in ("v1", "v2", "v3"):
+        assert es.rf_classifier(preset).getCacheNodeIds()
+    cached, walked = (es.rf_classifier("v2", numTrees=3, **more).fit(feats) for more in ({}, {"cacheNodeIds": False}))
+    assert cached.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
+
+
+def test_a_fit_does_not_run_in_one_task(spark, monkeypatch):
+    """Many rows of one input partition are fitted in several; few rows stay in one."""
+    one = cl.clean(activity(spark, SF_SMALL), cl.LOOSE_RULES).coalesce(1)
+    parts = []
+
+    class Forest:
+        def __init__(self, *preset, **params):
+            self.inner = es.RandomForestClassifier(numTrees=1, maxDepth=2, seed=1)
+
+        def getNumTrees(self):  # noqa: N802
+            return 100
+
+        def fit(self, df):
+            parts.append(df.rdd.getNumPartitions())
+            return self.inner.fit(df)
+
+    monkeypatch.setattr(es, "rf_classifier", Forest)
+    for times in (1, 60):
+        many = one.crossJoin(spark.range(times).coalesce(1).withColumnRenamed("id", "copy")).coalesce(1) \
+            .withColumn("row_id", F.col("row_id") * times + F.col("copy"))
+        tr.train_classifier(many, tr.TrainConfig(version="v1")).unpersist()
+    assert parts[0] == 1 and parts[1] > 1
+
+
+def test_spread_does_not_depend_on_the_input_partitions(spark):
+    rows = [(k if k % 3 else None, float(k)) for k in range(500)]
+    df = spark.createDataFrame(rows, "row_id long, x double")
+    dealt = [tr.spread(d, 500, ["row_id", "x"], 100).rdd.glom().collect() for d in (df.coalesce(1), df.repartition(7))]
+    assert dealt[0] == dealt[1] and len(dealt[0]) == 5 and all(dealt[0])
+    assert sorted(r["x"] for part in dealt[0] for r in part) == [float(k) for k in range(500)]
+    assert tr.spread(df, 14_000_000, ["row_id"], 100).rdd.getNumPartitions() == 26
