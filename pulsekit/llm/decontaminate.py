@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from pulsekit.llm.common import blocks, bounded_batches
+from pulsekit.llm.common import blocks, bounded_batches, kept
 
 WINDOW = 13
 #: Bytes of benchmark text in one automaton: about 90 thousand words, at most 13 nodes each, some 60 bytes a node.
@@ -31,9 +31,6 @@ HELD_BYTES = 64 << 20
 _TABLE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
 _WORD = re.compile(r"[0-9A-Za-z\x80-\U0010FFFF]+")  # of a text as it was
 
-#: Numbers and automaton of the only part of a benchmark, kept by the worker.
-_KEPT: dict[str, tuple] = {}
-
 
 def normal_words(text: str | None) -> list[bytes]:
     """Lower-cased words as UTF-8."""
@@ -111,10 +108,7 @@ class _Benchmark:
         if len(parts) > 1:
             yield from map(build_automaton, parts)
             return
-        if self.id not in _KEPT:
-            _KEPT.clear()
-            _KEPT[self.id] = build_automaton(parts[0])
-        yield _KEPT[self.id]
+        yield kept(f"automaton {self.id}", "", lambda: build_automaton(parts[0]))
 
 
 def _scan(benchmark: _Benchmark, text: str, names: list[str], only_clean: bool):

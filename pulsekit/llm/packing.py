@@ -28,6 +28,8 @@ from pulsekit.llm.tokens import ChunkEncoder
 #: Ids that a task holds before it writes their pieces (4 bytes each), and pieces in a batch of the result.
 WINDOW_IDS = 4 << 20
 EMIT_ROWS = 1024
+#: Text bytes that are encoded at a time.
+ENCODE_BYTES = 2 << 20
 
 _CUT = "doc_id long, piece int, start long, length long, ids binary, part int, nth long"
 _PIECES = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
@@ -135,7 +137,7 @@ def _cut(path: str, ranks: tuple[str, str] | None, capacity: int, end_id: int, w
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                                               names=["doc_id", "piece", "start", "length", "ids", "part", "nth"])
 
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", ENCODE_BYTES):
             for doc_id, ids in zip(block.column("doc_id").to_pylist(), encoder.encode(texts_of(block)), strict=True):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 n_pieces = -(-len(ids) // capacity)

@@ -10,12 +10,15 @@ from __future__ import annotations
 import base64
 import os
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from pulsekit.llm.common import kept
+
 #: A cut is allowed before a space that something other than white space follows. White space here is the union of
 #: what Python, RE2 and the tokenizers call so: fewer cuts are always safe.
 _CUT = re.compile(r" (?=[^\s\x1c-\x1f\x85])")
@@ -24,29 +27,31 @@ _NO_CUT_BEFORE = (r"^$|^[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{
 
 #: Entries and ids that a task's cache holds at most; beyond, it starts anew.
 CACHE_CHUNKS, CACHE_IDS = 1 << 18, 1 << 21
-
-_LOADED: dict[str, object] = {}
+#: Chunks whose ids are joined to texts at a time (or one longer text).
+JOINED_CHUNKS = 1 << 16
 
 
 def load(path: str):
     """The tokenizer of a .json file, loaded once per Python worker."""
-    if path not in _LOADED:
+    def make():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _LOADED[path] = Tokenizer.from_file(path)
-    return _LOADED[path]
+        return Tokenizer.from_file(path)
+
+    return kept("tokenizers", path, make)
 
 
 def load_ranks(path: str, pattern: str):
     """An encoder for the same byte-level vocabulary kept as ranks, loaded once per Python worker."""
-    if path not in _LOADED:
+    def make():
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
-        _LOADED[path] = tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _LOADED[path]
+        return tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    return kept("tokenizers", path, make)
 
 
 class ChunkEncoder:
@@ -97,12 +102,18 @@ class ChunkEncoder:
             self.index.update((c, row + k) for k, c in enumerate(part))
         return np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
 
-    def _joined(self, rows: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-        lengths = self.lengths[rows]
-        ends = np.cumsum(lengths)
-        flat = self.ids[np.repeat(self.starts[rows] - ends + lengths, lengths) + np.arange(int(lengths.sum()))]
-        bounds = np.concatenate([[0], ends])[offsets]
-        return [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+    def _joined(self, rows: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+        """Ids of each text, of whose chunks the rows are those between its offsets."""
+        at = 0
+        while at + 1 < len(offsets):  # runs of texts, so that few places of ids are held at a time
+            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + JOINED_CHUNKS, side="right")) - 1)
+            run = rows[offsets[at]:offsets[stop]]
+            lengths = self.lengths[run]
+            ends = np.cumsum(lengths)
+            flat = self.ids[np.repeat(self.starts[run] - ends + lengths, lengths) + np.arange(int(lengths.sum()))]
+            bounds = np.concatenate([[0], ends])[offsets[at:stop + 1] - offsets[at]].tolist()
+            yield from (flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+            at = stop
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text, as uint32 arrays."""
@@ -118,13 +129,13 @@ class ChunkEncoder:
         present = np.flatnonzero(np.bincount(keys[~np.repeat(odd, np.diff(offsets))], minlength=2 * len(words)))
         row_of = np.zeros(2 * len(words), np.int64)
         row_of[present] = self._rows([words[k >> 1] if k & 1 else " " + words[k >> 1] for k in present.tolist()])
-        out = self._joined(row_of[keys], offsets) if len(present) else [np.zeros(0, np.uint32)] * len(texts)
+        out = list(self._joined(row_of[keys], offsets)) if len(present) else [np.zeros(0, np.uint32)] * len(texts)
         for k in np.flatnonzero(odd).tolist():  # texts with a run of white space: cut where allowed
             cut = _CUT.split(texts[k].as_py())
             chunks = [cut[0], *(" " + c for c in cut[1:])]
             rows = self._rows(list(dict.fromkeys(chunks)))
             at = dict(zip(dict.fromkeys(chunks), rows.tolist(), strict=True))
-            out[k] = self._joined(np.array([at[c] for c in chunks]), np.array([0, len(chunks)]))[0]
+            out[k] = next(self._joined(np.array([at[c] for c in chunks]), np.array([0, len(chunks)])))
         return out
 
 

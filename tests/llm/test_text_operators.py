@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -11,6 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from pulsekit.llm import common, tokens
 from pulsekit.llm.html_extract import extract_main_text, main_text
 from pulsekit.llm.packing import best_two_fit, pack_documents, patterns
 from pulsekit.llm.quality import BASE_RULES, RULES, Measures, cascade_order, keep_quality, quality_measures, run_cascade
@@ -87,6 +89,35 @@ def test_chunks_have_the_ids_of_the_whole_text():
         assert [x.tolist() for x in ChunkEncoder(BYTE_BPE, ranks).encode(pa.array(texts, pa.large_string()))] == want
 
 
+def test_ids_are_joined_in_bounded_runs(monkeypatch):
+    texts, whole = odd_texts(300), Tokenizer.from_file(BYTE_BPE)
+    want = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    encoder = ChunkEncoder(BYTE_BPE, RANKS)
+    rows, offsets = np.repeat(encoder._rows(["word"]), 2_000_000), np.arange(0, 2_000_001, 2000)
+    tracemalloc.start()
+    got = list(encoder._joined(rows, offsets))
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(got) == 1000 and all(len(x) == 2000 for x in got)
+    assert peak - held < 8 << 20  # in one piece it takes some 80 MB beside the result
+    monkeypatch.setattr(tokens, "JOINED_CHUNKS", 3)
+    assert [x.tolist() for x in encoder.encode(pa.array(texts, pa.large_string()))] == want
+
+
+def test_workers_keep_the_objects_of_one_operator_and_trim_between_blocks(monkeypatch):
+    made = []
+    monkeypatch.setattr(common, "_KEPT", {})
+    for owner, key in [("a", "x"), ("a", "y"), ("a", "x"), ("b", "x"), ("a", "x")]:
+        assert common.kept(owner, key, lambda: made.append((owner, key)) or owner) == owner  # noqa: B023
+    assert made == [("a", "x"), ("a", "y"), ("b", "x"), ("a", "x")]
+    assert list(common._KEPT) == ["a"]
+    trims = []
+    monkeypatch.setattr(common, "trim_memory", lambda: trims.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 10] * 7)], names=["text"])
+    assert sum(b.num_rows for b in common.blocks(iter([batch]), "text", 20)) == 7
+    assert len(trims) == 5  # at the start, and after each of four slices
+
+
 def test_best_two_fit_is_close_to_the_bound():
     r = np.random.default_rng(3)
     for capacity in (64, 2048):
