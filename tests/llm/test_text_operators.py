@@ -104,6 +104,30 @@ def test_ids_are_joined_in_bounded_runs(monkeypatch):
     assert [x.tolist() for x in encoder.encode(pa.array(texts, pa.large_string()))] == want
 
 
+@pytest.mark.parametrize("part_chars", [1, 1 << 16])
+def test_distinct_chunks_go_to_the_rank_form_as_running_text(monkeypatch, part_chars):
+    r = random.Random(8)
+    words = [f"{r.choice(['w', 'é漢', 'a\nb', 'tail\n', "don't", '<|endoftext|>'])}{k}" for k in range(6000)]
+    texts = [*(" ".join(r.choices(words, k=r.randint(0, 60))) for _ in range(400)), "", " ", "a  b", " " * 70 + "c"]
+    want = [e.ids for e in Tokenizer.from_file(BYTE_BPE).encode_batch(texts, add_special_tokens=False)]
+    encoder, calls = ChunkEncoder(BYTE_BPE, RANKS), []
+    fast = encoder.fast
+    encoder.fast = lambda text: calls.append(text) or fast(text)
+    monkeypatch.setattr(tokens, "PART_CHARS", part_chars, raising=False)
+    assert [x.tolist() for x in encoder.encode(pa.array(texts, pa.large_string()))] == want
+    plain = [f"word{k}" for k in range(4000)]
+    del calls[:]
+    encoder.encode(pa.array([" ".join(plain[:2000]), " ".join(plain)], pa.large_string()))
+    if part_chars > 1:  # the texts' first words and a text of the others; once a call for every chunk
+        assert len(calls) <= 3 and sum(map(len, calls)) == len(" ".join(plain))
+
+
+def test_white_space_that_the_rank_form_cannot_take():
+    text = "x" + " " * 1_100_000 + "y"
+    want = Tokenizer.from_file(BYTE_BPE).encode(text, add_special_tokens=False).ids
+    assert ChunkEncoder(BYTE_BPE, RANKS).encode(pa.array([text, "z"], pa.large_string()))[0].tolist() == want
+
+
 def test_workers_keep_the_objects_of_one_operator_and_trim_between_blocks(monkeypatch):
     made = []
     monkeypatch.setattr(common, "_KEPT", {})
