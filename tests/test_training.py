@@ -172,3 +172,40 @@ def test_spread_does_not_depend_on_the_input_partitions(spark):
     assert dealt[0] == dealt[1] and len(dealt[0]) == 5 and all(dealt[0])
     assert sorted(r["x"] for part in dealt[0] for r in part) == [float(k) for k in range(500)]
     assert tr.spread(df, 14_000_000, ["row_id"], 100).rdd.getNumPartitions() == 26
+
+
+def test_a_large_forest_is_smaller_ones_side_by_side(spark, monkeypatch, tmp_out):
+    """Its trees are those of the smaller fits, each from its own seed; it scores, saves and explains itself as one model."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassificationModel
+    data = cl.clean(activity(spark, SF_SMALL), cl.LOOSE_RULES)
+    feats = Pipeline(stages=preprocessing_stages(["Steps", "Heart_Rate_avg", "Calories_Burned"])).fit(data).transform(data) \
+        .select("label", "features").coalesce(1)
+    forest = es.rf_classifier("v1", numTrees=7, maxDepth=4)
+    assert tr.forest_parts(forest, 1000) == 1 and tr.forest_parts(es.decision_tree(), 10**9) == 1
+    assert tr.forest_parts(forest, 10**6) == 7 and tr.forest_parts(es.rf_classifier("v3"), 13_000) == tr.FOREST_PARTS
+    model = tr.fit_forest(forest, feats, 3)
+    alone = [es.rf_classifier("v1", numTrees=n, maxDepth=4, seed=es.SEED + k).fit(feats) for k, n in enumerate((3, 2, 2))]
+    assert model.getNumTrees == 7 and len({t.toDebugString.split("\n", 1)[1] for t in model.trees}) > 1
+    assert [t.toDebugString.split("\n", 1)[1] for t in model.trees] == [t.toDebugString.split("\n", 1)[1] for m in alone for t in m.trees]
+    assert abs(sum(model.featureImportances.toArray()) - 1) < 1e-9 and model.numClasses == alone[0].numClasses
+    path = f"{tmp_out}/forest"
+    model.write().save(path)
+    again = RandomForestClassificationModel.load(path)
+    both = [[tuple(r) for r in m.transform(feats).select("prediction", "probability").collect()] for m in (model, again)]
+    assert both[0] == both[1] and again.getMaxDepth() == 4
+    votes = [m.transform(feats).select("rawPrediction").collect() for m in alone]
+    assert all(abs(sum(v[0][0] for v in row) - 7 * p[0]) < 1e-9 for row, (_, p) in zip(zip(*votes, strict=True), both[0], strict=True))
+    sizes = []
+    monkeypatch.setattr(tr, "ROW_TREES_PER_FOREST", 0)
+    monkeypatch.setattr(tr, "fit_forest", lambda f, df, parts, fit=tr.fit_forest: (sizes.append((parts, df.rdd.getNumPartitions())), fit(f, df, parts))[1])
+    res = tr.train_classifier(activity(spark, SF_SMALL), tr.TrainConfig(version="v1", rf_preset="default"))
+    assert sizes == [(8, 1)] and res.model.stages[-1].getNumTrees == 20 and res.metrics.count() == 2
+    res.unpersist()
+
+
+def test_side_by_side_fits_share_the_partitions(spark):
+    df = spark.range(10).withColumnRenamed("id", "row_id")
+    assert tr.spread(df, 80_000, ["row_id"], 4000).rdd.getNumPartitions() == 12
+    assert tr.spread(df, 80_000, ["row_id"], 4000, 8).rdd.getNumPartitions() == 1
+    assert tr.spread(df, 5_000_000, ["row_id"], 4000, 8).rdd.getNumPartitions() == 6
